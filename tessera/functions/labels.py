@@ -84,11 +84,13 @@ def extension_expr(path) -> Column:
     return F.lower(F.regexp_extract(_col(path), r"\.([^./\\]+)$", 1))
 
 
-def normalise_path(path) -> Column:
-    """One spelling for a file URI: percent-decoded, single slash after the
-    scheme.  The image source reports ``file:///a/sp%20ace.png`` where the
-    binary source reports ``file:/a/sp ace.png``; both become the latter."""
+def normalise_path(path, percent_decode: bool) -> Column:
+    """One spelling for a file URI: percent-decoded, single slash after
+    ``file:``.  The image source reports ``file:///a/sp%20ace.png`` where
+    the binary source reports ``file:/a/sp ace.png``; both become the
+    latter.  Only the image source's form is percent-decoded."""
     p = _col(path)
-    # protect a literal '+' (url_decode would turn it into a space)
-    decoded = F.url_decode(F.regexp_replace(p, r"\+", "%2B"))
-    return F.regexp_replace(decoded, r"^file:/+", "file:/")
+    if percent_decode:
+        # protect a literal '+' (url_decode would turn it into a space)
+        p = F.url_decode(F.regexp_replace(p, r"\+", "%2B"))
+    return F.regexp_replace(p, r"^file:/+", "file:/")

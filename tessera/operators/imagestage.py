@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from . import kernels as K
 
 
@@ -121,7 +122,9 @@ def _emit(part: pa.RecordBatch, res: np.ndarray, hist, data_col: str, hist_col:
     return pa.RecordBatch.from_arrays(cols, names=names)
 
 
-def _stage_fn(steps: tuple[Step, ...], data_col: str, binary_input: bool, want_hist: bool, hist_col: str):
+def _stage_fn(
+    steps: tuple[Step, ...], data_col: str, binary_input: bool, want_hist: bool, hist_col: str, depth_path_col: str | None
+):
     param_cols = sorted({s.param for s in steps if s.param})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +145,17 @@ def _stage_fn(steps: tuple[Step, ...], data_col: str, binary_input: bool, want_h
                 get = lambda i: vals[offs[i] : offs[i + 1]].reshape(int(hs[i]), int(ws[i]), int(cs[i]))
                 in_c = cs
             params = {p: batch.column(p).to_numpy(zero_copy_only=False).astype(np.float64) for p in param_cols}
+            skip = np.zeros(n, dtype=bool)
+            if depth_path_col is not None:
+                from ..sources.files import is_unsupported_depth
+
+                paths = batch.column(depth_path_col).to_pylist()
+                for i in range(n):
+                    skip[i] = cs[i] == 1 and is_unsupported_depth(paths[i], 1)
             groups: dict[tuple[int, int, int], list[int]] = {}
             for i in range(n):
+                if skip[i]:
+                    continue
                 groups.setdefault((int(hs[i]), int(ws[i]), int(in_c[i])), []).append(i)
             # one output batch per same-shape slice: bounded size, no reordering needed
             for (h, w, c), idx in groups.items():
@@ -163,12 +175,17 @@ def run_kernels(
     *,
     data_col: str = "data",
     hist_col: str = "hist",
+    depth_check_path_col: str | None = None,
 ) -> DataFrame:
     """Run ``steps`` over the image columns of ``df`` in one Python stage.
 
     ``df`` must carry ``height``, ``width``, ``channels`` and ``data_col``.
     A ``histogram`` step adds ``hist_col`` = flattened (C, 256) counts.
+    ``depth_check_path_col`` drops gray PNG rows whose header says more than
+    8 bits per sample (the image source keeps only the low byte of those);
+    the rejects table reports them.
     """
+    ship_package(df.sparkSession)
     steps = tuple(steps)
     src_type = df.schema[data_col].dataType
     binary_input = isinstance(src_type, T.BinaryType)
@@ -189,4 +206,5 @@ def run_kernels(
         df[f.name].cast("int").alias(f.name) if f.name in ("height", "width", "channels") else df[f.name]
         for f in df.schema.fields
     ]
-    return df.select(*casts).mapInArrow(_stage_fn(steps, data_col, binary_input, want_hist, hist_col), schema)
+    fn = _stage_fn(steps, data_col, binary_input, want_hist, hist_col, depth_check_path_col)
+    return df.select(*casts).mapInArrow(fn, schema)

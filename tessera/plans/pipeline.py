@@ -68,7 +68,11 @@ def process(images: DataFrame, cfg: PipelineConfig, *, data_col: str = "data") -
     processed rows (same keys + augmentation_index, tensor, features)."""
     is_binary = isinstance(images.schema[data_col].dataType, T.BinaryType)
     steps = prepare_steps(cfg)
-    df = S.run_kernels(images, steps, data_col=data_col) if (steps or is_binary) else images
+    if steps or is_binary:
+        depth_col = "image_path" if is_binary and "image_path" in images.columns else None
+        df = S.run_kernels(images, steps, data_col=data_col, depth_check_path_col=depth_col)
+    else:
+        df = images
     df = df.withColumn(data_col, TN.normalize(F.col(data_col), cfg.normalization, cfg.norm_min, cfg.norm_max))
     if wants_histogram(cfg) and cfg.histogram_stage == "post":
         df = S.run_kernels(df, [S.histogram()], data_col=data_col)
@@ -100,8 +104,4 @@ def to_records(df: DataFrame, cfg: PipelineConfig, *, data_col: str = "data", ne
                 lambda row: F.transform(row, lambda px: TN.to_float_array(px)),
             ).alias("image_array")
         )
-    return images_select(df, cols)
-
-
-def images_select(df: DataFrame, cols: list[Column]) -> DataFrame:
     return df.select(*cols)

@@ -61,3 +61,30 @@ def to_local_fs(path: str) -> str:
 
 def is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file:") or os.path.isabs(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the Python workers (the equivalent of
+    ``--py-files``), once per SparkContext.  The zip is written under the
+    shared checkpoint folder so every executor can fetch it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = to_local_fs(checkpoint_root(spark))
+    if "://" in root:  # remote checkpoint folder: build locally, Spark ships it
+        root = tempfile.mkdtemp(prefix="tessera-pkg-")
+    os.makedirs(f"{root}/tessera-pkg", exist_ok=True)
+    zpath = f"{root}/tessera-pkg/tessera-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    sc._tessera_shipped = True
