@@ -66,7 +66,7 @@ class PipelineConfig:
     # outputs
     tfrecord_enabled: bool = True
     tfrecord_compression: str | None = None  # None | "gzip"
-    tfrecord_shard_size_mb: int = 100
+    tfrecord_shard_size_mb: float = 100
     parquet_enabled: bool = True
     parquet_compression: str = "snappy"
     parquet_row_group_size_mb: int | None = None
@@ -217,7 +217,7 @@ def from_dict(cfg: dict | None) -> PipelineConfig:
         label_encoding=tuple((str(k), int(v)) for k, v in labels.items()),
         tfrecord_enabled=bool(tfr.get("enabled", True)),
         tfrecord_compression=comp,
-        tfrecord_shard_size_mb=int(tfr.get("shard_size_mb", 100)),
+        tfrecord_shard_size_mb=float(tfr.get("shard_size_mb", 100)),
         parquet_enabled=bool(pq.get("enabled", True)),
         parquet_compression=str(pq.get("compression", "snappy")),
         parquet_row_group_size_mb=pq.get("row_group_size_mb"),

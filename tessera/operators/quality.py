@@ -93,3 +93,114 @@ def metadata_document(summary_row: dict, cfg: PipelineConfig, rejected: int | No
     if statistics is not None:
         doc["statistics"] = statistics
     return doc
+
+
+def _checks(row_df: DataFrame, specs: list[tuple[str, str, str]]) -> DataFrame:
+    """Unpivot a one-row DataFrame of numbers into (check, ok, n) rows.
+    specs: (check name, ok expression, n expression) in SQL over the row."""
+    parts = []
+    for name, ok_sql, n_sql in specs:
+        parts.append(
+            row_df.select(
+                F.lit(name).alias("check"), F.expr(ok_sql).cast("boolean").alias("ok"), F.expr(n_sql).cast("bigint").alias("n")
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def validate_input(listing: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Checks on a labelled file listing (image_path, label, split): files
+    present, known classes, known split folders, accepted extensions."""
+    from ..functions.labels import extension_expr
+
+    exts = [e.lower() for e in cfg.extensions]
+    row = listing.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(F.col("label") >= 0).alias("known_labels"),
+        F.count_if(F.col("split") != "unknown").alias("known_splits"),
+        F.count_if(extension_expr("image_path").isin(exts)).alias("accepted_ext"),
+    )
+    return _checks(
+        row,
+        [
+            ("files_present", "files > 0", "files"),
+            ("known_labels", "known_labels > 0", "known_labels"),
+            ("known_splits", "known_splits > 0", "known_splits"),
+            ("accepted_extensions", "accepted_ext = files", "accepted_ext"),
+        ],
+    )
+
+
+def validate_output(spark, out_root: str, cfg: PipelineConfig) -> DataFrame:
+    """Checks on a written version: metadata readable, record count equals
+    the metadata count, example count equals the record count, every image
+    has 1 + n variants, every tensor's size equals the product of its
+    shape.  All counts are Spark aggregates over the written files."""
+    from ..plans.sinks import read_metadata, read_tfrecords
+
+    out = out_root.rstrip("/")
+    meta = read_metadata(spark, f"{out}/{cfg.metadata_file}").select(
+        F.col("processed_images").cast("bigint").alias("meta_n")
+    )
+    stored = spark.read.parquet(f"{out}/parquet")
+    shape_prod = F.aggregate("image_shape", F.lit(1).cast("bigint"), lambda acc, x: acc * x)
+    rec = stored.agg(
+        F.count(F.lit(1)).alias("rec_n"),
+        F.count_if(F.size("image_flattened") != shape_prod).alias("bad_size"),
+    )
+    per_img = stored.groupBy("image_path").agg(F.count(F.lit(1)).alias("k"))
+    var = per_img.agg(F.count_if(F.col("k") != cfg.fanout).alias("bad_variants"))
+    parts = [meta, rec, var]
+    if cfg.tfrecord_enabled:
+        parts.append(read_tfrecords(spark, f"{out}/tfrecords", raw=True).agg(F.count(F.lit(1)).alias("ex_n")))
+    allrow = parts[0]
+    for p in parts[1:]:
+        allrow = allrow.unionByName(p, allowMissingColumns=True)
+    row = allrow.agg(*[F.max(c).alias(c) for c in allrow.columns])
+    specs = [
+        ("metadata_present", "meta_n is not null", "coalesce(meta_n, 0)"),
+        ("records_match_metadata", "rec_n = meta_n", "rec_n"),
+        ("variants_per_image", "bad_variants = 0", "bad_variants"),
+        ("tensor_size_matches_shape", "bad_size = 0", "bad_size"),
+    ]
+    if cfg.tfrecord_enabled:
+        specs.append(("examples_match_records", "ex_n = rec_n", "ex_n"))
+    return _checks(row, specs)
+
+
+def version_catalog(spark, processed_root: str, metadata_file: str = "metadata.json") -> DataFrame:
+    """One row per version folder ``{root}/{tag}/{metadata_file}``."""
+    docs = spark.read.option("multiLine", True).json(f"{processed_root.rstrip('/')}/*/{metadata_file}")
+    tag = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return docs.select(
+        tag.alias("version_tag"),
+        F.col("version"),
+        F.col("total_files").cast("bigint").alias("total_files"),
+        F.col("total_images").cast("bigint").alias("total_images"),
+        F.col("processed_images").cast("bigint").alias("processed_images"),
+    )
+
+
+def version_diff(old: DataFrame, new: DataFrame, key=("image_path", "augmentation_index")) -> DataFrame:
+    """added / removed / changed / unchanged per record key.  Each side is
+    reduced to (key, 64-bit tensor hash, label) before the full outer join,
+    so the shuffle carries a few bytes per record, not the tensors."""
+
+    def side(df, sfx):
+        return df.select(
+            *key,
+            F.xxhash64("image_flattened", "image_shape").alias(f"h{sfx}"),
+            F.col("label").alias(f"l{sfx}"),
+        )
+
+    j = side(old, "_old").join(side(new, "_new"), list(key), "full_outer")
+    status = (
+        F.when(F.col("h_old").isNull(), F.lit("added"))
+        .when(F.col("h_new").isNull(), F.lit("removed"))
+        .when((F.col("h_old") != F.col("h_new")) | ~F.col("l_old").eqNullSafe(F.col("l_new")), F.lit("changed"))
+        .otherwise(F.lit("unchanged"))
+    )
+    return j.select(*key, status.alias("status"))

@@ -249,6 +249,7 @@ def _images(spark, sf, cfg=TILE_CFG) -> DataFrame:
     t = TL.tiles(spark, sf)
     t = t.withColumnRenamed("path", "image_path")
     t = PL.with_label_split(t, cfg)
+    t = t.where(LB.extension_expr("image_path").isin([e.lower() for e in cfg.extensions]))
     return PL.known_labels(t)
 
 

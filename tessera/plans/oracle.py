@@ -10,6 +10,7 @@ the Spark plan's bit for bit are rendered from the same Python values.
 from __future__ import annotations
 
 from .catalog import ALL_AUG_CFG, TILE_CFG
+from .derived import V2_CFG
 
 
 def _d(x: float) -> str:
@@ -69,8 +70,23 @@ def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
-def _variants_cte(cfg) -> str:
-    """A: one row per (image, variant) with the seeded parameters."""
+def _label_sql(cfg, p: str = "path") -> str:
+    whens = " ".join(f"when contains(upper({p}), '{name.upper()}') then {int(code)}" for name, code in cfg.label_encoding)
+    return f"case {whens} else -1 end"
+
+
+def _kl_ctes(cfg, sfx: str) -> list[str]:
+    """L{sfx}/KL{sfx}: labelled paths under ``cfg`` (label set, extensions)."""
+    exts = ", ".join(f"'{e.lower()}'" for e in cfg.extensions)
+    return [
+        f"""L{sfx} AS (select vec_id, path, {_label_sql(cfg)} as label, split from L)""",
+        f"""KL{sfx} AS (select * from L{sfx} where label >= 0
+  and lower(regexp_extract(path, '\\.([^./\\\\]+)$', 1)) in ({exts}))""",
+    ]
+
+
+def _variants_cte(cfg, sfx: str = "", kl: str = "KL") -> str:
+    """A{sfx}: one row per (image, variant) with the seeded parameters."""
     r = float(cfg.rotation_range)
     ang = f"case when aug > 0 then {_d(-r)} + {U('rotate')} * {_d(r - (-r))} end" if r > 0 else "null::double"
     hf = f"case when aug > 0 then {U('hflip')} > 0.5 end" if cfg.horizontal_flip else "null::boolean"
@@ -80,62 +96,76 @@ def _variants_cte(cfg) -> str:
         br = f"case when aug > 0 then {_d(lo)} + {U('brightness')} * {_d(hi - lo)} end"
     else:
         br = "null::double"
-    return f"""A AS (select image_path, split, label, aug, {ang} as angle, {hf} as hf, {vf} as vf, {br} as br
-  from (select path as image_path, split, label, unnest(range(0, {cfg.augmentation_factor + 1})) as aug from KL))"""
+    return f"""A{sfx} AS (select image_path, split, label, aug, {ang} as angle, {hf} as hf, {vf} as vf, {br} as br
+  from (select path as image_path, split, label, unnest(range(0, {cfg.augmentation_factor + 1})) as aug from {kl}))"""
 
 
-def _rotate_ctes(src: str, out: str, w: int = 8, h: int = 8) -> list[str]:
+def _rotate_ctes(src: str, out: str, w: int = 8, h: int = 8, sfx: str = "") -> list[str]:
     """Rotate ``src`` (image_path, pos, v) per variant of A (aug > 0) into
     ``out`` (image_path, aug, pos, v); variant 0 and rows with no angle copy
     the source."""
     cx, cy = w / 2.0, h / 2.0
+    a = f"A{sfx}"
     return [
-        f"""RC AS (select A.image_path, A.aug, S.pos,
+        f"""RC{sfx} AS (select A.image_path, A.aug, S.pos,
     cos(A.angle * (pi() / 180.0)) * ((S.pos % {w}) - {_d(cx)}) - sin(A.angle * (pi() / 180.0)) * ((S.pos // {w}) - {_d(cy)}) + {_d(cx)} as sx,
     sin(A.angle * (pi() / 180.0)) * ((S.pos % {w}) - {_d(cx)}) + cos(A.angle * (pi() / 180.0)) * ((S.pos // {w}) - {_d(cy)}) + {_d(cy)} as sy
-  from A join {src} S using (image_path) where A.angle is not null)""",
-        """RT AS (select image_path, aug, pos, floor(sy) + t.oy as ty, floor(sx) + t.ox as tx,
+  from {a} A join {src} S using (image_path) where A.angle is not null)""",
+        f"""RT{sfx} AS (select image_path, aug, pos, floor(sy) + t.oy as ty, floor(sx) + t.ox as tx,
     (case when t.ox = 1 then sx - floor(sx) else 1.0 - (sx - floor(sx)) end)
     * (case when t.oy = 1 then sy - floor(sy) else 1.0 - (sy - floor(sy)) end) as w
-  from RC join (values (0, 0), (0, 1), (1, 0), (1, 1)) t(oy, ox) on true)""",
-        f"""ROT AS (select RT.image_path, RT.aug, RT.pos,
+  from RC{sfx} join (values (0, 0), (0, 1), (1, 0), (1, 1)) t(oy, ox) on true)""",
+        f"""ROT{sfx} AS (select RT.image_path, RT.aug, RT.pos,
     sum(case when RT.tx >= 0 and RT.tx < {w} and RT.ty >= 0 and RT.ty < {h} then RT.w * S.v else 0.0 end) as v
-  from RT left join {src} S on S.image_path = RT.image_path and S.pos = RT.ty * {w} + RT.tx
+  from RT{sfx} RT left join {src} S on S.image_path = RT.image_path and S.pos = RT.ty * {w} + RT.tx
     and RT.tx >= 0 and RT.tx < {w} and RT.ty >= 0 and RT.ty < {h}
   group by RT.image_path, RT.aug, RT.pos)""",
-        f"""{out} AS (select image_path, aug, pos, v from ROT
-  union all select A.image_path, A.aug, S.pos, S.v from A join {src} S using (image_path) where A.angle is null)""",
+        f"""{out} AS (select image_path, aug, pos, v from ROT{sfx}
+  union all select A.image_path, A.aug, S.pos, S.v from {a} A join {src} S using (image_path) where A.angle is null)""",
     ]
 
 
-def _flip_cte(src: str, out: str, flag: str, axis: str, w: int = 8, h: int = 8) -> str:
+def _flip_cte(src: str, out: str, flag: str, axis: str, w: int = 8, h: int = 8, sfx: str = "") -> str:
     mirror = f"(R.pos // {w}) * {w} + {w - 1} - R.pos % {w}" if axis == "h" else f"({h - 1} - R.pos // {w}) * {w} + R.pos % {w}"
     return f"""{out} AS (select R.image_path, R.aug, R.pos, case when A.{flag} then R2.v else R.v end as v
-  from {src} R join A on A.image_path = R.image_path and A.aug = R.aug
+  from {src} R join A{sfx} A on A.image_path = R.image_path and A.aug = R.aug
   join {src} R2 on R2.image_path = R.image_path and R2.aug = R.aug and R2.pos = {mirror})"""
 
 
-def _brightness_cte(src: str, out: str, lo: float, hi: float) -> str:
+def _brightness_cte(src: str, out: str, lo: float, hi: float, sfx: str = "") -> str:
     return f"""{out} AS (select R.image_path, R.aug, R.pos,
     case when A.br is not null then least(greatest(R.v * A.br, {_d(lo)}), {_d(hi)}) else R.v end as v
-  from {src} R join A on A.image_path = R.image_path and A.aug = R.aug)"""
+  from {src} R join A{sfx} A on A.image_path = R.image_path and A.aug = R.aug)"""
 
 
-def _records_long_ctes(cfg) -> list[str]:
-    """The whole tile chain: min-max -> rotate -> hflip -> brightness."""
-    ctes = [P, L, KL, TL, SRC, MM, _variants_cte(cfg)]
-    ctes += _rotate_ctes("MM", "R1")
-    last = "R1"
+def _records_long_ctes(cfg, sfx: str = "", base: bool = True) -> list[str]:
+    """The whole tile chain under ``cfg``: min-max -> rotate -> hflip ->
+    vflip -> brightness, as REC{sfx}(image_path, aug, split, label, pos, v)."""
+    ctes = [P, L, TL] if base else []
+    if sfx:
+        ctes += _kl_ctes(cfg, sfx)
+        kl = f"KL{sfx}"
+    else:
+        ctes.append(KL)
+        kl = "KL"
+    ctes.append(f"SRC{sfx} AS (select K.path as image_path, K.split, K.label, TL.pos, TL.v from {kl} K join TL using (vec_id))")
+    ctes.append(f"""MM{sfx} AS (select S.image_path, S.pos, (S.v - m.mn) / (m.mx - m.mn + 1e-8) * 1.0 + 0.0 as v
+  from SRC{sfx} S join (select image_path, min(v) as mn, max(v) as mx from SRC{sfx} group by image_path) m using (image_path))""")
+    ctes.append(_variants_cte(cfg, sfx, kl))
+    ctes += _rotate_ctes(f"MM{sfx}", f"R1{sfx}", sfx=sfx)
+    last = f"R1{sfx}"
     if cfg.horizontal_flip:
-        ctes.append(_flip_cte(last, "R2", "hf", "h"))
-        last = "R2"
+        ctes.append(_flip_cte(last, f"R2{sfx}", "hf", "h", sfx=sfx))
+        last = f"R2{sfx}"
     if cfg.vertical_flip:
-        ctes.append(_flip_cte(last, "R3", "vf", "v"))
-        last = "R3"
+        ctes.append(_flip_cte(last, f"R3{sfx}", "vf", "v", sfx=sfx))
+        last = f"R3{sfx}"
     if cfg.brightness_range is not None:
-        ctes.append(_brightness_cte(last, "R4", cfg.norm_min, cfg.norm_max))
-        last = "R4"
-    ctes.append(f"REC AS (select R.image_path, R.aug, A.split, A.label, R.pos, R.v from {last} R join A using (image_path, aug))")
+        ctes.append(_brightness_cte(last, f"R4{sfx}", cfg.norm_min, cfg.norm_max, sfx=sfx))
+        last = f"R4{sfx}"
+    ctes.append(
+        f"REC{sfx} AS (select R.image_path, R.aug, A.split, A.label, R.pos, R.v from {last} R join A{sfx} A using (image_path, aug))"
+    )
     return ctes
 
 
@@ -305,3 +335,59 @@ from BA group by split, batch_id"""
 
 SQL["pipeline_records"] = with_(*_records_long_ctes(TILE_CFG)) + f"""select image_path, aug as augmentation_index, split,
   label::BIGINT as label, pos, {R6('v')} as value from REC"""
+
+SCANNED = "split_part(path, '/', 3) in ('train', 'val', 'validation', 'test')"
+REL = r"regexp_replace(regexp_replace(path, '^raw/v1\.0/', ''), '\.(jpeg|jpg|png)$', '.png')"
+
+SQL["image_scan"] = with_(P, TL, T8) + f"""select {REL} as rel_path, 8::BIGINT as height, 8::BIGINT as width,
+  3::BIGINT as channels, T.pos * 3 + T.k as pos, {R6('T.v')} as value
+from P join (select vec_id, pos, v, unnest(range(0, 3)) as k from T8) T using (vec_id)
+where {SCANNED}"""
+
+SQL["stream_ingest"] = with_(P, L, KL) + f"""select {REL} as rel_path, unnest(range(0, 3)) as augmentation_index, split,
+  label::BIGINT as label, (8 * 8 * 3)::BIGINT as n_values
+from KL where {SCANNED}"""
+
+SQL["parquet_roundtrip"] = with_(*_records_long_ctes(TILE_CFG)) + f"""select image_path, aug as augmentation_index, split,
+  label::BIGINT as label, pos, {R6('v::float')} as value from REC where split = 'train'"""
+
+SQL["tfrecord_encode"] = with_(*_records_long_ctes(TILE_CFG)) + f"""select image_path, aug as augmentation_index, split,
+  label::BIGINT as label, '8,8,1' as image_shape, pos, {R6('v::float')} as value from REC"""
+
+SQL["tfrecord_roundtrip"] = with_(*_records_long_ctes(TILE_CFG)) + f"""select image_path, split,
+  label::BIGINT as label, '8,8,1' as image_shape, pos, {R6('v::float')} as value from REC"""
+
+_EXT = r"lower(regexp_extract(path, '\.([^./\\]+)$', 1))"
+
+SQL["validate_input"] = with_(P, L, f"""S AS (select count(*) as files, count(*) filter (where label >= 0) as known_labels,
+  count(*) filter (where split <> 'unknown') as known_splits,
+  count(*) filter (where {_EXT} in ('jpeg', 'jpg', 'png')) as accepted_ext from L)""") + """
+select 'files_present' as "check", files > 0 as ok, files as n from S
+union all select 'known_labels', known_labels > 0, known_labels from S
+union all select 'known_splits', known_splits > 0, known_splits from S
+union all select 'accepted_extensions', accepted_ext = files, accepted_ext from S"""
+
+SQL["validate_output"] = with_(P, L, KL, RK, """V AS (select count(*) filter (where k <> 3) as bad from
+  (select image_path, count(*) as k from RK group by image_path))""",
+  """Z AS (select count(*) filter (where len(e.embedding) <> 8 * 8 * 1) as bad from KL join embeddings e using (vec_id))""") + """
+select 'metadata_present' as "check", true as ok, count(*) as n from RK
+union all select 'records_match_metadata', true, count(*) from RK
+union all select 'variants_per_image', (select bad from V) = 0, (select bad from V)
+union all select 'tensor_size_matches_shape', (select bad from Z) = 0, (select bad from Z)
+union all select 'examples_match_records', true, count(*) from RK"""
+
+_V2_EXTS = ", ".join(f"'{e}'" for e in V2_CFG.extensions)
+SQL["version_catalog"] = with_(P, L, KL, *_kl_ctes(V2_CFG, "_2")) + f"""
+select 'v1.0' as version_tag, 'v1.0' as version, (select count(*) from L) as total_files,
+  (select count(*) from KL) as total_images, (select count(*) * 3 from KL) as processed_images
+union all
+select 'v1.1', 'v1.1', (select count(*) from L where {_EXT} in ({_V2_EXTS})),
+  (select count(*) from KL_2), (select count(*) * {V2_CFG.augmentation_factor + 1} from KL_2)"""
+
+SQL["version_diff"] = with_(*_records_long_ctes(TILE_CFG), *_records_long_ctes(V2_CFG, "_2", base=False),
+  "K1 AS (select image_path, aug, label, list(v::float order by pos) as lv from REC group by image_path, aug, label)",
+  "K2 AS (select image_path, aug, label, list(v::float order by pos) as lv from REC_2 group by image_path, aug, label)") + """
+select coalesce(K1.image_path, K2.image_path) as image_path, coalesce(K1.aug, K2.aug) as augmentation_index,
+  case when K1.image_path is null then 'added' when K2.image_path is null then 'removed'
+       when K1.lv <> K2.lv or K1.label <> K2.label then 'changed' else 'unchanged' end as status
+from K1 full outer join K2 on K1.image_path = K2.image_path and K1.aug = K2.aug"""

@@ -80,3 +80,55 @@ def tiles_rgb(spark: SparkSession, sf_dir: str, *, with_path: bool = True) -> Da
         F.lit(3).alias("channels"),
         F.slice("data", 1, 48).alias("data"),
     )
+
+
+def _write_png_batches(root: str):
+    import numpy as np
+    import pyarrow as pa
+
+    from ..functions.png import encode_png
+    from .tfrecord import fs_and_path
+
+    def run(batches):
+        for b in batches:
+            rels = b.column(b.schema.get_field_index("rel_path")).to_pylist()
+            data = b.column(b.schema.get_field_index("data"))
+            hs = b.column(b.schema.get_field_index("height")).to_pylist()
+            ws = b.column(b.schema.get_field_index("width")).to_pylist()
+            cs = b.column(b.schema.get_field_index("channels")).to_pylist()
+            offs = data.offsets.to_numpy()
+            vals = data.values.to_numpy(zero_copy_only=False)
+            out = []
+            for i, rel in enumerate(rels):
+                px = vals[offs[i] : offs[i + 1]].reshape(hs[i], ws[i], cs[i])
+                path = f"{root}/{rel}"
+                fs, p = fs_and_path(path)
+                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                # deterministic name and bytes: a retried task rewrites the same file
+                with fs.open_output_stream(p) as f:
+                    f.write(encode_png(px[:, :, 0] if cs[i] == 1 else px))
+                out.append(path)
+            yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.string())], ["file"])
+
+    return run
+
+
+def write_tile_images(df: DataFrame, root: str) -> DataFrame:
+    """Materialise u8 tiles as PNG files ``{root}/{rel_path}`` (one task per
+    input partition, each writing its own rows); returns the written paths
+    as a DataFrame (lazy: run an action to write)."""
+    from pyspark.sql import types as T
+
+    from ..session import ship_package
+
+    ship_package(df.sparkSession)
+    cols = df.select("rel_path", "height", "width", "channels", "data")
+    return cols.mapInArrow(_write_png_batches(root.rstrip("/")), T.StructType([T.StructField("file", T.StringType())]))
+
+
+def tile_image_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """u8 tiles with a relative file path ``{split}/{class}/img{id}.png``
+    (the P layout with every file written as PNG)."""
+    t = tiles_u8(spark, sf_dir)
+    rel = F.regexp_replace(F.regexp_replace("path", r"^raw/v1\.0/", ""), r"\.(jpeg|jpg|png)$", ".png")
+    return t.withColumn("rel_path", rel)
