@@ -373,7 +373,7 @@ def q_batch_collect(spark, sf):
 
 
 def q_pipeline_records(spark, sf):
-    df = PL.process(_images(spark, sf).drop("vec_id"), TILE_CFG)
+    df = PL.process(_images(spark, sf).drop("vec_id"), TILE_CFG, at_target_size=True)
     df = df.withColumn("augmentation_index", F.col("augmentation_index").cast("bigint")).withColumn(
         "label", F.col("label").cast("bigint")
     )

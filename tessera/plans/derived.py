@@ -84,7 +84,7 @@ def q_stream_ingest(spark, sf):
 
 
 def _tile_records(spark, sf, cfg=C.TILE_CFG) -> DataFrame:
-    return PL.to_records(PL.process(C._images(spark, sf, cfg).drop("vec_id"), cfg), cfg)
+    return PL.to_records(PL.process(C._images(spark, sf, cfg).drop("vec_id"), cfg, at_target_size=True), cfg)
 
 
 def _float_long(df: DataFrame, keys: list[str], col: str) -> DataFrame:

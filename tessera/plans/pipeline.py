@@ -63,11 +63,17 @@ def features_map(hist: Column, channels: int) -> Column:
     return F.map_from_arrays(keys, vals)
 
 
-def process(images: DataFrame, cfg: PipelineConfig, *, data_col: str = "data") -> DataFrame:
+def process(
+    images: DataFrame, cfg: PipelineConfig, *, data_col: str = "data", at_target_size: bool = False
+) -> DataFrame:
     """images (image_path, label, split, height, width, channels, data) ->
-    processed rows (same keys + augmentation_index, tensor, features)."""
+    processed rows (same keys + augmentation_index, tensor, features).
+
+    ``at_target_size``: the caller guarantees every tensor already has the
+    target height and width (e.g. tiles), so the resize kernel, and the
+    Python crossing it costs, is left out of the plan."""
     is_binary = isinstance(images.schema[data_col].dataType, T.BinaryType)
-    steps = prepare_steps(cfg)
+    steps = prepare_steps(cfg, resize=is_binary or not at_target_size)
     if steps or is_binary:
         depth_col = "image_path" if is_binary and "image_path" in images.columns else None
         df = S.run_kernels(images, steps, data_col=data_col, depth_check_path_col=depth_col)
