@@ -7,9 +7,11 @@ it runs inside the JVM with no Python crossing.
 One trap shapes this module: a per-row statistic referenced inside a lambda
 (``transform(d, x -> x - array_min(d))``) is re-evaluated for every element
 once the optimizer collapses the projections, which makes the operator
-quadratic in the image size.  :func:`let` binds such a value once per row
-(``transform(array(v), b -> body(b))[0]``); every statistic below goes
-through it.
+quadratic in the image size.  The same happens to the input array itself
+when it is an expression (not a column) read inside an index lambda
+(``transform(sequence(..), i -> d[f(i)])``).  :func:`let` binds a value
+once per row (``transform(array(v), b -> body(b))[0]``); every function
+below binds its input array and its statistics through it.
 """
 
 from __future__ import annotations
@@ -53,17 +55,22 @@ def array_mean(d) -> Column:
 
 
 def array_std_pop(d) -> Column:
-    """Population standard deviation, two-pass (mean bound once)."""
-    d = _col(d)
+    """Population standard deviation, two-pass (array and mean bound once)."""
     return let(
-        array_mean(d),
-        lambda m: F.sqrt(F.aggregate(d, F.lit(0.0).cast("double"), lambda acc, x: acc + (x - m) * (x - m)) / F.size(d)),
+        _col(d),
+        lambda d: let(
+            array_mean(d),
+            lambda m: F.sqrt(F.aggregate(d, F.lit(0.0).cast("double"), lambda acc, x: acc + (x - m) * (x - m)) / F.size(d)),
+        ),
     )
 
 
 def tensor_stats(d) -> Column:
     """struct(min, max, mean, std) of one tensor, each statistic bound once."""
-    d = _col(d)
+    return let(_col(d), _tensor_stats)
+
+
+def _tensor_stats(d: Column) -> Column:
     return let(
         F.struct(
             F.array_min(d).alias("t_min"),
@@ -101,7 +108,10 @@ def partial_sums(d) -> Column:
 
 def normalize_min_max(d, lo: float = 0.0, hi: float = 1.0) -> Column:
     """(x - min) / (max - min + 1e-8) * (hi - lo) + lo over the whole tensor."""
-    d = _col(d)
+    return let(_col(d), lambda dd: _min_max(dd, lo, hi))
+
+
+def _min_max(d: Column, lo: float, hi: float) -> Column:
     return let(
         F.struct(F.array_min(d).alias("mn"), F.array_max(d).alias("mx")),
         lambda s: F.transform(
@@ -112,9 +122,10 @@ def normalize_min_max(d, lo: float = 0.0, hi: float = 1.0) -> Column:
 
 def normalize_z_score(d) -> Column:
     """(x - mean) / (population std + 1e-8) over the whole tensor."""
-    d = _col(d)
-    st = tensor_stats(d)
-    return let(st, lambda s: F.transform(d, lambda x: (x - s["t_mean"]) / (s["t_std"] + F.lit(EPS))))
+    return let(
+        _col(d),
+        lambda dd: let(_tensor_stats(dd), lambda s: F.transform(dd, lambda x: (x - s["t_mean"]) / (s["t_std"] + F.lit(EPS)))),
+    )
 
 
 def normalize(d, method: str, lo: float = 0.0, hi: float = 1.0) -> Column:
@@ -131,30 +142,39 @@ def normalize(d, method: str, lo: float = 0.0, hi: float = 1.0) -> Column:
 
 def hflip(d, h, w, c) -> Column:
     """T[y, w-1-x, c]."""
-    d, h, w, c = _col(d), _col(h), _col(w), _col(c)
+    h, w, c = _col(h), _col(w), _col(c)
     row = w * c
-    return F.transform(
-        F.sequence(F.lit(0), F.size(d) - 1),
-        lambda i: d[F.floor(i / row).cast("int") * row + (w - 1 - F.floor(i / c).cast("int") % w) * c + i % c],
+    return let(
+        _col(d),
+        lambda d: F.transform(
+            F.sequence(F.lit(0), F.size(d) - 1),
+            lambda i: d[F.floor(i / row).cast("int") * row + (w - 1 - F.floor(i / c).cast("int") % w) * c + i % c],
+        ),
     )
 
 
 def vflip(d, h, w, c) -> Column:
     """T[h-1-y, x, c]."""
-    d, h, w, c = _col(d), _col(h), _col(w), _col(c)
+    h, w, c = _col(h), _col(w), _col(c)
     row = w * c
-    return F.transform(
-        F.sequence(F.lit(0), F.size(d) - 1),
-        lambda i: d[(h - 1 - F.floor(i / row).cast("int")) * row + i % row],
+    return let(
+        _col(d),
+        lambda d: F.transform(
+            F.sequence(F.lit(0), F.size(d) - 1),
+            lambda i: d[(h - 1 - F.floor(i / row).cast("int")) * row + i % row],
+        ),
     )
 
 
 def nest(d, h, w, c) -> Column:
     """Flat H-W-C to [H][W][C] (only at export; it duplicates the data)."""
-    d, h, w, c = _col(d), _col(h), _col(w), _col(c)
-    return F.transform(
-        F.sequence(F.lit(0), h - 1),
-        lambda y: F.transform(F.sequence(F.lit(0), w - 1), lambda x: F.slice(d, (y * w + x) * c + 1, c)),
+    h, w, c = _col(h), _col(w), _col(c)
+    return let(
+        _col(d),
+        lambda d: F.transform(
+            F.sequence(F.lit(0), h - 1),
+            lambda y: F.transform(F.sequence(F.lit(0), w - 1), lambda x: F.slice(d, (y * w + x) * c + 1, c)),
+        ),
     )
 
 
@@ -173,28 +193,30 @@ def shape(h, w, c) -> Column:
 def to_rgb(d, h, w, c, bgr: bool = True) -> Column:
     """1 channel replicated x3; 3/4 channels (B,G,R[,A] as the image source
     stores them) reordered to R,G,B with alpha dropped."""
-    d, c = _col(d), _col(c)
+    c = _col(c)
     n_out = _col(h) * _col(w) * 3
     if bgr:
         src = lambda i: F.floor(i / 3).cast("int") * c + (2 - i % 3)
     else:
         src = lambda i: F.floor(i / 3).cast("int") * c + i % 3
-    return F.transform(
-        F.sequence(F.lit(0), n_out - 1),
-        lambda i: F.when(c == 1, d[F.floor(i / 3).cast("int")]).otherwise(d[src(i)]),
+    return let(
+        _col(d),
+        lambda d: F.transform(
+            F.sequence(F.lit(0), n_out - 1),
+            lambda i: F.when(c == 1, d[F.floor(i / 3).cast("int")]).otherwise(d[src(i)]),
+        ),
     )
 
 
 def rgb_to_gray(d, h, w, round_u8: bool = True) -> Column:
     """0.299 R + 0.587 G + 0.114 B; rounded to an integer level for u8 input."""
-    d = _col(d)
     n = _col(h) * _col(w)
 
-    def px(p):
+    def px(d, p):
         v = F.lit(0.299) * d[p * 3] + F.lit(0.587) * d[p * 3 + 1] + F.lit(0.114) * d[p * 3 + 2]
         return F.floor(v + F.lit(0.5)).cast("double") if round_u8 else v
 
-    return F.transform(F.sequence(F.lit(0), n - 1), px)
+    return let(_col(d), lambda d: F.transform(F.sequence(F.lit(0), n - 1), lambda p: px(d, p)))
 
 
 def to_u8(d) -> Column:

@@ -11,20 +11,25 @@ from pyspark.sql import types as T
 from ..functions.example import decode_example, encode_example
 
 
+def examples_from_batch(b: pa.RecordBatch) -> list[bytes]:
+    """Encode the record columns of one Arrow batch (image_flattened,
+    label, image_shape, image_path) as example messages."""
+    n = b.num_rows
+    img = b.column(b.schema.get_field_index("image_flattened"))
+    offs = img.offsets.to_numpy()
+    vals = img.values.to_numpy(zero_copy_only=False).astype("<f4", copy=False)
+    labels = b.column(b.schema.get_field_index("label")).to_pylist()
+    shapes = b.column(b.schema.get_field_index("image_shape")).to_pylist()
+    paths = b.column(b.schema.get_field_index("image_path")).to_pylist()
+    return [encode_example(vals[offs[i] : offs[i + 1]], int(labels[i]), shapes[i], paths[i]) for i in range(n)]
+
+
 def _encode_batches(batches):
     for b in batches:
         n = b.num_rows
         if n == 0:
             continue
-        img = b.column(b.schema.get_field_index("image_flattened"))
-        offs = img.offsets.to_numpy()
-        vals = img.values.to_numpy(zero_copy_only=False).astype("<f4", copy=False)
-        labels = b.column(b.schema.get_field_index("label")).to_pylist()
-        shapes = b.column(b.schema.get_field_index("image_shape")).to_pylist()
-        paths = b.column(b.schema.get_field_index("image_path")).to_pylist()
-        out = [
-            encode_example(vals[offs[i] : offs[i + 1]], int(labels[i]), shapes[i], paths[i]) for i in range(n)
-        ]
+        out = examples_from_batch(b)
         keep = [b.column(b.schema.get_field_index(c)) for c in ("image_path", "augmentation_index", "split")]
         yield pa.RecordBatch.from_arrays(
             [*keep, pa.array(out, type=pa.binary())], ["image_path", "augmentation_index", "split", "example"]
@@ -77,7 +82,7 @@ def _decode_batches(batches):
                 pa.array(paths, type=pa.string()),
                 pa.array(labels, type=pa.int64()),
                 pa.array(shapes, type=pa.list_(pa.int64())),
-                pa.ListArray.from_arrays(pa.array(offs), pa.array(flat, type=pa.float64())),
+                pa.ListArray.from_arrays(pa.array(offs), pa.array(np.ascontiguousarray(flat, dtype=np.float64))),
             ],
             ["augmentation_index", "split", "image_path", "label", "image_shape", "image"],
         )

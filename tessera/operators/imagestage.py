@@ -95,7 +95,7 @@ def _list_array(flat: np.ndarray, rows: int, typ) -> pa.Array:
     per = flat.size // rows if rows else 0
     offsets = np.arange(rows + 1, dtype=np.int64) * per
     otype = pa.int32() if flat.size < 2**31 else pa.int64()
-    values = pa.array(flat.reshape(-1), type=typ)
+    values = pa.array(np.ascontiguousarray(flat.reshape(-1)))
     if otype == pa.int32():
         return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
     return pa.LargeListArray.from_arrays(pa.array(offsets), values)

@@ -55,10 +55,16 @@ def resize(imgs: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
     _, h, w, _ = imgs.shape
     if (h, w) == (out_h, out_w):
         return imgs
+    b, _, _, c = imgs.shape
     wy = resize_weights(h, out_h)
     wx = resize_weights(w, out_w)
-    tmp = np.einsum("oy,byxc->boxc", wy, imgs, optimize=True)
-    return np.einsum("px,boxc->bopc", wx, tmp, optimize=True)
+    # rows: (out_h, h) @ (h, b*w*c), one GEMM for the whole stack
+    cols = np.ascontiguousarray(imgs.transpose(1, 0, 2, 3)).reshape(h, b * w * c)
+    tmp = (wy @ cols).reshape(out_h, b, w, c)
+    # columns: (out_h*b*c, w) @ (w, out_w), one GEMM
+    rows = np.ascontiguousarray(tmp.transpose(0, 1, 3, 2)).reshape(out_h * b * c, w)
+    out = (rows @ wx.T).reshape(out_h, b, c, out_w)
+    return np.ascontiguousarray(out.transpose(1, 0, 3, 2))
 
 
 @lru_cache(maxsize=16)
@@ -122,16 +128,17 @@ def rotate(imgs: np.ndarray, angles_deg: np.ndarray) -> np.ndarray:
     y0 = np.floor(sy).astype(np.int64)
     fx = sx - x0
     fy = sy - y0
-    src = imgs[todo]
-    nb = src.shape[0]
-    bi = np.arange(nb)[:, None, None]
-    acc = np.zeros((nb, h, w, c), dtype=np.float64)
+    src = imgs[todo].reshape(-1, c)  # (nb*h*w, c) pixel table
+    nb = int(todo.sum())
+    base = (np.arange(nb, dtype=np.int64) * (h * w))[:, None, None]
+    acc = np.zeros((nb * h * w, c), dtype=np.float64)
     for oy, ox, wt in ((0, 0, (1 - fx) * (1 - fy)), (0, 1, fx * (1 - fy)), (1, 0, (1 - fx) * fy), (1, 1, fx * fy)):
         ty, tx = y0 + oy, x0 + ox
         inside = (ty >= 0) & (ty < h) & (tx >= 0) & (tx < w)
-        vals = src[bi, np.clip(ty, 0, h - 1), np.clip(tx, 0, w - 1), :]
-        acc += np.where(inside[..., None], vals * wt[..., None], 0.0)
-    out[todo] = acc
+        idx = (base + np.clip(ty, 0, h - 1) * w + np.clip(tx, 0, w - 1)).reshape(-1)
+        # taps outside the image contribute 0
+        acc += np.take(src, idx, axis=0) * np.where(inside, wt, 0.0).reshape(-1, 1)
+    out[todo] = acc.reshape(nb, h, w, c)
     return out
 
 
@@ -159,3 +166,33 @@ def bgr_bytes_to_rgb(buf: bytes, h: int, w: int, n_channels: int) -> np.ndarray:
     else:
         rgb = a[:, :, 2::-1]
     return rgb.astype(np.float64)
+
+
+def normalize(imgs: np.ndarray, method: str, lo: float, hi: float) -> np.ndarray:
+    """Per-image (whole tensor) normalisation, same formulas as the
+    Catalyst form: min-max to [lo, hi], z-score with population std."""
+    b = imgs.shape[0]
+    flat = imgs.reshape(b, -1)
+    if method == "min_max":
+        mn = flat.min(axis=1)[:, None]
+        mx = flat.max(axis=1)[:, None]
+        out = (flat - mn) / (mx - mn + 1e-8) * (hi - lo) + lo
+    elif method == "z_score":
+        mean = flat.sum(axis=1)[:, None] / flat.shape[1]
+        std = np.sqrt(((flat - mean) ** 2).sum(axis=1)[:, None] / flat.shape[1])
+        out = (flat - mean) / (std + 1e-8)
+    else:
+        out = flat
+    return out.reshape(imgs.shape)
+
+
+def brightness(imgs: np.ndarray, factors: np.ndarray, lo: float, hi: float, mode: str) -> np.ndarray:
+    """Scale each image by its factor (NaN: unchanged), clip to [lo, hi]
+    (default) or to [0, 255] and truncate (``u8_compat``)."""
+    f = factors.reshape(-1, 1, 1, 1)
+    ok = ~np.isnan(f)
+    if mode == "u8_compat":
+        scaled = np.floor(np.clip(imgs * np.where(ok, f, 1.0), 0.0, 255.0))
+    else:
+        scaled = np.minimum(np.maximum(imgs * np.where(ok, f, 1.0), lo), hi)
+    return np.where(ok, scaled, imgs)

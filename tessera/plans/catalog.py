@@ -39,6 +39,7 @@ TILE_CFG = PipelineConfig(
     brightness_range=(0.8, 1.2),
     augmentation_factor=2,
     round_u8=False,
+    engine="native",
 )
 # every augmentation switch on, for the parameter and flip checks
 ALL_AUG_CFG = TILE_CFG.with_(vertical_flip=True)
@@ -380,6 +381,18 @@ def q_pipeline_records(spark, sf):
     return long_form(df, ["image_path", "augmentation_index", "split", "label"])
 
 
+def q_pipeline_records_kernel(spark, sf):
+    """The same chain on the fused NumPy engine (float32 records)."""
+    df = PL.process(_images(spark, sf).drop("vec_id"), TILE_CFG, at_target_size=True, engine="kernel")
+    ex = df.select(
+        "image_path", _i64("augmentation_index"), "split", _i64("label"), F.posexplode("data").alias("pos", "value")
+    )
+    return ex.select(
+        "image_path", "augmentation_index", "split", "label", _i64("pos"),
+        TN.round6(F.col("value").cast("double")).alias("value"),
+    )
+
+
 QUERIES = {
     "label_encode": q_label_encode,
     "label_filter": q_label_filter,
@@ -423,4 +436,5 @@ QUERIES = {
     "batch_assign_scaled": q_batch_assign_scaled,
     "batch_collect": q_batch_collect,
     "pipeline_records": q_pipeline_records,
+    "pipeline_records_kernel": q_pipeline_records_kernel,
 }

@@ -72,7 +72,7 @@ def q_stream_ingest(spark, sf):
     root = tile_files(spark, sf)
     out = scratch_path(spark, "stream-records")
     ckpt = scratch_path(spark, "stream-checkpoint")
-    ING.ingest(spark, root, out, ckpt, C.TILE_CFG.with_(round_u8=True))
+    ING.ingest(spark, root, out, ckpt, C.TILE_CFG.with_(round_u8=True, engine="kernel"))
     rec = spark.read.parquet(out)
     return rec.select(
         _rel("image_path", root).alias("rel_path"),
@@ -84,7 +84,9 @@ def q_stream_ingest(spark, sf):
 
 
 def _tile_records(spark, sf, cfg=C.TILE_CFG) -> DataFrame:
-    return PL.to_records(PL.process(C._images(spark, sf, cfg).drop("vec_id"), cfg, at_target_size=True), cfg)
+    """Stored-record form of the tiles, on the production (kernel) engine."""
+    imgs = C._images(spark, sf, cfg).drop("vec_id")
+    return PL.to_records(PL.process(imgs, cfg, at_target_size=True, engine="kernel"), cfg)
 
 
 def _float_long(df: DataFrame, keys: list[str], col: str) -> DataFrame:

@@ -336,6 +336,9 @@ from BA group by split, batch_id"""
 SQL["pipeline_records"] = with_(*_records_long_ctes(TILE_CFG)) + f"""select image_path, aug as augmentation_index, split,
   label::BIGINT as label, pos, {R6('v')} as value from REC"""
 
+SQL["pipeline_records_kernel"] = with_(*_records_long_ctes(TILE_CFG)) + f"""select image_path, aug as augmentation_index,
+  split, label::BIGINT as label, pos, {R6('v::float')} as value from REC"""
+
 SCANNED = "split_part(path, '/', 3) in ('train', 'val', 'validation', 'test')"
 REL = r"regexp_replace(regexp_replace(path, '^raw/v1\.0/', ''), '\.(jpeg|jpg|png)$', '.png')"
 

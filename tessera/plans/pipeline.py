@@ -64,14 +64,29 @@ def features_map(hist: Column, channels: int) -> Column:
 
 
 def process(
-    images: DataFrame, cfg: PipelineConfig, *, data_col: str = "data", at_target_size: bool = False
+    images: DataFrame,
+    cfg: PipelineConfig,
+    *,
+    data_col: str = "data",
+    at_target_size: bool = False,
+    engine: str | None = None,
 ) -> DataFrame:
     """images (image_path, label, split, height, width, channels, data) ->
     processed rows (same keys + augmentation_index, tensor, features).
 
     ``at_target_size``: the caller guarantees every tensor already has the
     target height and width (e.g. tiles), so the resize kernel, and the
-    Python crossing it costs, is left out of the plan."""
+    Python crossing it costs, is left out of the plan.
+
+    ``engine="kernel"`` runs the per-pixel steps in one Arrow-batched NumPy
+    stage (see ``operators.fused``; the fast path for real image sizes);
+    ``"native"`` runs normalisation, flips and brightness as Catalyst
+    array expressions and only resize / blur / rotate / histogram in NumPy.
+    Both produce the same values (checked against the SQL oracle)."""
+    if (engine or cfg.engine) == "kernel":
+        from ..operators.fused import process_fused
+
+        return process_fused(images, cfg, at_target_size=at_target_size, out_float32=True)
     is_binary = isinstance(images.schema[data_col].dataType, T.BinaryType)
     steps = prepare_steps(cfg, resize=is_binary or not at_target_size)
     if steps or is_binary:
@@ -100,7 +115,11 @@ def to_records(df: DataFrame, cfg: PipelineConfig, *, data_col: str = "data", ne
         F.col("label").cast("int").alias("label"),
         F.col("augmentation_index").cast("int").alias("augmentation_index"),
         TN.shape("height", "width", "channels").alias("image_shape"),
-        TN.to_float_array(F.col(data_col)).alias("image_flattened"),
+        (
+            F.col(data_col)
+            if df.schema[data_col].dataType.elementType == T.FloatType()
+            else TN.to_float_array(F.col(data_col))
+        ).alias("image_flattened"),
         F.when(F.size("features") > 0, F.to_json("features")).alias("features"),
     ]
     if nested:

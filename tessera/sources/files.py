@@ -33,14 +33,17 @@ def extension_glob(cfg: PipelineConfig) -> str:
 
 
 def image_glob(root: str, cfg: PipelineConfig) -> str:
-    """``{root}/{train,val,validation,test}/*/*.{jpeg,jpg,png,JPEG,JPG,PNG}``."""
-    return f"{root.rstrip('/')}/{{{','.join(cfg.split_folders)}}}/*/{extension_glob(cfg)}"
+    """``{root}/{train,val,validation,test}/*``: the class folders.  The
+    extension test is the reader's ``pathGlobFilter``; globbing down to the
+    files would make every file a root path of the file index (and above
+    32 roots Spark starts a listing job with one task per file)."""
+    return f"{root.rstrip('/')}/{{{','.join(cfg.split_folders)}}}/*"
 
 
 def _reader(spark: SparkSession, fmt: str, cfg: PipelineConfig, recursive: bool):
-    r = spark.read.format(fmt)
+    r = spark.read.format(fmt).option("pathGlobFilter", extension_glob(cfg))
     if recursive:
-        r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", extension_glob(cfg))
+        r = r.option("recursiveFileLookup", "true")
     return r
 
 

@@ -1,7 +1,9 @@
 """TFRecord files as a Spark Python Data Source (``format("tfrecord")``).
 
-Write: the input has ``example binary`` (an encoded message) and ``split
-string``.  Each task frames its rows and appends them to one file per
+Write: the input has ``split string`` and either ``example binary`` (an
+encoded message) or the record columns (``image_flattened``, ``label``,
+``image_shape``, ``image_path``), which the writer encodes itself so the
+tensors cross into Python once.  Each task frames its rows and appends them to one file per
 split under a job-private ``_temporary`` folder, rolling to a new shard
 when ``shardSizeMb`` is reached, optionally gzip-compressed.  Task commit
 messages list the shard files; the driver's job commit moves them to
@@ -131,7 +133,7 @@ class TFRecordReader(DataSourceReader):
         offs = np.zeros(n + 1, dtype=np.int32)
         np.cumsum([a.size for a in imgs], out=offs[1:])
         flat = np.concatenate(imgs) if imgs else np.zeros(0, dtype=np.float32)
-        image = pa.ListArray.from_arrays(pa.array(offs), pa.array(flat.astype(np.float32), type=pa.float32()))
+        image = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.ascontiguousarray(flat, dtype=np.float32)))
         return pa.RecordBatch.from_arrays(
             [image, pa.array(labels, type=pa.int64()), pa.array(shapes, type=pa.list_(pa.int64())),
              pa.array(paths, type=pa.string()), splits],
@@ -169,7 +171,14 @@ class TFRecordWriter(DataSourceArrowWriter):
 
         try:
             for batch in iterator:
-                ex = batch.column(batch.schema.get_field_index("example")).to_pylist()
+                if batch.num_rows == 0:
+                    continue
+                if "example" in batch.schema.names:
+                    ex = batch.column(batch.schema.get_field_index("example")).to_pylist()
+                else:
+                    from ..operators.encode import examples_from_batch
+
+                    ex = examples_from_batch(batch)
                 sp = batch.column(batch.schema.get_field_index("split")).to_pylist()
                 by_split: dict[str, list[bytes]] = {}
                 for e, s in zip(ex, sp):

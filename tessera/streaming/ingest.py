@@ -18,7 +18,7 @@ from ..config import PipelineConfig
 from ..functions import labels as LB
 from ..plans import pipeline as PL
 from ..session import ship_package
-from ..sources.files import image_glob
+from ..sources.files import extension_glob, image_glob
 
 IMAGE_SCHEMA = T.StructType(
     [
@@ -41,7 +41,12 @@ IMAGE_SCHEMA = T.StructType(
 
 
 def image_stream(spark: SparkSession, raw_root: str, cfg: PipelineConfig, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("image").schema(IMAGE_SCHEMA).option("dropInvalid", "false")
+    r = (
+        spark.readStream.format("image")
+        .schema(IMAGE_SCHEMA)
+        .option("dropInvalid", "false")
+        .option("pathGlobFilter", extension_glob(cfg))
+    )
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = r.load(image_glob(raw_root, cfg))
