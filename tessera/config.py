@@ -60,6 +60,9 @@ class PipelineConfig:
     split_validation: float = 0.15
     split_test: float = 0.15
     preserve_existing_splits: bool = True
+    # "folder": split from the path only (unknown stays unknown, as the
+    # original); "ratio": seeded ratio split for unknown (or all) images
+    split_assignment: str = "folder"
     # labels, in match order
     label_encoding: tuple[tuple[str, int], ...] = DEFAULT_LABEL_ENCODING
     label_match: str = "path"  # "path" (whole path, as the original) | "parent_dir"
@@ -131,6 +134,8 @@ class PipelineConfig:
             errors.append("histogram_stage must be pre or post")
         if self.label_match not in ("path", "parent_dir"):
             errors.append("label_match must be path or parent_dir")
+        if self.split_assignment not in ("folder", "ratio"):
+            errors.append("split_assignment must be folder or ratio")
         if self.engine not in ("kernel", "native"):
             errors.append("engine must be kernel or native")
         if self.tfrecord_compression not in (None, "gzip"):
@@ -219,6 +224,7 @@ def from_dict(cfg: dict | None) -> PipelineConfig:
         split_validation=float(splits.get("validation", 0.15)),
         split_test=float(splits.get("test", 0.15)),
         preserve_existing_splits=bool(splits.get("preserve_existing_splits", True)),
+        split_assignment=str(splits.get("assignment", "folder")),
         label_encoding=tuple((str(k), int(v)) for k, v in labels.items()),
         tfrecord_enabled=bool(tfr.get("enabled", True)),
         tfrecord_compression=comp,

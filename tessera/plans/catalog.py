@@ -352,6 +352,11 @@ def q_dataset_statistics(spark, sf):
     return df.withColumn("label", F.col("label").cast("bigint"))
 
 
+def q_dataset_statistics_kernel(spark, sf):
+    df = ST.dataset_statistics(_images(spark, sf), channels=1, engine="kernel")
+    return df.withColumn("label", F.col("label").cast("bigint"))
+
+
 def q_batch_assign(spark, sf):
     df = BT.assign_batches_window(_record_keys(spark, sf), TILE_CFG)
     return df.select("image_path", _i64("augmentation_index"), "split", "batch_id", "batch_pos")
@@ -432,6 +437,7 @@ QUERIES = {
     "metadata_counts": q_metadata_counts,
     "metadata_summary": q_metadata_summary,
     "dataset_statistics": q_dataset_statistics,
+    "dataset_statistics_kernel": q_dataset_statistics_kernel,
     "batch_assign": q_batch_assign,
     "batch_assign_scaled": q_batch_assign_scaled,
     "batch_collect": q_batch_collect,

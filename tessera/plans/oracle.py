@@ -323,6 +323,8 @@ SQL["dataset_statistics"] = with_(P, L, KL, TL, SRC) + f"""select split, label::
   count(distinct '8,8,1') as n_shapes
 from SRC group by split, label"""
 
+SQL["dataset_statistics_kernel"] = SQL["dataset_statistics"]
+
 BA = """BA AS (select image_path, aug, split, (rn - 1) // 32 as batch_id, (rn - 1) % 32 as batch_pos
   from (select *, row_number() over (partition by split
           order by md5(concat_ws('|', '42', image_path, cast(aug as varchar))), image_path, aug) as rn from RK))"""

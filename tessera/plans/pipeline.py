@@ -23,10 +23,15 @@ RECORD_KEY = ("image_path", "augmentation_index")
 
 
 def with_label_split(df: DataFrame, cfg: PipelineConfig, path_col: str = "image_path") -> DataFrame:
-    """Add ``label`` and ``split`` from the path (native expressions)."""
-    return df.withColumn("label", LB.label_expr(F.col(path_col), cfg)).withColumn(
-        "split", LB.split_expr(F.col(path_col))
-    )
+    """Add ``label`` and ``split`` from the path (native expressions).  With
+    ``split_assignment="ratio"`` the seeded ratio split decides images
+    without a split folder (or every image, unless existing folders are
+    preserved); it keys on the image path, so all variants of an image
+    share a split."""
+    split = LB.split_expr(F.col(path_col))
+    if cfg.split_assignment == "ratio":
+        split = LB.ratio_split_expr(F.col(path_col), cfg, existing=split)
+    return df.withColumn("label", LB.label_expr(F.col(path_col), cfg)).withColumn("split", split)
 
 
 def known_labels(df: DataFrame) -> DataFrame:

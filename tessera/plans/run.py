@@ -129,8 +129,12 @@ def run_pipeline(
                           F.col("image_shape")[0].alias("height"), F.col("image_shape")[1].alias("width"),
                           F.col("image_shape")[2].alias("channels")),
             channels=cfg.out_channels,
+            engine=cfg.engine,
         )
         stats = [r.asDict() for r in st.collect()]  # one row per (split, label, channel)
     doc = Q.metadata_document(summary, cfg, rejected=n_rejected, statistics=stats)
+    # files per (split folder, extension): the scan probe counts, one pass
+    scan = ST.scan_counts(listing.select(F.col("image_path").alias("path")), "path")
+    doc["scan_counts"] = {f"{r.split}/{r.extension}": r.n for r in scan.collect()}
     meta = SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", doc)
     return RunResult(pq_path, tf_path, rj_path, meta, doc)

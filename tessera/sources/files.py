@@ -88,10 +88,13 @@ def read_images(spark: SparkSession, root: str, cfg: PipelineConfig, *, recursiv
 
 
 def labelled_files(files: DataFrame, cfg: PipelineConfig, path_col: str = "path") -> DataFrame:
+    split = LB.split_expr(F.col(path_col))
+    if cfg.split_assignment == "ratio":
+        split = LB.ratio_split_expr(F.col(path_col), cfg, existing=split)
     return files.select(
         F.col(path_col).alias("image_path"),
         LB.label_expr(F.col(path_col), cfg).alias("label"),
-        LB.split_expr(F.col(path_col)).alias("split"),
+        split.alias("split"),
     )
 
 
