@@ -181,6 +181,30 @@ def read_records(data: bytes, verify: bool = True, chunk: int = 256):
     yield from _check(pending, verify)
 
 
+def read_records_stream(stream, verify: bool = True, chunk: int = 64):
+    """Like :func:`read_records` over a file-like object: one record and
+    one verification chunk in memory at a time, whatever the file size."""
+    pending = []
+    while True:
+        head = stream.read(12)
+        if not head:
+            break
+        if len(head) < 12:
+            raise ValueError("truncated TFRecord header")
+        (ln,) = struct.unpack_from("<Q", head, 0)
+        (lcrc,) = struct.unpack_from("<I", head, 8)
+        payload = stream.read(ln)
+        tail = stream.read(4)
+        if len(payload) < ln or len(tail) < 4:
+            raise ValueError("truncated TFRecord payload")
+        (pcrc,) = struct.unpack_from("<I", tail, 0)
+        pending.append((head[:8], lcrc, payload, pcrc))
+        if len(pending) >= chunk:
+            yield from _check(pending, verify)
+            pending = []
+    yield from _check(pending, verify)
+
+
 def _check(items, verify: bool):
     if not items:
         return

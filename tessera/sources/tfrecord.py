@@ -35,7 +35,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from ..functions.example import decode_example, frame_records, read_records
+from ..functions.example import decode_example, frame_records, read_records_stream
 
 DECODED_SCHEMA = "image array<float>, label bigint, image_shape array<bigint>, image_path string, split string"
 RAW_SCHEMA = "record binary, split string"
@@ -107,15 +107,14 @@ class TFRecordReader(DataSourceReader):
         fs, p = fs_and_path(partition.path)
         comp = "gzip" if p.endswith(".gz") else None
         with fs.open_input_stream(p, compression=comp) as f:
-            data = f.read()
-        batch = []
-        for payload in read_records(data, verify=self.verify):
-            batch.append(payload)
-            if len(batch) >= 64:
+            batch = []
+            for payload in read_records_stream(f, verify=self.verify):
+                batch.append(payload)
+                if len(batch) >= 64:
+                    yield self._batch(batch, partition.split)
+                    batch = []
+            if batch:
                 yield self._batch(batch, partition.split)
-                batch = []
-        if batch:
-            yield self._batch(batch, partition.split)
 
     def _batch(self, payloads: list[bytes], split: str) -> pa.RecordBatch:
         n = len(payloads)
