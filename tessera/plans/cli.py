@@ -57,7 +57,8 @@ def main(argv: list[str] | None = None) -> int:
         from ..streaming.ingest import ingest
 
         ingest(spark, raw, f"{out.rstrip('/')}/parquet", a.checkpoint, cfg)
-        print(json.dumps({"records": spark.read.parquet(f"{out.rstrip('/')}/parquet").count()}))
+        doc = R.refresh_metadata(spark, raw, out, cfg, recursive=a.recursive)
+        print(json.dumps({k: v for k, v in doc.items() if k != "config"}, default=str))
         return 0
     res = R.run_pipeline(spark, raw, out, cfg, recursive=a.recursive, max_images=a.max_images)
     print(json.dumps({k: v for k, v in res.document.items() if k != "config"}, default=str))

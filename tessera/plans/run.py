@@ -46,6 +46,7 @@ class RunResult:
     rejects: str
     metadata: str
     document: dict
+    batches: str | None = None
 
 
 def decoded_images(
@@ -116,6 +117,14 @@ def run_pipeline(
     if cfg.tfrecord_enabled:
         tf_path = SK.write_tfrecords(stored, f"{out}/tfrecords", cfg)
 
+    # training batches: keys only (path, variant, split) -> batch id and
+    # position, ranked without a per-split single task
+    from ..operators.batching import assign_batches
+
+    bt_path = f"{out}/batches"
+    keys = stored.select("image_path", "augmentation_index", "split")
+    assign_batches(keys, cfg).write.mode("overwrite").partitionBy("split").parquet(bt_path)
+
     rj_path = f"{out}/rejects"
     rejects(listing, stored).write.mode("overwrite").parquet(rj_path)
     rj = spark.read.parquet(rj_path)
@@ -137,4 +146,16 @@ def run_pipeline(
     scan = ST.scan_counts(listing.select(F.col("image_path").alias("path")), "path")
     doc["scan_counts"] = {f"{r.split}/{r.extension}": r.n for r in scan.collect()}
     meta = SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", doc)
-    return RunResult(pq_path, tf_path, rj_path, meta, doc)
+    return RunResult(pq_path, tf_path, rj_path, meta, doc, bt_path)
+
+
+def refresh_metadata(spark: SparkSession, raw_root: str, out_root: str, cfg: PipelineConfig, *, recursive: bool = False) -> dict:
+    """Recompute the metadata document from the records table as it is now
+    (after a streaming ingest run): never incremented, always recounted."""
+    out = out_root.rstrip("/")
+    listing = FS.labelled_files(FS.list_files(spark, raw_root, cfg, recursive=recursive), cfg)
+    stored = spark.read.parquet(f"{out}/parquet")
+    summary = Q.summary_from_counts(listing, stored, cfg).first().asDict()
+    doc = Q.metadata_document(summary, cfg)
+    SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", doc)
+    return doc

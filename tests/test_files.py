@@ -89,6 +89,8 @@ def test_full_run(spark, tree, tmp_path):
     assert all(r.lo == 0.0 and abs(r.hi - 1.0) < 1e-6 for r in orig if r.hi > 0)
     ex = spark.read.format("tfrecord").load(res.tfrecords)
     assert ex.count() == 21
+    bt = spark.read.parquet(res.batches)
+    assert bt.count() == 21 and bt.groupBy("split", "batch_id").count().where("count > 32").count() == 0
     # gray input becomes three equal channels
     a = rec.where(F.col("image_path").endswith("/a.png") & (F.col("augmentation_index") == 0)).first()
     v = np.array(a.image_flattened).reshape(4, 4, 3)
@@ -102,6 +104,16 @@ def test_max_images_limit(spark, tree, tmp_path):
     assert res.document["total_files"] == 3
 
 
+def test_cli_stream_and_refresh(spark, tree, tmp_path):
+    from tessera.plans.cli import main
+
+    _, raw, _ = tree
+    out = str(tmp_path / "cli")
+    assert main(["--raw-path", raw, "--output-path", out, "--stream", "--checkpoint", str(tmp_path / "ck")]) == 0
+    doc = json.load(open(out + "/metadata.json"))
+    assert doc["processed_images"] == 21 and doc["total_images"] == 9
+
+
 def test_paths():
     assert raw_path("gs://b/", "v2") == "gs://b/raw/v2"
     assert processed_path("/x", "v1.0") == "/x/processed/v1.0"
