@@ -178,7 +178,12 @@ def _stage(cfg: PipelineConfig, resize: bool, binary: bool, out_float32: bool, c
 
 
 def process_fused(
-    images: DataFrame, cfg: PipelineConfig, *, at_target_size: bool = False, out_float32: bool = True
+    images: DataFrame,
+    cfg: PipelineConfig,
+    *,
+    at_target_size: bool = False,
+    out_float32: bool = True,
+    key_col: str = "image_path",
 ) -> DataFrame:
     """images (image_path, label, split, height, width, channels, data) ->
     one row per (image, variant) with ``data`` as float32 (default) or
@@ -194,7 +199,7 @@ def process_fused(
         F.col("width").cast("int").alias("width"),
         F.col("channels").cast("int").alias("channels"),
         "data",
-        variant_params(cfg).alias("variants"),
+        variant_params(cfg, key_col).alias("variants"),
     )
     elem = T.FloatType() if out_float32 else T.DoubleType()
     fields = [

@@ -38,6 +38,10 @@ V2_CFG = C.TILE_CFG.with_(
 )
 
 
+# The file job on tile PNGs: production engine, u8 rounding of decoded pixels.
+FILE_CFG = C.TILE_CFG.with_(engine="kernel", round_u8=True)
+
+
 def tile_files(spark: SparkSession, sf: str) -> str:
     """Write every u8 tile as ``{root}/{split}/{class}/img{id}.png`` once."""
     ship_package(spark)
@@ -72,7 +76,7 @@ def q_stream_ingest(spark, sf):
     root = tile_files(spark, sf)
     out = scratch_path(spark, "stream-records")
     ckpt = scratch_path(spark, "stream-checkpoint")
-    ING.ingest(spark, root, out, ckpt, C.TILE_CFG.with_(round_u8=True, engine="kernel"))
+    ING.ingest(spark, root, out, ckpt, FILE_CFG)
     rec = spark.read.parquet(out)
     return rec.select(
         _rel("image_path", root).alias("rel_path"),
@@ -83,6 +87,21 @@ def q_stream_ingest(spark, sf):
     )
 
 
+def q_pipeline_files(spark, sf):
+    """The whole file job (``run_pipeline``): PNG files -> JVM decode ->
+    fused chain -> Parquet by split (+ TFRecord, rejects, metadata); the
+    result is every stored value of every record."""
+    from .run import run_pipeline
+
+    root = tile_files(spark, sf)
+    res = run_pipeline(spark, root, scratch_path(spark, "file-version"), FILE_CFG)
+    rec = spark.read.parquet(res.parquet).select(
+        _rel("image_path", root).alias("rel_path"), C._i64("augmentation_index"), "split", C._i64("label"),
+        "image_flattened",
+    )
+    return _float_long(rec, ["rel_path", "augmentation_index", "split", "label"], "image_flattened")
+
+
 def _tile_records(spark, sf, cfg=C.TILE_CFG) -> DataFrame:
     """Stored-record form of the tiles, on the production (kernel) engine."""
     imgs = C._images(spark, sf, cfg).drop("vec_id")
@@ -173,6 +192,7 @@ def q_version_diff(spark, sf):
 
 
 QUERIES = {
+    "pipeline_files": q_pipeline_files,
     "image_scan": q_image_scan,
     "stream_ingest": q_stream_ingest,
     "parquet_roundtrip": q_parquet_roundtrip,

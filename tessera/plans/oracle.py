@@ -10,7 +10,7 @@ the Spark plan's bit for bit are rendered from the same Python values.
 from __future__ import annotations
 
 from .catalog import ALL_AUG_CFG, TILE_CFG
-from .derived import V2_CFG
+from .derived import FILE_CFG, V2_CFG
 
 
 def _d(x: float) -> str:
@@ -100,24 +100,26 @@ def _variants_cte(cfg, sfx: str = "", kl: str = "KL") -> str:
   from (select path as image_path, split, label, unnest(range(0, {cfg.augmentation_factor + 1})) as aug from {kl}))"""
 
 
-def _rotate_ctes(src: str, out: str, w: int = 8, h: int = 8, sfx: str = "") -> list[str]:
+def _rotate_ctes(src: str, out: str, w: int = 8, h: int = 8, sfx: str = "", c: int = 1) -> list[str]:
     """Rotate ``src`` (image_path, pos, v) per variant of A (aug > 0) into
     ``out`` (image_path, aug, pos, v); variant 0 and rows with no angle copy
-    the source."""
+    the source.  ``pos = (y * w + x) * c + channel``."""
     cx, cy = w / 2.0, h / 2.0
     a = f"A{sfx}"
+    px = f"(S.pos // {c})" if c > 1 else "S.pos"
+    ch = f"(S.pos % {c})" if c > 1 else "0"
     return [
-        f"""RC{sfx} AS (select A.image_path, A.aug, S.pos,
-    cos(A.angle * (pi() / 180.0)) * ((S.pos % {w}) - {_d(cx)}) - sin(A.angle * (pi() / 180.0)) * ((S.pos // {w}) - {_d(cy)}) + {_d(cx)} as sx,
-    sin(A.angle * (pi() / 180.0)) * ((S.pos % {w}) - {_d(cx)}) + cos(A.angle * (pi() / 180.0)) * ((S.pos // {w}) - {_d(cy)}) + {_d(cy)} as sy
+        f"""RC{sfx} AS (select A.image_path, A.aug, S.pos, {ch} as ch,
+    cos(A.angle * (pi() / 180.0)) * (({px} % {w}) - {_d(cx)}) - sin(A.angle * (pi() / 180.0)) * (({px} // {w}) - {_d(cy)}) + {_d(cx)} as sx,
+    sin(A.angle * (pi() / 180.0)) * (({px} % {w}) - {_d(cx)}) + cos(A.angle * (pi() / 180.0)) * (({px} // {w}) - {_d(cy)}) + {_d(cy)} as sy
   from {a} A join {src} S using (image_path) where A.angle is not null)""",
-        f"""RT{sfx} AS (select image_path, aug, pos, floor(sy) + t.oy as ty, floor(sx) + t.ox as tx,
+        f"""RT{sfx} AS (select image_path, aug, pos, ch, floor(sy) + t.oy as ty, floor(sx) + t.ox as tx,
     (case when t.ox = 1 then sx - floor(sx) else 1.0 - (sx - floor(sx)) end)
     * (case when t.oy = 1 then sy - floor(sy) else 1.0 - (sy - floor(sy)) end) as w
   from RC{sfx} join (values (0, 0), (0, 1), (1, 0), (1, 1)) t(oy, ox) on true)""",
         f"""ROT{sfx} AS (select RT.image_path, RT.aug, RT.pos,
     sum(case when RT.tx >= 0 and RT.tx < {w} and RT.ty >= 0 and RT.ty < {h} then RT.w * S.v else 0.0 end) as v
-  from RT{sfx} RT left join {src} S on S.image_path = RT.image_path and S.pos = RT.ty * {w} + RT.tx
+  from RT{sfx} RT left join {src} S on S.image_path = RT.image_path and S.pos = (RT.ty * {w} + RT.tx) * {c} + RT.ch
     and RT.tx >= 0 and RT.tx < {w} and RT.ty >= 0 and RT.ty < {h}
   group by RT.image_path, RT.aug, RT.pos)""",
         f"""{out} AS (select image_path, aug, pos, v from ROT{sfx}
@@ -125,8 +127,12 @@ def _rotate_ctes(src: str, out: str, w: int = 8, h: int = 8, sfx: str = "") -> l
     ]
 
 
-def _flip_cte(src: str, out: str, flag: str, axis: str, w: int = 8, h: int = 8, sfx: str = "") -> str:
-    mirror = f"(R.pos // {w}) * {w} + {w - 1} - R.pos % {w}" if axis == "h" else f"({h - 1} - R.pos // {w}) * {w} + R.pos % {w}"
+def _flip_cte(src: str, out: str, flag: str, axis: str, w: int = 8, h: int = 8, sfx: str = "", c: int = 1) -> str:
+    px, ch = (f"(R.pos // {c})", f"(R.pos % {c})") if c > 1 else ("R.pos", "0")
+    if axis == "h":
+        mirror = f"(({px} // {w}) * {w} + {w - 1} - {px} % {w}) * {c} + {ch}"
+    else:
+        mirror = f"(({h - 1} - {px} // {w}) * {w} + {px} % {w}) * {c} + {ch}"
     return f"""{out} AS (select R.image_path, R.aug, R.pos, case when A.{flag} then R2.v else R.v end as v
   from {src} R join A{sfx} A on A.image_path = R.image_path and A.aug = R.aug
   join {src} R2 on R2.image_path = R.image_path and R2.aug = R.aug and R2.pos = {mirror})"""
@@ -138,27 +144,19 @@ def _brightness_cte(src: str, out: str, lo: float, hi: float, sfx: str = "") ->
   from {src} R join A{sfx} A on A.image_path = R.image_path and A.aug = R.aug)"""
 
 
-def _records_long_ctes(cfg, sfx: str = "", base: bool = True) -> list[str]:
-    """The whole tile chain under ``cfg``: min-max -> rotate -> hflip ->
-    vflip -> brightness, as REC{sfx}(image_path, aug, split, label, pos, v)."""
-    ctes = [P, L, TL] if base else []
-    if sfx:
-        ctes += _kl_ctes(cfg, sfx)
-        kl = f"KL{sfx}"
-    else:
-        ctes.append(KL)
-        kl = "KL"
-    ctes.append(f"SRC{sfx} AS (select K.path as image_path, K.split, K.label, TL.pos, TL.v from {kl} K join TL using (vec_id))")
-    ctes.append(f"""MM{sfx} AS (select S.image_path, S.pos, (S.v - m.mn) / (m.mx - m.mn + 1e-8) * 1.0 + 0.0 as v
-  from SRC{sfx} S join (select image_path, min(v) as mn, max(v) as mx from SRC{sfx} group by image_path) m using (image_path))""")
+def _chain_ctes(cfg, src: str, kl: str, sfx: str = "", w: int = 8, h: int = 8, c: int = 1) -> list[str]:
+    """min-max -> rotate -> hflip -> vflip -> brightness over the pixel table
+    ``src`` (image_path, split, label, pos, v), as REC{sfx}."""
+    ctes = [f"""MM{sfx} AS (select S.image_path, S.pos, (S.v - m.mn) / (m.mx - m.mn + 1e-8) * 1.0 + 0.0 as v
+  from {src} S join (select image_path, min(v) as mn, max(v) as mx from {src} group by image_path) m using (image_path))"""]
     ctes.append(_variants_cte(cfg, sfx, kl))
-    ctes += _rotate_ctes(f"MM{sfx}", f"R1{sfx}", sfx=sfx)
+    ctes += _rotate_ctes(f"MM{sfx}", f"R1{sfx}", w, h, sfx=sfx, c=c)
     last = f"R1{sfx}"
     if cfg.horizontal_flip:
-        ctes.append(_flip_cte(last, f"R2{sfx}", "hf", "h", sfx=sfx))
+        ctes.append(_flip_cte(last, f"R2{sfx}", "hf", "h", w, h, sfx=sfx, c=c))
         last = f"R2{sfx}"
     if cfg.vertical_flip:
-        ctes.append(_flip_cte(last, f"R3{sfx}", "vf", "v", sfx=sfx))
+        ctes.append(_flip_cte(last, f"R3{sfx}", "vf", "v", w, h, sfx=sfx, c=c))
         last = f"R3{sfx}"
     if cfg.brightness_range is not None:
         ctes.append(_brightness_cte(last, f"R4{sfx}", cfg.norm_min, cfg.norm_max, sfx=sfx))
@@ -169,6 +167,20 @@ def _records_long_ctes(cfg, sfx: str = "", base: bool = True) -> list[str]:
     return ctes
 
 
+def _records_long_ctes(cfg, sfx: str = "", base: bool = True) -> list[str]:
+    """The whole tile chain under ``cfg`` as REC{sfx}(image_path, aug,
+    split, label, pos, v)."""
+    ctes = [P, L, TL] if base else []
+    if sfx:
+        ctes += _kl_ctes(cfg, sfx)
+        kl = f"KL{sfx}"
+    else:
+        ctes.append(KL)
+        kl = "KL"
+    ctes.append(f"SRC{sfx} AS (select K.path as image_path, K.split, K.label, TL.pos, TL.v from {kl} K join TL using (vec_id))")
+    return ctes + _chain_ctes(cfg, f"SRC{sfx}", kl, sfx)
+
+
 def _resize_sql(m: int, n: int = 8) -> str:
     s = n / m
     wt = f"""W AS (select o, i, greatest(0.0, least((o + 1) * {_d(s)}, i + 1) - greatest(o * {_d(s)}, i)) / {_d(s)} as w
@@ -396,3 +408,12 @@ select coalesce(K1.image_path, K2.image_path) as image_path, coalesce(K1.aug, K2
   case when K1.image_path is null then 'added' when K2.image_path is null then 'removed'
        when K1.lv <> K2.lv or K1.label <> K2.label then 'changed' else 'unchanged' end as status
 from K1 full outer join K2 on K1.image_path = K2.image_path and K1.aug = K2.aug"""
+
+KLF = f"KLF AS (select {REL} as path, split, label from KL where {SCANNED})"
+SRCF = f"""SRCF AS (select K.image_path, K.split, K.label, T.pos * 3 + T.k as pos, T.v
+  from (select vec_id, {REL} as image_path, split, label from KL where {SCANNED}) K
+  join (select vec_id, pos, v, unnest(range(0, 3)) as k from T8) T using (vec_id))"""
+
+SQL["pipeline_files"] = with_(P, L, KL, TL, T8, KLF, SRCF, *_chain_ctes(FILE_CFG, "SRCF", "KLF", "_f", c=3)) + f"""
+select image_path as rel_path, aug as augmentation_index, split, label::BIGINT as label, pos, {R6('v::float')} as value
+from REC_f"""

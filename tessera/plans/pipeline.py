@@ -22,7 +22,9 @@ from ..operators import imagestage as S
 RECORD_KEY = ("image_path", "augmentation_index")
 
 
-def with_label_split(df: DataFrame, cfg: PipelineConfig, path_col: str = "image_path") -> DataFrame:
+def with_label_split(
+    df: DataFrame, cfg: PipelineConfig, path_col: str = "image_path", key_col: str | None = None
+) -> DataFrame:
     """Add ``label`` and ``split`` from the path (native expressions).  With
     ``split_assignment="ratio"`` the seeded ratio split decides images
     without a split folder (or every image, unless existing folders are
@@ -30,7 +32,7 @@ def with_label_split(df: DataFrame, cfg: PipelineConfig, path_col: str = "image_
     share a split."""
     split = LB.split_expr(F.col(path_col))
     if cfg.split_assignment == "ratio":
-        split = LB.ratio_split_expr(F.col(path_col), cfg, existing=split)
+        split = LB.ratio_split_expr(F.col(key_col or path_col), cfg, existing=split)
     return df.withColumn("label", LB.label_expr(F.col(path_col), cfg)).withColumn("split", split)
 
 
@@ -75,6 +77,7 @@ def process(
     data_col: str = "data",
     at_target_size: bool = False,
     engine: str | None = None,
+    key_col: str | None = None,
 ) -> DataFrame:
     """images (image_path, label, split, height, width, channels, data) ->
     processed rows (same keys + augmentation_index, tensor, features).
@@ -87,11 +90,16 @@ def process(
     stage (see ``operators.fused``; the fast path for real image sizes);
     ``"native"`` runs normalisation, flips and brightness as Catalyst
     array expressions and only resize / blur / rotate / histogram in NumPy.
-    Both produce the same values (checked against the SQL oracle)."""
+    Both produce the same values (checked against the SQL oracle).
+
+    ``key_col`` names the column the seeded draws key on (default
+    ``image_path``; the file job passes the path relative to the raw root,
+    so moving a dataset does not change its variants)."""
+    key_col = key_col or "image_path"
     if (engine or cfg.engine) == "kernel":
         from ..operators.fused import process_fused
 
-        return process_fused(images, cfg, at_target_size=at_target_size, out_float32=True)
+        return process_fused(images, cfg, at_target_size=at_target_size, out_float32=True, key_col=key_col)
     is_binary = isinstance(images.schema[data_col].dataType, T.BinaryType)
     steps = prepare_steps(cfg, resize=is_binary or not at_target_size)
     if steps or is_binary:
@@ -106,7 +114,7 @@ def process(
         df = df.withColumn("features", features_map(F.col("hist"), cfg.out_channels)).drop("hist")
     else:
         df = df.withColumn("features", F.lit(None).cast("map<string,array<float>>"))
-    df = AU.augment(df, cfg, path_col="image_path", data_col=data_col)
+    df = AU.augment(df, cfg, path_col=key_col, data_col=data_col)
     return df.drop("aug_angle", "aug_hflip", "aug_vflip", "aug_brightness")
 
 

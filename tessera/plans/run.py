@@ -55,7 +55,8 @@ def decoded_images(
     """(labelled file listing, decoded images with known labels)."""
     files = FS.list_files(spark, raw_root, cfg, recursive=recursive)
     FS.require_files(files, raw_root)
-    listing = FS.labelled_files(files, cfg)
+    root_q = FS.qualified_root(spark, raw_root)
+    listing = FS.labelled_files(files, cfg, root_qualified=root_q)
     if max_images is not None:
         # first N of the listing by path; N is small by purpose (quick runs)
         keep = [r.image_path for r in listing.orderBy("image_path").limit(int(max_images)).collect()]
@@ -71,7 +72,8 @@ def decoded_images(
         )
     else:
         imgs = FS.read_images(spark, raw_root, cfg, recursive=recursive)
-    imgs = PL.known_labels(PL.with_label_split(imgs, cfg)).where(F.col("height") > 0).drop("mode")
+    imgs = imgs.withColumn("seed_key", FS.relative_key("image_path", root_q))
+    imgs = PL.known_labels(PL.with_label_split(imgs, cfg, key_col="seed_key")).where(F.col("height") > 0).drop("mode")
     return listing, imgs
 
 
@@ -105,7 +107,7 @@ def run_pipeline(
     ship_package(spark)
     out = out_root.rstrip("/")
     listing, imgs = decoded_images(spark, raw_root, cfg, recursive=recursive, max_images=max_images)
-    processed = PL.process(imgs, cfg)
+    processed = PL.process(imgs, cfg, key_col="seed_key")
     records = PL.to_records(processed, cfg)
     if cfg.num_partitions:
         records = records.repartition(int(cfg.num_partitions))
@@ -153,7 +155,8 @@ def refresh_metadata(spark: SparkSession, raw_root: str, out_root: str, cfg: Pip
     """Recompute the metadata document from the records table as it is now
     (after a streaming ingest run): never incremented, always recounted."""
     out = out_root.rstrip("/")
-    listing = FS.labelled_files(FS.list_files(spark, raw_root, cfg, recursive=recursive), cfg)
+    root_q = FS.qualified_root(spark, raw_root)
+    listing = FS.labelled_files(FS.list_files(spark, raw_root, cfg, recursive=recursive), cfg, root_qualified=root_q)
     stored = spark.read.parquet(f"{out}/parquet")
     summary = Q.summary_from_counts(listing, stored, cfg).first().asDict()
     doc = Q.metadata_document(summary, cfg)

@@ -87,10 +87,32 @@ def read_images(spark: SparkSession, root: str, cfg: PipelineConfig, *, recursiv
     )
 
 
-def labelled_files(files: DataFrame, cfg: PipelineConfig, path_col: str = "path") -> DataFrame:
+def qualified_root(spark: SparkSession, root: str) -> str:
+    """The raw root as the file index spells paths (scheme, authority,
+    single slash after ``file:``), without a trailing slash."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    q = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return q.rstrip("/")
+
+
+def relative_key(path_col, root_qualified: str | None):
+    """Path relative to the raw root: the key of every seeded draw and of
+    the ratio split, so copying a dataset elsewhere keeps its variants."""
+    p = F.col(path_col) if isinstance(path_col, str) else path_col
+    if not root_qualified:
+        return p
+    prefix = root_qualified + "/"
+    return F.when(p.startswith(prefix), F.substring(p, len(prefix) + 1, 1 << 30)).otherwise(p)
+
+
+def labelled_files(
+    files: DataFrame, cfg: PipelineConfig, path_col: str = "path", root_qualified: str | None = None
+) -> DataFrame:
+    key = relative_key(path_col, root_qualified)
     split = LB.split_expr(F.col(path_col))
     if cfg.split_assignment == "ratio":
-        split = LB.ratio_split_expr(F.col(path_col), cfg, existing=split)
+        split = LB.ratio_split_expr(key, cfg, existing=split)
     return files.select(
         F.col(path_col).alias("image_path"),
         LB.label_expr(F.col(path_col), cfg).alias("label"),

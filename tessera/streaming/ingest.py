@@ -71,9 +71,12 @@ def ingest(
     """Process every image not seen before and append its records to
     ``records_path``; returns the finished StreamingQuery."""
     ship_package(spark)
+    from ..sources.files import qualified_root, relative_key
+
     imgs = image_stream(spark, raw_root, cfg, max_files_per_trigger=max_files_per_trigger)
-    imgs = PL.known_labels(PL.with_label_split(imgs, cfg)).where(F.col("height") > 0)
-    records = PL.to_records(PL.process(imgs, cfg), cfg)
+    imgs = imgs.withColumn("seed_key", relative_key("image_path", qualified_root(spark, raw_root)))
+    imgs = PL.known_labels(PL.with_label_split(imgs, cfg, key_col="seed_key")).where(F.col("height") > 0)
+    records = PL.to_records(PL.process(imgs, cfg, key_col="seed_key"), cfg)
     q = (
         records.writeStream.format("parquet")
         .option("path", records_path)
