@@ -47,6 +47,7 @@ class RunResult:
     metadata: str
     document: dict
     batches: str | None = None
+    timings: dict | None = None
 
 
 def decoded_images(
@@ -104,9 +105,20 @@ def run_pipeline(
     recursive: bool = False,
     max_images: int | None = None,
 ) -> RunResult:
+    import time
+
     ship_package(spark)
     out = out_root.rstrip("/")
+    timings: dict[str, float] = {}
+    t0 = time.time()
+
+    def lap(name: str) -> None:
+        nonlocal t0
+        timings[name] = round(time.time() - t0, 3)
+        t0 = time.time()
+
     listing, imgs = decoded_images(spark, raw_root, cfg, recursive=recursive, max_images=max_images)
+    lap("list")
     processed = PL.process(imgs, cfg, key_col="seed_key")
     records = PL.to_records(processed, cfg)
     if cfg.num_partitions:
@@ -114,10 +126,12 @@ def run_pipeline(
     pq_path = f"{out}/parquet"
     SK.write_records(records, pq_path, cfg)
     stored = SK.read_records(spark, pq_path)
+    lap("decode_transform_write")
 
     tf_path = None
     if cfg.tfrecord_enabled:
         tf_path = SK.write_tfrecords(stored, f"{out}/tfrecords", cfg)
+    lap("tfrecords")
 
     # training batches: keys only (path, variant, split) -> batch id and
     # position, ranked without a per-split single task
@@ -126,11 +140,13 @@ def run_pipeline(
     bt_path = f"{out}/batches"
     keys = stored.select("image_path", "augmentation_index", "split")
     assign_batches(keys, cfg).write.mode("overwrite").partitionBy("split").parquet(bt_path)
+    lap("batches")
 
     rj_path = f"{out}/rejects"
     rejects(listing, stored).write.mode("overwrite").parquet(rj_path)
     rj = spark.read.parquet(rj_path)
     n_rejected = rj.where(F.col("stage") == "decode").count()
+    lap("rejects")
 
     summary = Q.summary_from_counts(listing, stored, cfg).first().asDict()
     stats = None
@@ -148,7 +164,8 @@ def run_pipeline(
     scan = ST.scan_counts(listing.select(F.col("image_path").alias("path")), "path")
     doc["scan_counts"] = {f"{r.split}/{r.extension}": r.n for r in scan.collect()}
     meta = SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", doc)
-    return RunResult(pq_path, tf_path, rj_path, meta, doc, bt_path)
+    lap("metadata")
+    return RunResult(pq_path, tf_path, rj_path, meta, doc, bt_path, timings)
 
 
 def refresh_metadata(spark: SparkSession, raw_root: str, out_root: str, cfg: PipelineConfig, *, recursive: bool = False) -> dict:
