@@ -116,8 +116,6 @@ class PipelineConfig:
             errors.append(f"color_space must be one of {COLOR_SPACES}")
         if self.denoise and (self.kernel_size < 1 or self.kernel_size % 2 == 0):
             errors.append("denoising.kernel_size must be odd and positive")
-        if self.denoise and self.denoise_method == "median" and self.kernel_size > 5 and not self.round_u8:
-            pass  # allowed: float median has no kernel-size limit here
         if self.augmentation and self.augmentation_factor < 0:
             errors.append("augmentation_factor must be >= 0")
         if self.brightness_range is not None and len(self.brightness_range) != 2:
@@ -172,14 +170,6 @@ class PipelineConfig:
         return json.loads(json.dumps(d, default=list))
 
 
-def _get(d: dict, *keys: str, default: Any = None) -> Any:
-    for k in keys:
-        if not isinstance(d, dict) or k not in d:
-            return default
-        d = d[k]
-    return d
-
-
 def from_dict(cfg: dict | None) -> PipelineConfig:
     """Build a config from the YAML layout; missing keys take defaults."""
     cfg = copy.deepcopy(cfg or {})

@@ -60,10 +60,6 @@ def to_local_fs(path: str) -> str:
     return path
 
 
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:") or os.path.isabs(path)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``tessera`` importable in the Python workers (the equivalent of
     ``--py-files``), once per SparkContext.  The zip is written under the

@@ -83,7 +83,6 @@ def tiles_rgb(spark: SparkSession, sf_dir: str, *, with_path: bool = True) -> Da
 
 
 def _write_png_batches(root: str):
-    import numpy as np
     import pyarrow as pa
 
     from ..functions.png import encode_png
