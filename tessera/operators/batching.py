@@ -46,12 +46,16 @@ def assign_batches(
 ) -> DataFrame:
     """Same ids as :func:`assign_batches_window`, without a per-split sort."""
     order = _order(cfg, path_col, index_col)
-    if not cfg.shuffle:
-        # path order has no cheap monotone bucket; the window form is exact
-        return assign_batches_window(df, cfg, split_col=split_col, path_col=path_col, index_col=index_col)
-    bucket = hex_bucket(row_hash_key(cfg.seed, F.col(path_col), F.col(index_col)), buckets)
+    if cfg.shuffle:
+        bucket = hex_bucket(row_hash_key(cfg.seed, F.col(path_col), F.col(index_col)), buckets)
+    else:
+        # path order: range-partition the keys; the partition id is then a
+        # monotone bucket of (split, path, index), with sampled bounds
+        df = df.repartitionByRange(buckets, F.col(split_col), F.col(path_col), F.col(index_col))
+        df = df.withColumn("_range_b", F.spark_partition_id().cast("bigint"))
+        bucket = F.col("_range_b")
     ranked = global_rank(df, [split_col], order, bucket, n_groups_bound=MAX_SPLITS, buckets=buckets)
-    return _finish(ranked, cfg)
+    return _finish(ranked.drop("_range_b"), cfg)
 
 
 def collect_batches(df: DataFrame, members: list[str], *, split_col: str = "split") -> DataFrame:

@@ -28,6 +28,14 @@ def test_scaled_equals_window(spark):
     assert sizes.agg(F.max("batch_size")).first()[0] == 7
 
 
+def test_scaled_equals_window_path_order(spark):
+    cfg = PipelineConfig(batch_size=5, shuffle=False)
+    df = skewed(spark, 3000)
+    a = assign_batches_window(df, cfg).select("image_path", "augmentation_index", "batch_id", "batch_pos")
+    b = assign_batches(df, cfg, buckets=16).select("image_path", "augmentation_index", "batch_id", "batch_pos")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_stratified_matches_percent_rank(spark):
     cfg = PipelineConfig()
     df = skewed(spark, 3000).select("image_path", "label")
