@@ -266,8 +266,9 @@ def q_aug_params(spark, sf):
         "image_path",
         _i64("augmentation_index"),
         TN.round6("aug_angle").alias("angle"),
-        F.col("aug_hflip").alias("hflip"),
-        F.col("aug_vflip").alias("vflip"),
+        # the original row is never flipped: false rather than NULL
+        F.coalesce(F.col("aug_hflip"), F.lit(False)).alias("hflip"),
+        F.coalesce(F.col("aug_vflip"), F.lit(False)).alias("vflip"),
         TN.round6("aug_brightness").alias("brightness"),
     )
 

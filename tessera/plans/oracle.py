@@ -289,7 +289,7 @@ from (select vec_id, list(v) as lv from T8 group by vec_id)"""
 SQL["augment_fanout"] = with_(P, L, KL) + """select vec_id, path as image_path, unnest(range(0, 3)) as augmentation_index from KL"""
 
 SQL["aug_params"] = with_(P, L, KL, _variants_cte(ALL_AUG_CFG)) + f"""select image_path, aug as augmentation_index,
-  {R6('angle')} as angle, hf as hflip, vf as vflip, {R6('br')} as brightness from A"""
+  {R6('angle')} as angle, coalesce(hf, false) as hflip, coalesce(vf, false) as vflip, {R6('br')} as brightness from A"""
 
 SQL["aug_rotate"] = with_(P, L, KL, TL, SRC, _variants_cte(ALL_AUG_CFG), *_rotate_ctes("SRC", "R1")) + f"""
 select image_path, aug as augmentation_index, pos, {R6('v')} as value from R1"""
