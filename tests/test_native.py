@@ -106,3 +106,13 @@ def test_params_null_on_original(spark):
     assert r0 == 0
     rng = df.where("augmentation_index > 0").agg(F.min("aug_angle"), F.max("aug_angle"), F.min("aug_brightness"), F.max("aug_brightness")).first()
     assert -15 <= rng[0] <= rng[1] <= 15 and 0.8 <= rng[2] <= rng[3] <= 1.2
+
+
+@pytest.mark.parametrize("engine", ["native", "kernel"])
+def test_nested_export_matches_flat(spark, engine):
+    imgs = C._images(spark, SF_SMALL).drop("vec_id")
+    cfg = C.TILE_CFG.with_(engine=engine, keep_nested_array=True)
+    rec = PL.to_records(PL.process(imgs, cfg, at_target_size=True), cfg).limit(6).collect()
+    for r in rec:
+        assert r.image_shape == [8, 8, 1]
+        assert np.array_equal(np.array(r.image_array, dtype=np.float32).reshape(-1), np.array(r.image_flattened, dtype=np.float32))
