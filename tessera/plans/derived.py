@@ -70,6 +70,15 @@ def q_image_scan(spark, sf):
     return ex.select("rel_path", "height", "width", "channels", C._i64("pos"), TN.round6("value").alias("value"))
 
 
+def q_scan_recursive(spark, sf):
+    """S3: every sub-folder, extension filter only; files outside a split
+    folder get split 'unknown'."""
+    root = tile_files(spark, sf)
+    files = FS.list_files(spark, root, C.TILE_CFG, recursive=True)
+    lab = FS.labelled_files(files, C.TILE_CFG)
+    return lab.select(_rel("image_path", root).alias("rel_path"), C._i64("label"), "split")
+
+
 def q_stream_ingest(spark, sf):
     """R1: availableNow file stream -> same transforms -> exactly-once
     Parquet sink; the result is the ingested record keys."""
@@ -194,6 +203,7 @@ def q_version_diff(spark, sf):
 QUERIES = {
     "pipeline_files": q_pipeline_files,
     "image_scan": q_image_scan,
+    "scan_recursive": q_scan_recursive,
     "stream_ingest": q_stream_ingest,
     "parquet_roundtrip": q_parquet_roundtrip,
     "tfrecord_encode": q_tfrecord_encode,

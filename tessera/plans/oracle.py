@@ -417,3 +417,5 @@ SRCF = f"""SRCF AS (select K.image_path, K.split, K.label, T.pos * 3 + T.k as po
 SQL["pipeline_files"] = with_(P, L, KL, TL, T8, KLF, SRCF, *_chain_ctes(FILE_CFG, "SRCF", "KLF", "_f", c=3)) + f"""
 select image_path as rel_path, aug as augmentation_index, split, label::BIGINT as label, pos, {R6('v::float')} as value
 from REC_f"""
+
+SQL["scan_recursive"] = with_(P, L) + f"""select {REL} as rel_path, label::BIGINT as label, split from L"""
