@@ -359,12 +359,21 @@ def q_dataset_statistics_kernel(spark, sf):
 
 
 def q_batch_assign(spark, sf):
-    df = BT.assign_batches_window(_record_keys(spark, sf), TILE_CFG)
+    """Seeded shuffle order (md5 key), bucketed global rank."""
+    df = BT.assign_batches(_record_keys(spark, sf), TILE_CFG)
     return df.select("image_path", _i64("augmentation_index"), "split", "batch_id", "batch_pos")
 
 
 def q_batch_assign_scaled(spark, sf):
-    df = BT.assign_batches(_record_keys(spark, sf), TILE_CFG)
+    """Same ids with few, crowded buckets (16), so prefix offsets carry
+    most of the rank: the form that matters when a split is huge."""
+    df = BT.assign_batches(_record_keys(spark, sf), TILE_CFG, buckets=16)
+    return df.select("image_path", _i64("augmentation_index"), "split", "batch_id", "batch_pos")
+
+
+def q_batch_assign_ordered(spark, sf):
+    """``shuffle: false``: path order, range-partitioned buckets."""
+    df = BT.assign_batches(_record_keys(spark, sf), TILE_CFG.with_(shuffle=False), buckets=16)
     return df.select("image_path", _i64("augmentation_index"), "split", "batch_id", "batch_pos")
 
 
@@ -441,6 +450,7 @@ QUERIES = {
     "dataset_statistics_kernel": q_dataset_statistics_kernel,
     "batch_assign": q_batch_assign,
     "batch_assign_scaled": q_batch_assign_scaled,
+    "batch_assign_ordered": q_batch_assign_ordered,
     "batch_collect": q_batch_collect,
     "pipeline_records": q_pipeline_records,
     "pipeline_records_kernel": q_pipeline_records_kernel,

@@ -343,6 +343,9 @@ BA = """BA AS (select image_path, aug, split, (rn - 1) // 32 as batch_id, (rn -
 
 SQL["batch_assign"] = with_(P, L, KL, RK, BA) + """select image_path, aug as augmentation_index, split, batch_id, batch_pos from BA"""
 SQL["batch_assign_scaled"] = SQL["batch_assign"]
+SQL["batch_assign_ordered"] = with_(P, L, KL, RK) + """select image_path, aug as augmentation_index, split,
+  (rn - 1) // 32 as batch_id, (rn - 1) % 32 as batch_pos
+from (select *, row_number() over (partition by split order by image_path, aug) as rn from RK)"""
 SQL["batch_collect"] = with_(P, L, KL, RK, BA) + """select split, batch_id, count(*) as batch_size,
   string_agg(image_path || '#' || cast(aug as varchar), ',' order by batch_pos) as members
 from BA group by split, batch_id"""

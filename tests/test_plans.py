@@ -1,5 +1,6 @@
 """Plan checks: native labels, pruning, no pixel shuffles."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -38,8 +39,9 @@ def test_split_filter_is_a_partition_filter(spark, workdir):
     assert df.select("split").distinct().collect()[0].split == "train"
 
 
-def test_batching_ranks_without_single_split_task(spark):
-    p = plan(C.q_batch_assign_scaled(spark, SF_SMALL))
+@pytest.mark.parametrize("key", ["batch_assign", "batch_assign_scaled", "batch_assign_ordered"])
+def test_batching_ranks_without_single_split_task(spark, key):
+    p = plan(C.QUERIES[key](spark, SF_SMALL))
     # the per-(split, bucket) window partitions by the bucket too
     assert "hashpartitioning(split" in p and "_b" in p
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
