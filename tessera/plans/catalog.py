@@ -235,6 +235,10 @@ def q_histogram_dataset(spark, sf):
     return ST.histogram_dataset(TL.tiles_u8(spark, sf, with_path=False), channels=1)
 
 
+def q_histogram_dataset_kernel(spark, sf):
+    return ST.histogram_dataset(TL.tiles_u8(spark, sf, with_path=False), channels=1, engine="kernel")
+
+
 def q_features_json(spark, sf):
     t = TL.tiles_u8(spark, sf, with_path=False)
     h = S.run_kernels(t, [S.histogram()])
@@ -435,6 +439,7 @@ QUERIES = {
     "median_blur": q_median_blur,
     "histogram": q_histogram,
     "histogram_dataset": q_histogram_dataset,
+    "histogram_dataset_kernel": q_histogram_dataset_kernel,
     "features_json": q_features_json,
     "augment_fanout": q_augment_fanout,
     "aug_params": q_aug_params,

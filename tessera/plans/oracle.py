@@ -280,6 +280,8 @@ from T8 where v >= 0 and v < 256 group by all"""
 SQL["histogram_dataset"] = with_(TL, T8) + """select 0::BIGINT as channel, floor(v)::BIGINT as bin, count(*) as cnt
 from T8 where v >= 0 and v < 256 group by all"""
 
+SQL["histogram_dataset_kernel"] = SQL["histogram_dataset"]
+
 SQL["features_json"] = with_(TL, T8) + """select vec_id,
   '{"histogram_channel_0":[' || array_to_string(list_transform(range(0, 256),
       lambda b: cast(len(list_filter(lv, lambda x: x >= 0 and x < 256 and floor(x) = b)) as varchar) || '.0'), ',')
