@@ -50,21 +50,40 @@ def resize_weights(n: int, m: int) -> np.ndarray:
     return w
 
 
+@lru_cache(maxsize=64)
+def resize_band(n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The non-zero band of :func:`resize_weights`: for each output sample
+    the K source indices and weights (K = widest band; padding weights 0)."""
+    w = resize_weights(n, m)
+    nz = w != 0
+    start = nz.argmax(axis=1)
+    stop = n - nz[:, ::-1].argmax(axis=1)
+    k = int((stop - start).max())
+    idx = np.minimum(start[:, None] + np.arange(k)[None, :], n - 1)
+    wk = np.where(np.arange(k)[None, :] < (stop - start)[:, None], np.take_along_axis(w, idx, axis=1), 0.0)
+    idx.setflags(write=False)
+    wk.setflags(write=False)
+    return idx, wk
+
+
 def resize(imgs: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
-    """Separable resize of (B, H, W, C) to (B, out_h, out_w, C)."""
+    """Separable resize of (B, H, W, C) to (B, out_h, out_w, C).
+
+    Each axis gathers only the few source samples an output covers (the
+    band of the area / bilinear weights), so the cost is taps x output size,
+    not input x output size as a dense matrix product would be."""
     _, h, w, _ = imgs.shape
     if (h, w) == (out_h, out_w):
         return imgs
-    b, _, _, c = imgs.shape
-    wy = resize_weights(h, out_h)
-    wx = resize_weights(w, out_w)
-    # rows: (out_h, h) @ (h, b*w*c), one GEMM for the whole stack
-    cols = np.ascontiguousarray(imgs.transpose(1, 0, 2, 3)).reshape(h, b * w * c)
-    tmp = (wy @ cols).reshape(out_h, b, w, c)
-    # columns: (out_h*b*c, w) @ (w, out_w), one GEMM
-    rows = np.ascontiguousarray(tmp.transpose(0, 1, 3, 2)).reshape(out_h * b * c, w)
-    out = (rows @ wx.T).reshape(out_h, b, c, out_w)
-    return np.ascontiguousarray(out.transpose(1, 0, 3, 2))
+    iy, wy = resize_band(h, out_h)
+    tmp = wy[None, :, 0, None, None] * imgs[:, iy[:, 0], :, :]
+    for k in range(1, iy.shape[1]):
+        tmp += wy[None, :, k, None, None] * imgs[:, iy[:, k], :, :]
+    ix, wx = resize_band(w, out_w)
+    out = wx[None, None, :, 0, None] * tmp[:, :, ix[:, 0], :]
+    for k in range(1, ix.shape[1]):
+        out += wx[None, None, :, k, None] * tmp[:, :, ix[:, k], :]
+    return out
 
 
 @lru_cache(maxsize=16)
