@@ -131,7 +131,10 @@ def median_blur(imgs: np.ndarray, k: int) -> np.ndarray:
 
 
 def rotate(imgs: np.ndarray, angles_deg: np.ndarray) -> np.ndarray:
-    """Rotate each image by its own angle; NaN angle leaves it unchanged."""
+    """Rotate each image by its own angle; NaN angle leaves it unchanged.
+
+    Bilinear sampling through a channel-major pixel table: every tap is one
+    contiguous ``take`` per channel; taps outside the image weigh 0."""
     b, h, w, c = imgs.shape
     out = imgs.copy()
     todo = ~np.isnan(angles_deg)
@@ -141,23 +144,27 @@ def rotate(imgs: np.ndarray, angles_deg: np.ndarray) -> np.ndarray:
     cx, cy = w / 2.0, h / 2.0
     yy, xx = np.meshgrid(np.arange(h, dtype=np.float64), np.arange(w, dtype=np.float64), indexing="ij")
     dx, dy = xx[None] - cx, yy[None] - cy
-    sx = np.cos(a) * dx - np.sin(a) * dy + cx
-    sy = np.sin(a) * dx + np.cos(a) * dy + cy
-    x0 = np.floor(sx).astype(np.int64)
-    y0 = np.floor(sy).astype(np.int64)
-    fx = sx - x0
-    fy = sy - y0
-    src = imgs[todo].reshape(-1, c)  # (nb*h*w, c) pixel table
+    ca, sa = np.cos(a), np.sin(a)
+    sx = ca * dx - sa * dy + cx
+    sy = sa * dx + ca * dy + cy
+    x0f = np.floor(sx)
+    y0f = np.floor(sy)
+    fx = sx - x0f
+    fy = sy - y0f
+    x0 = x0f.astype(np.int64)
+    y0 = y0f.astype(np.int64)
     nb = int(todo.sum())
+    src = np.ascontiguousarray(imgs[todo].transpose(3, 0, 1, 2)).reshape(c, -1)
     base = (np.arange(nb, dtype=np.int64) * (h * w))[:, None, None]
-    acc = np.zeros((nb * h * w, c), dtype=np.float64)
+    acc = np.zeros((c, nb * h * w), dtype=np.float64)
     for oy, ox, wt in ((0, 0, (1 - fx) * (1 - fy)), (0, 1, fx * (1 - fy)), (1, 0, (1 - fx) * fy), (1, 1, fx * fy)):
         ty, tx = y0 + oy, x0 + ox
         inside = (ty >= 0) & (ty < h) & (tx >= 0) & (tx < w)
         idx = (base + np.clip(ty, 0, h - 1) * w + np.clip(tx, 0, w - 1)).reshape(-1)
-        # taps outside the image contribute 0
-        acc += np.take(src, idx, axis=0) * np.where(inside, wt, 0.0).reshape(-1, 1)
-    out[todo] = acc.reshape(nb, h, w, c)
+        wv = np.where(inside, wt, 0.0).reshape(-1)
+        for ch in range(c):
+            acc[ch] += src[ch].take(idx) * wv
+    out[todo] = acc.reshape(c, nb, h, w).transpose(1, 2, 3, 0)
     return out
 
 
