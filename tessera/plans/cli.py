@@ -6,7 +6,9 @@
     --config-path P         YAML config on any Hadoop-readable path (else the built-in default)
     --recursive             scan every sub-folder (split from the path, 'unknown' otherwise)
     --max-images N          first N files by path (quick runs)
+    --splits a,b            scan only these split folders (a narrower glob, nothing else is listed)
     --stream --checkpoint C incremental ingest of new files only (availableNow)
+    --max-files-per-trigger N  bound each streaming micro-batch
     --validate              print input checks before and output checks after the run
 """
 
@@ -36,6 +38,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--max-images", type=int)
     ap.add_argument("--stream", action="store_true")
     ap.add_argument("--checkpoint")
+    ap.add_argument("--splits")
+    ap.add_argument("--max-files-per-trigger", type=int)
     ap.add_argument("--validate", action="store_true")
     a = ap.parse_args(argv)
     raw, out = a.raw_path, a.output_path
@@ -47,6 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("tessera").getOrCreate()
     ship_package(spark)
     cfg = load_config(spark, a.config_path)
+    if a.splits:
+        cfg = cfg.with_(split_folders=tuple(x.strip() for x in a.splits.split(",") if x.strip()))
     if a.validate:
         listing = FS.labelled_files(FS.list_files(spark, raw, cfg, recursive=a.recursive), cfg)
         for r in Q.validate_input(listing, cfg).collect():
@@ -56,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("--stream needs --checkpoint")
         from ..streaming.ingest import ingest
 
-        ingest(spark, raw, f"{out.rstrip('/')}/parquet", a.checkpoint, cfg)
+        ingest(spark, raw, f"{out.rstrip('/')}/parquet", a.checkpoint, cfg, max_files_per_trigger=a.max_files_per_trigger)
         doc = R.refresh_metadata(spark, raw, out, cfg, recursive=a.recursive)
         print(json.dumps({k: v for k, v in doc.items() if k != "config"}, default=str))
         return 0

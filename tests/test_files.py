@@ -114,6 +114,13 @@ def test_cli_stream_and_refresh(spark, tree, tmp_path):
     assert doc["processed_images"] == 21 and doc["total_images"] == 9
 
 
+def test_split_folders_narrow_the_scan(spark, tree):
+    _, raw, _ = tree
+    cfg = default_config().with_(split_folders=("train",))
+    paths = [r.path for r in FS.list_files(spark, raw, cfg).collect()]
+    assert paths and all("/train/" in p for p in paths)
+
+
 def test_paths():
     assert raw_path("gs://b/", "v2") == "gs://b/raw/v2"
     assert processed_path("/x", "v1.0") == "/x/processed/v1.0"
