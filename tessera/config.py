@@ -186,6 +186,7 @@ def from_dict(cfg: dict | None) -> PipelineConfig:
     ver = cfg.get("versioning", {}) or {}
     proc = cfg.get("processing", {}) or {}
     labels = cfg.get("label_encoding") or dict(DEFAULT_LABEL_ENCODING)
+    own = cfg.get("tessera", {}) or {}  # options of this engine (not in the original layout)
     br = aug.get("brightness_range")
     comp = tfr.get("compression")
     comp = None if comp in (None, "", "NONE", "none") else str(comp).lower()
@@ -227,6 +228,14 @@ def from_dict(cfg: dict | None) -> PipelineConfig:
         track_parameters=bool(ver.get("track_parameters", True)),
         track_statistics=bool(ver.get("track_statistics", False)),
         num_partitions=proc.get("num_partitions"),
+        engine=str(own.get("engine", "kernel")),
+        brightness_mode=str(own.get("brightness_mode", "clip_range")),
+        histogram_stage=str(own.get("histogram_stage", "pre")),
+        label_match=str(own.get("label_match", "path")),
+        keep_nested_array=bool(own.get("keep_nested_array", False)),
+        round_u8=bool(own.get("round_u8", True)),
+        extensions=tuple(str(e).lower() for e in own.get("extensions", DEFAULT_EXTENSIONS)),
+        split_folders=tuple(str(x) for x in own.get("split_folders", DEFAULT_SPLIT_FOLDERS)),
         raw_config=cfg,
     )
     return c.validate()

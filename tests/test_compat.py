@@ -100,3 +100,15 @@ def test_yaml_layout_all_sections():
     assert c.label_encoding[-1] == ("COVID", 2) and not c.tfrecord_enabled and c.parquet_compression == "zstd"
     assert c.metadata_file == "meta.json" and c.track_statistics and c.num_partitions == 50
     assert json.loads(json.dumps(c.as_dict()))["target_width"] == 64
+
+
+def test_yaml_engine_section():
+    c = from_dict({"tessera": {"engine": "native", "brightness_mode": "u8_compat", "histogram_stage": "post",
+                               "label_match": "parent_dir", "keep_nested_array": True, "extensions": ["PNG"],
+                               "split_folders": ["train"]},
+                   "data_splits": {"assignment": "ratio"}})
+    assert (c.engine, c.brightness_mode, c.histogram_stage, c.label_match) == ("native", "u8_compat", "post", "parent_dir")
+    assert c.keep_nested_array and c.extensions == ("png",) and c.split_folders == ("train",)
+    assert c.split_assignment == "ratio"
+    with pytest.raises(ValueError):
+        from_dict({"tessera": {"engine": "gpu"}})
