@@ -24,6 +24,8 @@ from ..config import PipelineConfig
 from ..functions.random import md5_uniform
 from ..session import ship_package
 from . import kernels as K
+from .imagestage import _apply as apply_steps
+from .imagestage import prepare_steps
 
 _MAX_CHUNK_BYTES = 64 << 20
 
@@ -64,22 +66,12 @@ def _chain(cfg: PipelineConfig, resize: bool):
     want_hist = cfg.features and "histogram" in cfg.feature_methods
     lo, hi = _clip_range(cfg)
 
+    steps = prepare_steps(cfg, resize)
+
     def prepare(imgs: np.ndarray):
-        hist = None
-        if resize:
-            imgs = K.resize(imgs, cfg.target_height, cfg.target_width)
-            if cfg.round_u8:
-                imgs = np.clip(np.floor(imgs + 0.5), 0, 255)
-        if cfg.color_space == "GRAYSCALE":
-            imgs = K.to_gray(imgs, cfg.round_u8)
-        if cfg.denoise and cfg.denoise_method == "gaussian":
-            imgs = K.gaussian_blur(imgs, cfg.kernel_size)
-            if cfg.round_u8:
-                imgs = np.clip(np.floor(imgs + 0.5), 0, 255)
-        elif cfg.denoise and cfg.denoise_method == "median":
-            imgs = K.median_blur(imgs, cfg.kernel_size)
-        if want_hist and cfg.histogram_stage == "pre":
-            hist = K.histogram(imgs)
+        # decode-side steps shared with the step engine (resize, u8 rounding,
+        # gray, denoise, histogram before normalisation)
+        imgs, hist = apply_steps(steps, imgs, {})
         imgs = K.normalize(imgs, cfg.normalization, cfg.norm_min, cfg.norm_max)
         if want_hist and cfg.histogram_stage == "post":
             hist = K.histogram(imgs)

@@ -65,6 +65,29 @@ def histogram() -> Step:
     return Step("histogram")
 
 
+def prepare_steps(cfg, with_resize: bool = True) -> list[Step]:
+    """The decode-side steps for a config: resize (+ u8 rounding), gray,
+    denoise (+ rounding), histogram before normalisation."""
+    steps: list[Step] = []
+    if with_resize:
+        steps.append(resize(cfg.target_height, cfg.target_width))
+        if cfg.round_u8:
+            steps.append(round_u8())
+    if cfg.color_space == "GRAYSCALE":
+        steps.append(gray(cfg.round_u8))
+    if cfg.denoise and cfg.denoise_method in ("gaussian", "median"):
+        steps.append(gaussian(cfg.kernel_size) if cfg.denoise_method == "gaussian" else median(cfg.kernel_size))
+        if cfg.round_u8 and cfg.denoise_method == "gaussian":
+            steps.append(round_u8())
+    if wants_histogram(cfg) and cfg.histogram_stage == "pre":
+        steps.append(histogram())
+    return steps
+
+
+def wants_histogram(cfg) -> bool:
+    return cfg.features and "histogram" in cfg.feature_methods
+
+
 # Arrow slices handed to NumPy are capped so one 224x224x3 batch stays small.
 _MAX_CHUNK_BYTES = 64 << 20
 

@@ -18,6 +18,7 @@ from ..functions import labels as LB
 from ..functions import tensor as TN
 from ..operators import augment as AU
 from ..operators import imagestage as S
+from ..operators.imagestage import prepare_steps, wants_histogram  # noqa: F401  (re-exported)
 
 RECORD_KEY = ("image_path", "augmentation_index")
 
@@ -40,27 +41,6 @@ def known_labels(df: DataFrame) -> DataFrame:
     return df.where(F.col("label") >= 0)
 
 
-def prepare_steps(cfg: PipelineConfig, resize: bool = True) -> list[S.Step]:
-    steps: list[S.Step] = []
-    if resize:
-        steps.append(S.resize(cfg.target_height, cfg.target_width))
-        if cfg.round_u8:
-            steps.append(S.round_u8())
-    if cfg.color_space == "GRAYSCALE":
-        steps.append(S.gray(cfg.round_u8))
-    if cfg.denoise and cfg.denoise_method in ("gaussian", "median"):
-        steps.append(S.gaussian(cfg.kernel_size) if cfg.denoise_method == "gaussian" else S.median(cfg.kernel_size))
-        if cfg.round_u8 and cfg.denoise_method == "gaussian":
-            steps.append(S.round_u8())
-    if wants_histogram(cfg) and cfg.histogram_stage == "pre":
-        steps.append(S.histogram())
-    return steps
-
-
-def wants_histogram(cfg: PipelineConfig) -> bool:
-    return cfg.features and "histogram" in cfg.feature_methods
-
-
 def features_map(hist: Column, channels: int) -> Column:
     """map<string, array<float>>: histogram_channel_{i} -> 256 counts."""
     keys = F.array(*[F.lit(f"histogram_channel_{i}") for i in range(channels)])
@@ -101,7 +81,7 @@ def process(
 
         return process_fused(images, cfg, at_target_size=at_target_size, out_float32=True, key_col=key_col)
     is_binary = isinstance(images.schema[data_col].dataType, T.BinaryType)
-    steps = prepare_steps(cfg, resize=is_binary or not at_target_size)
+    steps = prepare_steps(cfg, with_resize=is_binary or not at_target_size)
     if steps or is_binary:
         depth_col = "image_path" if is_binary and "image_path" in images.columns else None
         df = S.run_kernels(images, steps, data_col=data_col, depth_check_path_col=depth_col)
