@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,10 +131,18 @@ def _stage(cfg: PipelineConfig, resize: bool, binary: bool, out_float32: bool, c
                 pl = paths.to_pylist()
                 for i in range(n):
                     skip[i] = cs[i] == 1 and is_unsupported_depth(pl[i], 1)
+            # a malformed image (pixel bytes that do not match its declared
+            # shape) must not fail the task: it is left out here and reported
+            # by the rejects anti-join (decode_error); lengths come from the
+            # Arrow offsets, nothing is decoded ahead of its chunk
+            lengths = pc.binary_length(data) if binary else pc.list_value_length(data)
+            sizes = lengths.to_numpy(zero_copy_only=False)  # NULL -> NaN: skipped too
+            expected = hs * ws * cs
             groups: dict[tuple[int, int, int], list[int]] = {}
             for i in range(n):
-                if not skip[i]:
-                    groups.setdefault((int(hs[i]), int(ws[i]), int(in_c[i])), []).append(i)
+                if skip[i] or hs[i] <= 0 or not sizes[i] == expected[i]:
+                    continue
+                groups.setdefault((int(hs[i]), int(ws[i]), int(in_c[i])), []).append(i)
             for (h, w, c), idx in groups.items():
                 per = max(1, _MAX_CHUNK_BYTES // max(1, h * w * c * 8 * (1 + n_var)))
                 for start in range(0, len(idx), per):

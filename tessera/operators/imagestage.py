@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -175,9 +176,13 @@ def _stage_fn(
                 paths = batch.column(depth_path_col).to_pylist()
                 for i in range(n):
                     skip[i] = cs[i] == 1 and is_unsupported_depth(paths[i], 1)
+            # rows whose pixel count does not match their shape are left out
+            # (reported by the rejects anti-join), never fail the task
+            lengths = pc.binary_length(col) if binary_input else pc.list_value_length(col)
+            sizes = lengths.to_numpy(zero_copy_only=False)
             groups: dict[tuple[int, int, int], list[int]] = {}
             for i in range(n):
-                if skip[i]:
+                if skip[i] or hs[i] <= 0 or not sizes[i] == hs[i] * ws[i] * cs[i]:
                     continue
                 groups.setdefault((int(hs[i]), int(ws[i]), int(in_c[i])), []).append(i)
             # one output batch per same-shape slice: bounded size, no reordering needed

@@ -110,3 +110,23 @@ def test_md5_uniform_definition():
 
     h = hashlib.md5(b"42|abc").hexdigest()
     assert int(h[:8], 16) / TWO_32 == pytest.approx(0.7727144553791732)
+
+
+def test_fused_stage_skips_malformed_rows():
+    import pyarrow as pa
+
+    from tessera.config import default_config
+    from tessera.operators.fused import _stage
+
+    cfg = default_config().with_(target_width=4, target_height=4, augmentation=False)
+    good = np.arange(6 * 6 * 3, dtype=np.uint8).tobytes()
+    vt = pa.struct([("angle", pa.float64()), ("hflip", pa.bool_()), ("vflip", pa.bool_()), ("brightness", pa.float64())])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["a.png", "bad.png", "c.png"]), pa.array(["train"] * 3), pa.array([0] * 3, type=pa.int32()),
+         pa.array([6, 6, 6], type=pa.int32()), pa.array([6, 6, 6], type=pa.int32()), pa.array([3, 3, 3], type=pa.int32()),
+         pa.array([good, good[:10], good], type=pa.binary()), pa.array([[], [], []], type=pa.list_(vt))],
+        ["image_path", "split", "label", "height", "width", "channels", "data", "variants"],
+    )
+    out = list(_stage(cfg, True, True, True, False)([batch]))
+    paths = [p for b in out for p in b.column(0).to_pylist()]
+    assert sorted(paths) == ["a.png", "c.png"]
