@@ -79,6 +79,12 @@ def test_full_run(spark, tree, tmp_path):
     assert doc["total_files"] == 10 and doc["total_images"] == 9 and doc["processed_images"] == 21
     assert doc["splits"] == {"test": 3, "train": 12, "validation": 6} and doc["rejected_images"] == 2
     assert doc["image_shape"] == [4, 4] and "statistics" in doc
+    # the original's document keys, with splits / labels as objects
+    for k in ("version", "total_images", "processed_images", "splits", "labels", "config", "image_shape",
+              "processing_parameters"):
+        assert k in doc, k
+    assert set(doc["processing_parameters"]) == {"normalization", "augmentation", "denoising"}
+    assert doc["labels"] == {"0": 15, "1": 6} and doc["version"] == "v1.0"
     rec = spark.read.parquet(res.parquet)
     assert rec.where(F.size("image_flattened") != 48).count() == 0
     assert [r.image_shape for r in rec.select("image_shape").distinct().collect()] == [[4, 4, 3]]
