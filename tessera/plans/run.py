@@ -35,8 +35,12 @@ def processed_path(root: str, tag: str) -> str:
     return f"{root.rstrip('/')}/processed/{tag}"
 
 
+# Fixed value: the config file name of the version-tagged storage layout.
+CONFIG_FILE_NAME = "pipeline_config.yaml"
+
+
 def config_path(root: str) -> str:
-    return f"{root.rstrip('/')}/config/pipeline_config.yaml"
+    return f"{root.rstrip('/')}/config/{CONFIG_FILE_NAME}"
 
 
 @dataclass
