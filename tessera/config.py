@@ -74,6 +74,9 @@ class PipelineConfig:
     parquet_compression: str = "snappy"
     parquet_row_group_size_mb: int | None = None
     keep_nested_array: bool = False
+    # W2, opt-in: also write assembled batches (one row per batch of up to
+    # batch_size tensors); costs two shuffles of the tensors
+    assemble_batches: bool = False
     # versioning
     version_tag: str = "v1.0"
     metadata_file: str = "metadata.json"
@@ -233,6 +236,7 @@ def from_dict(cfg: dict | None) -> PipelineConfig:
         histogram_stage=str(own.get("histogram_stage", "pre")),
         label_match=str(own.get("label_match", "path")),
         keep_nested_array=bool(own.get("keep_nested_array", False)),
+        assemble_batches=bool(own.get("assemble_batches", False)),
         round_u8=bool(own.get("round_u8", True)),
         extensions=tuple(str(e).lower() for e in own.get("extensions", DEFAULT_EXTENSIONS)),
         split_folders=tuple(str(x) for x in own.get("split_folders", DEFAULT_SPLIT_FOLDERS)),

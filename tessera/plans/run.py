@@ -144,6 +144,13 @@ def run_pipeline(
     bt_path = f"{out}/batches"
     keys = stored.select("image_path", "augmentation_index", "split")
     assign_batches(keys, cfg).write.mode("overwrite").partitionBy("split").parquet(bt_path)
+    if cfg.assemble_batches:
+        from ..operators.batching import collect_batches
+
+        ids = spark.read.parquet(bt_path)
+        rows = stored.join(ids, ["image_path", "augmentation_index", "split"])
+        members = ["image_path", "augmentation_index", "label", "image_shape", "image_flattened"]
+        collect_batches(rows, members).write.mode("overwrite").partitionBy("split").parquet(f"{out}/batch_tensors")
     lap("batches")
 
     rj_path = f"{out}/rejects"

@@ -103,6 +103,19 @@ def test_full_run(spark, tree, tmp_path):
     assert np.allclose(v[..., 0], v[..., 1]) and np.allclose(v[..., 1], v[..., 2])
 
 
+def test_assembled_batches(spark, tree, tmp_path):
+    _, raw, _ = tree
+    cfg = default_config().with_(target_width=4, target_height=4, tfrecord_enabled=False, batch_size=4,
+                                 assemble_batches=True)
+    res = run_pipeline(spark, raw, str(tmp_path / "ab"), cfg)
+    bt = spark.read.parquet(str(tmp_path / "ab" / "batch_tensors"))
+    rows = bt.collect()
+    assert sum(r.batch_size for r in rows) == 21 and max(r.batch_size for r in rows) <= 4
+    for r in rows:
+        assert [m.batch_pos for m in r["items"]] == list(range(r.batch_size))
+        assert all(len(m.image_flattened) == 48 for m in r["items"])
+
+
 def test_max_images_limit(spark, tree, tmp_path):
     _, raw, _ = tree
     cfg = default_config().with_(target_width=4, target_height=4, tfrecord_enabled=False)
