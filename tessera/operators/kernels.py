@@ -202,11 +202,16 @@ def normalize(imgs: np.ndarray, method: str, lo: float, hi: float) -> np.ndarray
     if method == "min_max":
         mn = flat.min(axis=1)[:, None]
         mx = flat.max(axis=1)[:, None]
-        out = (flat - mn) / (mx - mn + 1e-8) * (hi - lo) + lo
+        # same operations and order as the Catalyst form, in place
+        out = flat - mn
+        out /= mx - mn + 1e-8
+        out *= hi - lo
+        out += lo
     elif method == "z_score":
         mean = flat.sum(axis=1)[:, None] / flat.shape[1]
-        std = np.sqrt(((flat - mean) ** 2).sum(axis=1)[:, None] / flat.shape[1])
-        out = (flat - mean) / (std + 1e-8)
+        out = flat - mean
+        std = np.sqrt((out * out).sum(axis=1)[:, None] / flat.shape[1])
+        out /= std + 1e-8
     else:
         out = flat
     return out.reshape(imgs.shape)
