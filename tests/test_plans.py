@@ -24,6 +24,13 @@ def test_pipeline_has_no_exchange(spark):
     assert p.count("MapInArrow") == 1  # rotation only: the tiles need no resize
 
 
+def test_kernel_engine_is_one_python_stage(spark):
+    imgs = C._images(spark, SF_SMALL).drop("vec_id")
+    cfg = C.TILE_CFG.with_(engine="kernel")
+    p = plan(PL.to_records(PL.process(imgs, cfg, at_target_size=True), cfg))
+    assert "Exchange" not in p and p.count("MapInArrow") == 1
+
+
 def test_scan_prunes_columns(spark):
     p = plan(C.q_label_encode(spark, SF_SMALL))
     assert "ReadSchema: struct<vec_id:bigint,label:int>" in p
