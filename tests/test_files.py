@@ -140,6 +140,17 @@ def test_split_folders_narrow_the_scan(spark, tree):
     assert paths and all("/train/" in p for p in paths)
 
 
+def test_cli_batch_run_with_validation(spark, tree, tmp_path, capsys):
+    from tessera.plans.cli import main
+
+    _, raw, _ = tree
+    out = str(tmp_path / "cli-batch")
+    assert main(["--raw-path", raw, "--output-path", out, "--validate", "--no-tensor-check"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    checks = {d["check"]: d["ok"] for d in lines if "check" in d}
+    assert checks and all(checks.values())
+
+
 def test_paths():
     assert raw_path("gs://b/", "v2") == "gs://b/raw/v2"
     assert processed_path("/x", "v1.0") == "/x/processed/v1.0"
