@@ -4,9 +4,11 @@ digest columns from the operator's output."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import rulecascade, sql
+from tessera.llm import bpe, ppm, rulecascade, sql
 from tessera.llm.common import documents
 
 
@@ -16,8 +18,23 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", ppm.held_out(F.col("doc_id"), 4, 2))
+    model = ppm.fit(docs.where(~F.col("held_out")))
+    return ppm.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = bpe.encode_decode_digests(docs, path or public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES = {
     "op5_quality_cascade": op5_quality_cascade,
+    "op8_language_id": op8_language_id,
+    "op9_bpe": op9_bpe,
 }
 
 SQL = {
