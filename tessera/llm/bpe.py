@@ -244,7 +244,7 @@ def encode_decode_digests(df: DataFrame, path: str, text: str = "text") -> DataF
 
     def row(enc, chunks):
         got = [x for c in chunks if (x := enc.cache[c])[0]]
-        return sum([len(x[0]) for x in got]), sha([x[1] for x in got]), sha([x[2] for x in got])
+        return sum([x[0] for x in got]), sha([x[1] for x in got]), sha([x[2] for x in got])
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     return _mapped(df, path, text, fields, row)

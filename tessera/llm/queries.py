@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, ppm, rulecascade, sql
+from tessera.llm import bpe, cuckoolines, ppm, rulecascade, sql
 from tessera.llm.common import documents
 
 
@@ -18,6 +18,11 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = cuckoolines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", ppm.held_out(F.col("doc_id"), 4, 2))
@@ -33,10 +38,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
 QUERIES = {
     "op5_quality_cascade": op5_quality_cascade,
+    "op6_line_dedup": op6_line_dedup,
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
 }
 
 SQL = {
     "op5_quality_cascade": sql.OP5,
+    "op6_line_dedup": sql.OP6,
 }

@@ -27,3 +27,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)) AS kept
 FROM b
 """
+
+OP6 = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS MATERIALIZED (
+  SELECT rid, doc_id, i, ls[i] AS line,
+         translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT rid, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+hot AS MATERIALIZED (
+  SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT l.*, hot.k IS NOT NULL AND l.doc_id <> hot.keeper AS gone FROM l LEFT JOIN hot ON l.k = hot.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY rid
+"""
