@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, cuckoolines, ppm, rulecascade, sql
+from tessera.llm import bpe, cuckoolines, curriculum, ppm, rulecascade, sql
 from tessera.llm.common import documents
 
 
+def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.assign(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rulecascade.quality(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -37,6 +41,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
 
 QUERIES = {
+    "op2_curriculum_mix": op2_curriculum_mix,
     "op5_quality_cascade": op5_quality_cascade,
     "op6_line_dedup": op6_line_dedup,
     "op8_language_id": op8_language_id,
@@ -44,6 +49,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_curriculum_mix": sql.OP2,
     "op5_quality_cascade": sql.OP5,
     "op6_line_dedup": sql.OP6,
 }

@@ -1,11 +1,11 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
 
 OP5 = rf"""
 WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS ls
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS ls
   FROM documents),
 win AS MATERIALIZED (
   SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS k
@@ -43,3 +43,46 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (W
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY rid
 """
+
+_OP2_SIZED = r"""
+d AS MATERIALIZED (
+  SELECT doc_id, source, text,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS BIGINT) AS size,
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+  FROM {docs}),
+s AS (
+  SELECT *, CASE rank % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS z, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+        FROM d GROUP BY source)),
+-- sources by size over weight (times 6): those before the first that its share doesn't fill are at their cap
+o AS (
+  SELECT *, row_number() OVER (ORDER BY z * 6 // w, source NULLS LAST) AS nth FROM s),
+r AS (
+  SELECT *, CAST(sum(z) OVER () AS HUGEINT) AS total,
+         CAST(coalesce(sum(z) OVER (ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS HUGEINT) AS used,
+         CAST(sum(w) OVER (ORDER BY nth ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS HUGEINT) AS rest
+  FROM o),
+f AS (
+  SELECT *, coalesce(min(CASE WHEN NOT 4 * z * rest < (3 * total - 4 * used) * w THEN nth END) OVER (), 1000000000) AS open
+  FROM r),
+t AS (
+  SELECT source, z,
+         CASE WHEN nth < open THEN CAST(2 * z AS DOUBLE)
+              ELSE CAST(3 * total - 4 * (SELECT max(used) FILTER (WHERE nth = open) FROM f) AS DOUBLE) * CAST(w AS DOUBLE)
+                   / CAST(2 * (SELECT max(rest) FILTER (WHERE nth = open) FROM f) AS DOUBLE) END AS target
+  FROM f),
+c AS MATERIALIZED (
+  SELECT d.*, t.z, t.target, CASE WHEN t.z > 0 THEN CAST(floor(t.target / CAST(t.z AS DOUBLE)) AS BIGINT) ELSE 0 END AS epochs,
+         sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+m AS MATERIALIZED (
+  SELECT *, CASE WHEN size > 0 THEN epochs + CASE WHEN CAST(2 * before + size AS DOUBLE)
+         <= 2.0 * (target - CAST(epochs AS DOUBLE) * CAST(z AS DOUBLE)) THEN 1 ELSE 0 END ELSE 0 END AS copies
+  FROM c)
+"""
+
+OP2 = (
+    "WITH "
+    + _OP2_SIZED.replace("{docs}", "documents")
+    + "SELECT doc_id, size, z AS source_size, target, CAST(size * copies AS BIGINT) AS taken FROM m"
+)
