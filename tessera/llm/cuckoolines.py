@@ -178,7 +178,7 @@ def build(docs: DataFrame, min_docs: int = MIN_DOCS) -> LineIndex:
 
 
 def _filters(hot: DataFrame, shards: int) -> DataFrame:
-    def one(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"shard": [key[0]], "filter": [CuckooFilter.build(rows["h1"].to_numpy()).to_bytes()]})
 
     made = hot.select(_shard(shards).alias("shard"), "h1").groupBy("shard").applyInPandas(one, "shard int, filter binary")
@@ -219,7 +219,7 @@ def _changed(index: LineIndex, pairs: DataFrame, delta: DataFrame, sign: int) ->
     crossed = both.where((F.col("__old") >= m) != (F.col("n_docs") >= m)).select(_shard(index.shards).alias("shard"), "h1", (F.col("n_docs") >= m).alias("up"))
     refs = both.where(F.col("n_docs") > 0).drop("__old")
 
-    def move(key, old: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    def move(key: tuple, old: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         f = CuckooFilter.from_bytes(old["filter"][0]) if len(old) else CuckooFilter(np.zeros((4, SLOTS), np.uint16))
         up = rows["up"].to_numpy(bool)
         f.remove(rows["h1"].to_numpy()[~up])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, cuckoolines, curriculum, ppm, rulecascade, sql
+from tessera.llm import bpe, cuckoolines, curriculum, ppm, projection, rulecascade, sql
 from tessera.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.assign(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rulecascade.quality(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -42,6 +46,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
 QUERIES = {
     "op2_curriculum_mix": op2_curriculum_mix,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_cascade": op5_quality_cascade,
     "op6_line_dedup": op6_line_dedup,
     "op8_language_id": op8_language_id,
