@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, cuckoolines, curriculum, ppm, projection, rulecascade, sql
+from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql
 from tessera.llm.common import documents
 
 
+def op1_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_documents(documents(spark, sf_dir))
+
+
 def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.assign(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -45,6 +49,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
 
 QUERIES = {
+    "op1_minhash_odd_sketch": op1_minhash_odd_sketch,
     "op2_curriculum_mix": op2_curriculum_mix,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_cascade": op5_quality_cascade,
