@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql
+from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql, toxicity
 from tessera.llm.common import documents
 
 
@@ -35,6 +35,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", ppm.held_out(F.col("doc_id"), 3, 1))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"))
+    return toxicity.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", ppm.held_out(F.col("doc_id"), 4, 2))
@@ -54,6 +61,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_cascade": op5_quality_cascade,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
 }
