@@ -102,3 +102,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= _M2
     x ^= x >> np.uint64(33)
     return x
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of tables that are already
+    written and of frames that are no longer held."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()

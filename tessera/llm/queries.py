@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql, toxicity
+from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql, substrings, toxicity
 from tessera.llm.common import documents
 
 
@@ -55,6 +55,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_minhash_odd_sketch": op1_minhash_odd_sketch,
     "op2_curriculum_mix": op2_curriculum_mix,
@@ -64,10 +69,12 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL = {
     "op2_curriculum_mix": sql.OP2,
     "op5_quality_cascade": sql.OP5,
     "op6_line_dedup": sql.OP6,
+    "op10_substring_dedup": sql.OP10,
 }

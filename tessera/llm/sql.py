@@ -86,3 +86,27 @@ OP2 = (
     + _OP2_SIZED.replace("{docs}", "documents")
     + "SELECT doc_id, size, z AS source_size, target, CAST(size * copies AS BIGINT) AS taken FROM m"
 )
+
+OP10 = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n
+  FROM documents),
+w AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM d WHERE n >= 100)),
+again AS MATERIALIZED (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS nth FROM w) WHERE nth > 1),
+islands AS (
+  SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 1 ELSE 0 END AS fresh FROM again)),
+runs AS MATERIALIZED (SELECT doc_id, min(p) AS s, max(p) + 100 AS e FROM islands GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS from_ FROM runs),
+cut AS (
+  SELECT g.doc_id, sum(g.e - g.s) AS gone, count(*) AS n_spans, max(g.e) AS tail,
+         string_agg(substr(d.h, 2 * g.from_ + 1, 2 * (g.s - g.from_)), '' ORDER BY g.s) AS kept
+  FROM gaps g JOIN d ON g.doc_id = d.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(c.gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(c.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN c.doc_id IS NULL THEN d.h ELSE c.kept || substr(d.h, 2 * c.tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut c ON d.doc_id = c.doc_id
+"""
