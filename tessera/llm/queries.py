@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql, substrings, toxicity
+from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql, substrings, surrogates, toxicity
 from tessera.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.assign(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str, key: bytes = b"surrogates-of-the-test-tables") -> DataFrame:
+    return surrogates.surrogates(documents(spark, sf_dir).select("doc_id", "text"), key).select("doc_id", "n_entities", "text")
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
 
@@ -63,6 +67,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_odd_sketch": op1_minhash_odd_sketch,
     "op2_curriculum_mix": op2_curriculum_mix,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_cascade": op5_quality_cascade,
     "op6_line_dedup": op6_line_dedup,
