@@ -3,7 +3,7 @@
 A logistic model over the words of a text, their prefixes and their character
 n-grams (present or not).  It is fitted on a bounded sample of labelled rows:
 features that occur in toxic rows clearly more often than in others are kept, and
-their weights minimise the log loss plus ``PENALTY`` times the squared score
+their weights, none below 0, minimise the log loss plus ``PENALTY`` times the squared score
 change over counterfactual pairs: labelled texts whose identity terms are swapped
 for others of the same kind, and labelled texts with a term put in front and then
 swapped.  So a term for a group moves the score no more than "people" does.
@@ -36,7 +36,9 @@ MAX_FEATURES = 1_000
 #: weight of the squared score changes, and of the squared weights
 PENALTY, RIDGE = 1.0, 1e-4
 THRESHOLD = 0.7
-STEPS = 800
+STEPS = 500
+#: log-likelihood ratio from which a feature is kept
+SIGNIFICANT = 20.0
 #: words in a worker's cache at most
 CACHE_WORDS = 200_000
 #: terms that name groups neutrally, by kind; "people" stands for no group
@@ -114,17 +116,19 @@ def choose_features(sets: list[set[str]], toxic: np.ndarray) -> list[str]:
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     found = []
     for f, c in inside.items():
-        if c < 3:
-            continue
-        p1, p0 = (c + 0.5) / (n1 + 1), (outside[f] + 0.5) / (n0 + 1)
-        p = (c + outside[f] + 1) / (n1 + n0 + 2)
-        z = (p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-        if z > 4 and p1 > 4 * p0:
-            found.append((-z, f))
+        o = outside[f]
+        share = (c + o) / (n1 + n0)
+        if c * n0 > 4 * o * n1 and share < 1:
+            # log-likelihood ratio of two shares against one
+            g = sum(2 * k * np.log(k / (n * p)) for k, n, p in ((c, n1, share), (o, n0, share), (n1 - c, n1, 1 - share), (n0 - o, n0, 1 - share)) if k)
+            if g > SIGNIFICANT:
+                found.append((-g, f))
     return [f for _, f in sorted(found)[:MAX_FEATURES]]
 
 
-def train(texts: list[str], toxic: list[int], penalty: float = PENALTY) -> Model:
+def train(texts: list[str], toxic: list[int], penalty: float = PENALTY, rate: float | None = None) -> Model:
+    """rate: the share of toxic rows among all labelled rows, if the sample's
+    is another."""
     y = np.array(toxic, bool)
     if not y.any() or y.all():
         return Model()
@@ -147,8 +151,11 @@ def train(texts: list[str], toxic: list[int], penalty: float = PENALTY) -> Model
         pairs.append((f"{terms[i % len(terms)]} {t}", f"{_SWAP[terms[i % len(terms)]]} {t}"))
     d = matrix([text_features(a) for a, _ in pairs]) - matrix([text_features(b) for _, b in pairs])
     d = d[np.abs(d).any(1)]
-    # both labels weigh the same; accelerated gradient steps
-    share = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum()).astype(np.float32)
+    # the labels weigh between alike and as they occur (the root of the odds):
+    # rare labels are still found; accelerated gradient steps
+    odds = np.sqrt(max(n := rate or y.mean(), 1e-6) / max(1 - n, 1e-6))
+    rate = odds / (1 + odds)
+    share = np.where(y, rate / y.sum(), (1 - rate) / (~y).sum()).astype(np.float32)
     w, b = np.zeros(len(names), np.float32), 0.0
     step = 4 / (1 + (x**2).sum(1).max() + 8 * penalty * ((d**2).sum(1).max() if len(d) else 0))
     vw, vb, pw, pb = w.copy(), b, w.copy(), b
@@ -157,7 +164,7 @@ def train(texts: list[str], toxic: list[int], penalty: float = PENALTY) -> Model
         gw = x.T @ g + RIDGE * vw
         if len(d):
             gw += penalty * 2 * (d.T @ (d @ vw)) / len(d)
-        w, b = vw - step * gw, vb - step * float(g.sum())
+        w, b = np.maximum(vw - step * gw, 0), vb - step * float(g.sum())
         momentum = k / (k + 3)
         vw, vb, pw, pb = w + momentum * (w - pw), b + momentum * (b - pb), w, b
     return Model({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-4}, b)
@@ -175,7 +182,7 @@ def fit(labelled: DataFrame, label: str = "toxic", text: str = "text") -> Model:
     # bounded: equal texts share a draw and count once
     some = usable.where(draw < share).select(text, label).dropDuplicates([text]).limit(4 * SAMPLE_ROWS).collect()
     some.sort()
-    return train([r[0] for r in some], [r[1] for r in some])
+    return train([r[0] for r in some], [r[1] for r in some], rate=counts[1] / (counts[0] + counts[1]))
 
 
 def classify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
