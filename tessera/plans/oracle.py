@@ -128,14 +128,17 @@ def _rotate_ctes(src: str, out: str, w: int = 8, h: int = 8, sfx: str = "", c: i
 
 
 def _flip_cte(src: str, out: str, flag: str, axis: str, w: int = 8, h: int = 8, sfx: str = "", c: int = 1) -> str:
-    px, ch = (f"(R.pos // {c})", f"(R.pos % {c})") if c > 1 else ("R.pos", "0")
+    """Each image's pixels as one list, read back at mirrored places: no
+    self-join, so the cost stays linear whatever join order is chosen."""
+    px, ch = (f"(pos // {c})", f"(pos % {c})") if c > 1 else ("pos", "0")
     if axis == "h":
         mirror = f"(({px} // {w}) * {w} + {w - 1} - {px} % {w}) * {c} + {ch}"
     else:
         mirror = f"(({h - 1} - {px} // {w}) * {w} + {px} % {w}) * {c} + {ch}"
-    return f"""{out} AS (select R.image_path, R.aug, R.pos, case when A.{flag} then R2.v else R.v end as v
-  from {src} R join A{sfx} A on A.image_path = R.image_path and A.aug = R.aug
-  join {src} R2 on R2.image_path = R.image_path and R2.aug = R.aug and R2.pos = {mirror})"""
+    return f"""{out} AS (select image_path, aug, pos, case when flip then vs[{mirror} + 1] else vs[pos + 1] end as v
+  from (select R.image_path, R.aug, A.{flag} as flip, R.vs, unnest(range(0, {w * h * c})) as pos
+        from (select image_path, aug, list(v order by pos) as vs from {src} group by image_path, aug) R
+        join A{sfx} A on A.image_path = R.image_path and A.aug = R.aug))"""
 
 
 def _brightness_cte(src: str, out: str, lo: float, hi: float, sfx: str = "") -> str:
