@@ -20,7 +20,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = both.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = out.unionByName(low.select("u", F.col("m").alias("v")))
-    return out.where(F.col("u") > F.col("v")).distinct()
+    return out.where(F.col("u") > F.col("v"))
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -38,7 +38,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     first = now
     now, seen = now.where(F.col("u") > F.col("v")), None
     while True:
-        step = stored(_star(_star(now, True), False), "edges")
+        step = stored(_star(_star(now, True), False).distinct(), "edges")
         mark = _print(step)
         if now is not first and seen is not None:
             drop_stored(now)

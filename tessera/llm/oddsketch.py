@@ -7,15 +7,16 @@ population count that estimates the similarity; pairs that the estimate leaves
 within ``MARGIN`` of the threshold are confirmed on their full sets.
 
 Documents with equal sets are one class and enter once.  A band's bucket is
-never expanded into pairs: first every member is compared with the bucket's
-smallest one; then, in rounds, only members that are still in different
-components are compared, by sketch inside tasks of bounded blocks, and each puts
-its best few untested candidates forward for confirmation, more in each round,
-until no untested candidate across components is left.  So a large group of near
-copies costs a star, and a link that the star missed is still found.
+never expanded into all pairs: in buckets of up to ``SMALL`` members those near by
+sketch are confirmed at once; in larger ones first each member with the bucket's
+smallest, then, in rounds, only members that are still in different components are
+compared, by sketch inside tasks of bounded blocks, and each puts its best few
+untested candidates forward for confirmation, more in each round, until no
+untested candidate across components is left.  So a large group of near copies
+costs a star, and a link that the star missed is still found.
 
-With 32 bands of 4 a pair at similarity 0.75 shares no band with probability
-5e-6; the sketch's margin is over six standard deviations.
+With 48 bands of 5 a pair at similarity 0.75 shares no band with probability
+2e-6; the sketch's margin is over six standard deviations.
 
 Defined results: a document without words, or without a doc_id, links with
 nothing; rows with the same doc_id are one document with several texts; ties
@@ -35,15 +36,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import drop_stored, mix64, pieces, ready, stored, text_bytes, union_all
+from tessera.llm.common import drop_stored, mix64, pieces, ready, release, stored, text_bytes, union_all
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
 
 SAMPLES, BITS = 256, 512
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 48, 5
 #: links have 100 * intersection >= THRESHOLD * union
 THRESHOLD, MARGIN = 75, 0.25
-#: members of a bucket that one task compares with as many others
+#: members up to which a bucket is compared by a join, all at once
+SMALL = 16
+#: members of a larger bucket that one task compares with as many others
 BLOCK = 1024
 _HALF = 1 << 16
 _rng = np.random.default_rng(20)
@@ -148,14 +151,10 @@ def _apart(a: Column, b: Column) -> Column:
     return sum(parts[1:], parts[0])
 
 
-def _confirm(pairs: DataFrame, sketches: DataFrame | None, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links."""
-    if sketches is not None:
-        s = sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"))
-        pairs = pairs.join(s, "a").join(s.select(F.col("a").alias("b"), F.col("sa").alias("sb")), "b")
-        pairs = pairs.where(_apart(F.col("sa"), F.col("sb")) <= most_bits(THRESHOLD / 100 - MARGIN)).select("a", "b")
+def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links by their full sets."""
     x = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("xa"))
-    pairs = pairs.join(x, "a").join(x.select(F.col("a").alias("b"), F.col("xa").alias("xb")), "b")
+    pairs = pairs.join(x, "a").join(x.toDF("b", "xb"), "b")
     both = pairs.withColumn("both", F.size(F.array_intersect("xa", "xb")))
     return both.where(100 * F.col("both") >= THRESHOLD * (F.size("xa") + F.size("xb") - F.col("both"))).select("a", "b").distinct()
 
@@ -185,12 +184,31 @@ def best_partners(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested:
     return np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
 
 
-def _more_pairs(crowded: DataFrame, parts: DataFrame, tested: DataFrame, nodes: DataFrame, best: int) -> DataFrame:
-    """Untested candidates (a, b) across components, by sketch."""
-    rows = crowded.select("band", "rep").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    rows = rows.withColumn("part", F.coalesce("component", "rep")).select("band", "rep", "part")
-    open_ = rows.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo != hi")
-    rows = rows.join(open_.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band")
+def _first_pairs(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Candidates (a, b), near by sketch: all of buckets of up to SMALL members,
+    and each member of a larger one with its smallest."""
+    near = _apart(F.col("sa"), F.col("sb")) <= most_bits(THRESHOLD / 100 - MARGIN)
+    sketches = nodes.select("rep", "sketch")
+    rows = crowded.where(F.col("n") <= SMALL).join(sketches, "rep")
+    a = rows.select("band", F.col("rep").alias("a"), F.col("sketch").alias("sa"))
+    b = rows.select("band", F.col("rep").alias("b"), F.col("sketch").alias("sb"))
+    small = a.join(b, (a["band"] == b["band"]) & (F.col("a") > F.col("b")) & near).select("a", "b")
+    star = crowded.where((F.col("n") > SMALL) & (F.col("rep") != F.col("lead"))).select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
+    star = star.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b").where(near).select("a", "b")
+    return small.unionByName(star).distinct()
+
+
+def _open_members(crowded: DataFrame, parts: DataFrame) -> DataFrame:
+    """(band, rep, part, n): members of buckets with several components."""
+    rows = crowded.select("band", "rep", "n").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    rows = rows.select("band", "rep", "n", F.coalesce("component", "rep").alias("part"))
+    open_ = rows.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi")
+    return rows.join(open_.select("band"), "band")
+
+
+def _pairs_of_large(members: DataFrame, tested: DataFrame, nodes: DataFrame, best: int) -> DataFrame:
+    """Untested candidates (a, b) across components in larger buckets."""
+    rows = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     seen = tested.groupBy(F.col("a").alias("rep")).agg(F.collect_set("b").alias("tested"))
     rows = rows.join(nodes.select("rep", "sketch"), "rep").join(seen, "rep", "left")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
@@ -211,27 +229,32 @@ def _more_pairs(crowded: DataFrame, parts: DataFrame, tested: DataFrame, nodes:
 
 def near_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    docs = docs.select("doc_id", "text")
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     marks = stored(signatures(docs), "near-marks")
     some = marks.where(F.col("d1").isNotNull() & F.col("doc_id").isNotNull())
     nodes = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = stored(nodes.withColumn("rep", F.col("rep").cast("long")), "near-nodes")
     members = nodes.select("rep", F.explode("bands").alias("band"))
     crowds = members.groupBy("band").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    crowded = stored(members.join(crowds.drop("n"), "band"), "near-crowded")
-    wanted = crowded.select(F.col("rep").alias("doc_id")).distinct()
+    crowded = stored(members.join(crowds, "band"), "near-crowded")
+    release(spark)
+    first = stored(_first_pairs(crowded, nodes), "near-pairs")
+    large = crowded.where(F.col("n") > SMALL)
+    wanted = union_all([first.select("a"), first.select("b"), large.select("rep")]).distinct().toDF("doc_id")
     sets = stored(_full_sets(docs.join(wanted, "doc_id", "left_semi")), "near-sets")
-    star = stored(crowded.where("rep != lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), "near-pairs")
-    tested, links, best = [star], [stored(_confirm(star, nodes, sets), "near-links")], 4
+    release(spark)
+    tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 8
     while True:
         parts = stored(components(union_all(links)), "near-parts")
-        more = stored(_more_pairs(crowded, parts, union_all(tested), nodes, best), "near-pairs")
+        members = stored(_open_members(large, parts), "near-open")
+        more = stored(_pairs_of_large(members, union_all(tested), nodes, best), "near-pairs")
         if more.isEmpty():
             break
         tested.append(more)
-        links.append(stored(_confirm(more, None, sets), "near-links"))
-        best *= 4
-        drop_stored(parts)
+        links.append(stored(_confirm(more, sets), "near-links"))
+        best *= 8
+        drop_stored(parts, members)
+    release(spark)
     found = parts.withColumnRenamed("node", "rep")
     named = nodes.select("d1", "d2", "rep").join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = marks.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import string
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -56,6 +57,7 @@ _SWAP = {t: kind[(i + 1) % len(kind)] for kind in IDENTITY for i, t in reversed(
 _TERM = re.compile(r"\b(" + "|".join(sorted(_SWAP, key=len, reverse=True)) + r")\b", re.IGNORECASE)
 _EDGE = string.punctuation + "\u00a1\u00ab\u00bb\u00bf\u2013\u2014\u2018\u2019\u201c\u201d\u201e\u2026"
 _SHORTEST = 4
+_HASHES = 1 << 20
 
 
 def word_features(token: str, roots: frozenset[str] | None = None) -> tuple[str, ...]:
@@ -72,10 +74,6 @@ def word_features(token: str, roots: frozenset[str] | None = None) -> tuple[str,
     return (f"={w}", *short, *grams)
 
 
-def text_features(text: str | None) -> set[str]:
-    return set().union(*map(word_features, set((text or "").split())))
-
-
 def swapped(text: str) -> str | None:
     """The text with every identity term swapped, None without one."""
     out, n = _TERM.subn(lambda m: _SWAP[m[0].lower()], text)
@@ -108,21 +106,38 @@ class Model:
         return score
 
 
-def choose_features(sets: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Features whose share among toxic texts is clearly larger."""
-    inside, outside = Counter(), Counter()
-    for s, y in zip(sets, toxic):
-        (inside if y else outside).update(s)
+def _ratio(c, o, n1: int, n0: int):
+    """Log-likelihood ratio of the shares c / n1 and o / n0 against one share,
+    0 unless the first is clearly larger."""
+    c, o = np.asarray(c, float), np.asarray(o, float)
+    share = np.clip((c + o) / (n1 + n0), 1e-12, 1 - 1e-12)
+    g = np.zeros_like(c)
+    for k, n, p in ((c, n1, share), (o, n0, share), (n1 - c, n1, 1 - share), (n0 - o, n0, 1 - share)):
+        g += 2 * k * np.log(np.maximum(k, 1e-12) / (n * p))
+    return np.where(c * n0 > 4 * o * n1, g, 0)
+
+
+def choose_features(texts: list[str], toxic: np.ndarray) -> list[str]:
+    """Features whose share among toxic texts is clearly larger.  They are first
+    counted by hash, and by name only where a hash is promising, so that memory
+    holds no n-gram table."""
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    found = []
-    for f, c in inside.items():
-        o = outside[f]
-        share = (c + o) / (n1 + n0)
-        if c * n0 > 4 * o * n1 and share < 1:
-            # log-likelihood ratio of two shares against one
-            g = sum(2 * k * np.log(k / (n * p)) for k, n, p in ((c, n1, share), (o, n0, share), (n1 - c, n1, 1 - share), (n0 - o, n0, 1 - share)) if k)
-            if g > SIGNIFICANT:
-                found.append((-g, f))
+    words = [sorted(set(t.split())) for t in texts]
+    codes: dict[str, np.ndarray] = {}
+    counts = np.zeros((2, _HASHES), np.int32)
+    for own, y in zip(words, toxic):
+        for w in own:
+            if w not in codes:
+                codes[w] = np.array([zlib.crc32(f.encode()) % _HASHES for f in word_features(w)], np.int32)
+        if own:
+            counts[int(y), np.unique(np.concatenate([codes[w] for w in own]))] += 1
+    good = _ratio(counts[1], counts[0], n1, n0) > SIGNIFICANT
+    names = {w: tuple(f for f, k in zip(word_features(w), c) if good[k]) for w, c in codes.items() if good[c].any()}
+    del codes
+    inside, outside = Counter(), Counter()
+    for own, y in zip(words, toxic):
+        (inside if y else outside).update({f for w in own for f in names.get(w, ())})
+    found = [(-float(g), f) for f in inside if (g := _ratio(inside[f], outside[f], n1, n0)) > SIGNIFICANT]
     return [f for _, f in sorted(found)[:MAX_FEATURES]]
 
 
@@ -132,24 +147,24 @@ def train(texts: list[str], toxic: list[int], penalty: float = PENALTY, rate: fl
     y = np.array(toxic, bool)
     if not y.any() or y.all():
         return Model()
-    sets = [text_features(t) for t in texts]
-    names = choose_features(sets, y)
+    names = choose_features(texts, y)
     if not names:
         return Model()
     at = {f: i for i, f in enumerate(names)}
+    roots = frozenset(f[:_SHORTEST] for f in names if f[0] != "=")
 
-    def matrix(rows: list[set[str]]) -> np.ndarray:
+    def matrix(rows: list[str]) -> np.ndarray:
         x = np.zeros((len(rows), len(names)), np.float32)
-        for i, s in enumerate(rows):
-            x[i, [at[f] for f in s if f in at]] = 1
+        for i, t in enumerate(rows):
+            x[i, [at[f] for w in set(t.split()) for f in word_features(w, roots) if f in at]] = 1
         return x
 
-    x = matrix(sets)
+    x = matrix(texts)
     pairs = [(t, s) for t in texts if (s := swapped(t))]
     terms = sorted(_SWAP)
     for i, t in enumerate(texts[: len(terms) * 4]):
         pairs.append((f"{terms[i % len(terms)]} {t}", f"{_SWAP[terms[i % len(terms)]]} {t}"))
-    d = matrix([text_features(a) for a, _ in pairs]) - matrix([text_features(b) for _, b in pairs])
+    d = matrix([a for a, _ in pairs]) - matrix([b for _, b in pairs])
     d = d[np.abs(d).any(1)]
     # the labels weigh between alike and as they occur (the root of the odds):
     # rare labels are still found; accelerated gradient steps

@@ -85,6 +85,7 @@ def test_star_misses_are_found(spark):
 
 def test_blocks_of_a_crowded_bucket(spark, monkeypatch):
     monkeypatch.setattr(oddsketch, "BLOCK", 4)
+    monkeypatch.setattr(oddsketch, "SMALL", 1)
     base = prose(120, 9)
     rows = [(i, edited(base, 20, i)) for i in range(30)]
     got = {r.doc_id: r.component_id for r in oddsketch.near_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
