@@ -240,7 +240,7 @@ def near_documents(docs: DataFrame) -> DataFrame:
     release(spark)
     first = stored(_first_pairs(crowded, nodes), "near-pairs")
     large = crowded.where(F.col("n") > SMALL)
-    wanted = union_all([first.select("a"), first.select("b"), large.select("rep")]).distinct().toDF("doc_id")
+    wanted = union_all([first.select("a").toDF("doc_id"), first.select("b").toDF("doc_id"), large.select("rep").toDF("doc_id")]).distinct()
     sets = stored(_full_sets(docs.join(wanted, "doc_id", "left_semi")), "near-sets")
     release(spark)
     tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 8

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import curriculum
 
-from conftest import prose
+from .conftest import prose
 
 
 def brute_targets(sizes):

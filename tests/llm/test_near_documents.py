@@ -8,7 +8,7 @@ from tessera.llm import oddsketch, shingles
 from tessera.llm.common import text_bytes
 from tessera.llm.components import components
 
-from conftest import prose
+from .conftest import prose
 
 
 def word_sets(text):

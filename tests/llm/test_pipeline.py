@@ -5,9 +5,9 @@ from collections import Counter
 import corpus_pipeline as p
 import pytest
 
-from conftest import prose
-from test_lines import brute as brute_lines
-from test_near_documents import brute_components
+from .conftest import prose
+from .test_lines import brute as brute_lines
+from .test_near_documents import brute_components
 
 
 @pytest.fixture(scope="module")
