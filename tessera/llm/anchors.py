@@ -1,9 +1,8 @@
 """Content-chosen anchors of byte strings.
 
-Every ``LENGTH``-byte window of a text holds an anchor: the start of the
-``GRAM``-byte gram with the smallest hash among the grams inside the window (all
-of them if there are ties).  Which gram that is depends on the window's bytes
-alone, so equal windows hold equal anchors at the same place."""
+The anchor of a ``LENGTH``-byte window is the ``GRAM``-byte gram with the smallest
+hash inside it, the first one if there are ties.  It depends on the window's bytes
+alone, so equal windows have equal anchors at the same place."""
 
 from __future__ import annotations
 
@@ -12,8 +11,8 @@ import numpy as np
 from tessera.llm.common import mix64
 
 LENGTH, GRAM = 100, 24
-#: bytes that a window holding an anchor can reach before it
-REACH = LENGTH - GRAM
+#: grams in a window, and windows of an anchor at most
+WINDOWS = LENGTH - GRAM + 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(10).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -57,21 +56,25 @@ def _window_minima(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
-def anchors(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, place in the text, gram hash) of all anchors of the texts
-    ``raw[off[i] : off[i + 1]]``; texts under LENGTH bytes have none."""
-    width = REACH + 1  # grams in a window
+def anchors(raw: np.ndarray, off: np.ndarray, prints: Prints | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, first window, windows, gram hash) of the anchors of the texts
+    ``raw[off[i] : off[i + 1]]``, windows by their start in ``raw``.  Each window
+    belongs to one anchor, so an anchor's windows are a run of starts, WINDOWS at
+    most, and no two windows of a run are equal.  Texts under LENGTH bytes have
+    none."""
     empty = np.zeros(0, np.int64)
     if len(raw) < LENGTH:
-        return empty, empty, empty.view(np.uint64)
-    grams = Prints(raw).all(GRAM)
-    low = _window_minima(grams, width)
-    # windows that lie in one text; the others choose nothing
-    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    inside = owner[: len(low)] == owner[LENGTH - 1 :]
-    low = np.where(inside, low, 0)
-    # a gram is chosen if a window that holds it has its hash as the minimum
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)])
-    most = ~_window_minima(~padded, width)
-    at = np.flatnonzero(grams == most[: len(grams)])
-    return owner[at], at - off[owner[at]], grams[at]
+        return empty, empty, empty, empty.view(np.uint64)
+    grams = (prints or Prints(raw)).all(GRAM)
+    low = _window_minima(grams, WINDOWS)
+    inside = np.ones(len(low) + 1, bool)  # windows that lie in one text
+    for end in off[1:-1].tolist():
+        inside[max(end - LENGTH + 1, 0) : end] = False
+    inside[-1] = False
+    # a run ends where the minimum changes, and after the window that begins with it
+    cut = np.ones(len(low), bool)
+    cut[1:] = (low[1:] != low[:-1]) | (grams[: len(low) - 1] == low[:-1]) | ~inside[: len(low) - 1]
+    first = np.flatnonzero(cut & inside[:-1])
+    stops = np.flatnonzero(np.r_[cut, True] | ~inside)
+    count = stops[np.searchsorted(stops, first, side="right")] - first
+    return np.searchsorted(off, first, side="right") - 1, first, count, low[first]

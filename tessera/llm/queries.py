@@ -60,8 +60,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    cut = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), digest=True)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
 
 
 QUERIES = {

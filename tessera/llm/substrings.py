@@ -6,8 +6,9 @@ Removes every byte covered by a LENGTH-byte string that also starts earlier
 A suffix array of all texts would need a rank for every byte, so places are
 sampled first: every LENGTH-byte window holds an anchor that its own bytes choose
 (``anchors``), and equal windows hold equal anchors.  Anchors are dealt by their
-gram.  A gram that occurs once ends there.  An anchor whose whole context (all
-bytes of the windows that hold it) also occurs earlier covers that context.  What
+gram, each with the windows whose anchor it is.  A gram that occurs once
+ends there.  An anchor whose whole context (all bytes of its windows) also occurs
+earlier covers that context.  What
 remains, first contexts of grams with several contexts, is compared by
 bucket-pointer refinement: the contexts of a range of grams lie in one flat array,
 buckets of ``Q``-grams are refined by sorting on the bucket identifiers of later
@@ -31,6 +32,7 @@ contexts within equal grams.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,14 +42,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.anchors import LENGTH, REACH, Prints, anchors
+from tessera.llm.anchors import LENGTH, Prints, anchors
 from tessera.llm.common import mix64, pieces, ready, release, stored, text_bytes
 
 #: length of the first buckets' grams; it doubles until it reaches LENGTH
-Q = 25
+Q = 50
 #: anchors that a map task combines at once; contexts that are refined at once
-COMBINE, CHUNK = 500_000, 20_000
+COMBINE, CHUNK = 500_000, 10_000
 LEAST_LIMIT, MOST_LIMIT = 2_000, 50_000
+PACK = 128
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:
@@ -69,10 +72,11 @@ def _repeats(fresh: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
     """(key, c, doc_id, pos, whole): the anchors, key their gram and c their
-    context; whole: an equal context came earlier in the task, and key only
-    deals the row out."""
+    context (the bytes of its windows); pos: its first window and how many
+    follow (packed); whole: an equal context came earlier in the task, and key only deals the row
+    out."""
     schema = T.StructType(
-        [T.StructField("key", T.LongType()), T.StructField("c", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("whole", T.BooleanType())]
+        [T.StructField("key", T.LongType()), T.StructField("c", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("whole", T.BooleanType())]
     )
 
     def combined(parts: list) -> pa.RecordBatch:
@@ -81,18 +85,16 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
         k, c, d, p = k[order], c[order], d[order], p[order]
         whole = _repeats(_starts(k, c), d, p)
         k = np.where(whole, mix64(d.view(np.uint64) + p.astype(np.uint64)), k)
-        return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c.view(np.int64)), pa.array(d), pa.array(p.astype(np.int32)), pa.array(whole)], names=schema.names)
+        return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c.view(np.int64)), pa.array(d), pa.array(p), pa.array(whole)], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for b in pieces(batches, "text", 2 << 20):
+        for b in pieces(batches, "text", 256 << 10):  # arrays that stay in the cache
             raw, off = text_bytes(b.column(1))
-            i, p, k = anchors(raw, off)
-            at = off[i] + p
-            lo, hi = np.maximum(at - REACH, off[i]), np.minimum(at + LENGTH, off[i + 1])
-            c = Prints(raw).of(lo, hi) if len(i) else k
-            c = c + ((at - lo) * 1000 + (hi - at)).astype(np.uint64)  # where the text ends tells contexts apart
-            parts.append((k, c, b.column(0).to_numpy()[i], p))
+            prints = Prints(raw)
+            i, lo, n, k = anchors(raw, off, prints)
+            c = prints.of(lo, lo + n - 1 + LENGTH) + n.astype(np.uint64)
+            parts.append((k, c, b.column(0).to_numpy()[i], (lo - off[i]) * PACK + n - 1))
             held += len(i)
             if held > COMBINE:
                 yield combined(parts)
@@ -106,7 +108,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 def _hits(rows: DataFrame) -> DataFrame:
     """(doc_id, pos, key): anchors whose context repeats an earlier one (key
     null), and the first of each context of grams with several contexts."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("key", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("key", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # held: the last context's first row and whether its gram had another context before
@@ -152,7 +154,7 @@ def _and_end(batches):
 
 def _hit(schema: T.StructType, d: np.ndarray, p: np.ndarray, k: np.ndarray | None) -> pa.RecordBatch:
     key = pa.nulls(len(d), pa.int64()) if k is None else pa.array(k)
-    return pa.RecordBatch.from_arrays([pa.array(d), pa.array(p.astype(np.int32)), key], names=schema.names)
+    return pa.RecordBatch.from_arrays([pa.array(d), pa.array(p), key], names=schema.names)
 
 
 def _contexts(docs: DataFrame, hits: DataFrame) -> DataFrame:
@@ -175,7 +177,7 @@ def _contexts(docs: DataFrame, hits: DataFrame) -> DataFrame:
                 pos, key, split = (at.values.field(f).to_pylist() for f in ("pos", "key", "split"))
                 windows = set()
                 for p, k, s in zip(pos, key, split):
-                    lo, hi = max(0, p - REACH), min(len(raw), p + LENGTH)
+                    lo, hi = p // PACK, min(len(raw), p // PACK + p % PACK + LENGTH)
                     if s:
                         windows.update(range(lo, hi - LENGTH + 1))
                     else:
@@ -200,7 +202,7 @@ def refine(flat: np.ndarray, off: np.ndarray, length: int = LENGTH, q: int = Q)
     bucket = np.full(len(flat) + length, -1, np.int64)  # -1: alone, or no room
     ids = gram[place]
     while True:
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids)
         s = ids[order]
         fresh = _starts(s)
         alone = fresh & np.r_[fresh[1:], True]
@@ -302,9 +304,10 @@ def cut_spans(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int
     return out, len(raw) - len(out), runs
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """Every row of ``docs`` with n_bytes, n_removed, n_spans and ``kept``
-    (binary: a cut may fall inside a character)."""
+    (binary: a cut may fall inside a character); ``digest``: its SHA-256 in
+    ``kept`` instead."""
     spark = ready(docs.sparkSession)
     docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept", "__spans", "__id", "__own")
     own = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
@@ -320,7 +323,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spans = stored(_spans(_contexts(own, hits)), "substr-spans")
     release(spark)
     whole = hits.where(F.col("key").isNull()).select(
-        "doc_id", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("start"), (F.col("pos") + LENGTH).alias("end")
+        "doc_id",
+        F.floor(F.col("pos") / PACK).cast("int").alias("start"),
+        (F.floor(F.col("pos") / PACK) + F.col("pos") % PACK + LENGTH).cast("int").alias("end"),
     )
     per = spans.unionByName(whole).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     joined = docs.join(per, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
@@ -339,7 +344,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 spans = list(zip(*(s.values.field(f).to_pylist() for f in ("start", "end")))) if s.is_valid else []
                 out, n, r = cut_spans(raw, spans) if spans else (raw, 0, 0)
-                size.append(len(raw)), gone.append(n), runs.append(r), kept.append(out)
+                size.append(len(raw)), gone.append(n), runs.append(r), kept.append(hashlib.sha256(out).digest() if digest else out)
             cols = [*b.columns[:-1], *[pa.array(x, pa.int64()) for x in (size, gone, runs)], pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
 

@@ -6,7 +6,7 @@ import pytest
 from tessera.llm import substrings
 from tessera.llm.anchors import LENGTH, anchors
 
-from conftest import prose
+from .conftest import prose
 
 
 def brute(rows):
@@ -79,14 +79,19 @@ def test_refine_finds_equal_strings():
         assert sorted(tuple(sorted(g)) for g in got.values()) == want
 
 
-def test_every_window_holds_an_anchor_and_equal_windows_equal_ones():
-    raw = np.frombuffer((prose(120, 6) + prose(300, 7) + prose(120, 6)).encode(), np.uint8)
-    _, at, gram = anchors(raw, np.array([0, len(raw)]))
+def test_every_window_belongs_to_one_anchor_and_equal_windows_to_equal_ones():
+    texts = [prose(120, 6) + prose(300, 7) + prose(120, 6), "short", "q" * 250, "", prose(30, 8)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.r_[0, np.cumsum([len(t) for t in texts])]
+    own = {}
+    for i, first, count, gram in zip(*(x.tolist() for x in anchors(raw, off))):
+        for p in range(first, first + count):
+            assert p not in own and off[i] <= p
+            own[p] = gram
+    assert sorted(own) == [p for lo, hi in zip(off, off[1:]) for p in range(lo, hi - LENGTH + 1)]
     seen = {}
-    for p in range(len(raw) - LENGTH + 1):
-        inside = [(a - p, g) for a, g in zip(at.tolist(), gram.tolist()) if p <= a <= p + LENGTH - 24]
-        assert inside
-        assert set(seen.setdefault(raw[p : p + LENGTH].tobytes(), {g for _, g in inside})) & {g for _, g in inside}
+    for p, anchor in own.items():
+        assert seen.setdefault(raw[p : p + LENGTH].tobytes(), anchor) == anchor
 
 
 def test_edges(spark, clashing, edges):
