@@ -12,12 +12,9 @@ from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
 from ..functions.random import row_hash_key
+from ..session import scratch_path
 from .ranking import global_rank, hex_bucket
 
-# at most this many distinct splits exist (train, validation, test, unknown)
-MAX_SPLITS = 4
-
-
 def _order(cfg: PipelineConfig, path_col: str, index_col: str):
     if cfg.shuffle:
         return [row_hash_key(cfg.seed, F.col(path_col), F.col(index_col)), F.col(path_col), F.col(index_col)]
@@ -49,12 +46,16 @@ def assign_batches(
     if cfg.shuffle:
         bucket = hex_bucket(row_hash_key(cfg.seed, F.col(path_col), F.col(index_col)), buckets)
     else:
-        # path order: range-partition the keys; the partition id is then a
-        # monotone bucket of (split, path, index), with sampled bounds
+        # path order: range-partition the rows; the partition id is then a
+        # monotone bucket of (split, path, index).  Range bounds are sampled
+        # anew by every exchange, so the rows are written once with their bucket
+        # and both the counts and the ranks read that table
         df = df.repartitionByRange(buckets, F.col(split_col), F.col(path_col), F.col(index_col))
-        df = df.withColumn("_range_b", F.spark_partition_id().cast("bigint"))
+        path = scratch_path(df.sparkSession, "batch-order")
+        df.withColumn("_range_b", F.spark_partition_id().cast("bigint")).write.parquet(path)
+        df = df.sparkSession.read.parquet(path)
         bucket = F.col("_range_b")
-    ranked = global_rank(df, [split_col], order, bucket, n_groups_bound=MAX_SPLITS, buckets=buckets)
+    ranked = global_rank(df, [split_col], order, bucket)
     return _finish(ranked.drop("_range_b"), cfg)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.example import decode_example, encode_example
+from ..session import ship_package
 
 
 def examples_from_batch(b: pa.RecordBatch) -> list[bytes]:
@@ -48,6 +49,7 @@ EXAMPLE_SCHEMA = T.StructType(
 
 def encode_examples(records: DataFrame) -> DataFrame:
     """(image_path, augmentation_index, split, example) from stored records."""
+    ship_package(records.sparkSession)
     cols = records.select(
         "image_path",
         F.col("augmentation_index").cast("int").alias("augmentation_index"),
@@ -102,4 +104,5 @@ DECODED_SCHEMA = T.StructType(
 
 def decode_examples(examples: DataFrame) -> DataFrame:
     """Inverse of :func:`encode_examples` (keeps index and split columns)."""
+    ship_package(examples.sparkSession)
     return examples.select("augmentation_index", "split", "example").mapInArrow(_decode_batches, DECODED_SCHEMA)

@@ -26,10 +26,7 @@ from ..functions.random import md5_uniform
 from ..session import ship_package
 from . import kernels as K
 from .imagestage import _apply as apply_steps
-from .imagestage import prepare_steps
-
-_MAX_CHUNK_BYTES = 64 << 20
-
+from .imagestage import chunk_rows, prepare_steps
 
 def variant_params(cfg: PipelineConfig, path_col: str = "image_path") -> Column:
     """array<struct<angle, hflip, vflip, brightness>> for variants 1..n,
@@ -100,6 +97,7 @@ def _list(flat2d: np.ndarray, typ) -> pa.Array:
 
 def _stage(cfg: PipelineConfig, resize: bool, binary: bool, out_float32: bool, check_depth: bool):
     prepare, variant, want_hist = _chain(cfg, resize)
+    steps = prepare_steps(cfg, resize)
     n_var = cfg.augmentation_factor if cfg.augmentation else 0
     vtype = pa.float32() if out_float32 else pa.float64()
     vdtype = np.float32 if out_float32 else np.float64
@@ -144,36 +142,33 @@ def _stage(cfg: PipelineConfig, resize: bool, binary: bool, out_float32: bool, c
                     continue
                 groups.setdefault((int(hs[i]), int(ws[i]), int(in_c[i])), []).append(i)
             for (h, w, c), idx in groups.items():
-                per = max(1, _MAX_CHUNK_BYTES // max(1, h * w * c * 8 * (1 + n_var)))
+                per = chunk_rows(steps, h, w, c)
                 for start in range(0, len(idx), per):
                     part = np.asarray(idx[start : start + per], dtype=np.int64)
                     base, hist = prepare(np.stack([get(int(i)) for i in part]))
                     b = len(part)
-                    outs = [base]
+                    take = pa.array(part)
+                    keys = [x.take(take) for x in (paths, col("split"), col("label"))]
+
+                    def emit(k: int, imgs: np.ndarray) -> pa.RecordBatch:
+                        _, oh, ow, oc = imgs.shape
+                        cols = dict(zip(("image_path", "split", "label"), keys))
+                        for name, v in (("augmentation_index", k), ("height", oh), ("width", ow), ("channels", oc)):
+                            cols[name] = pa.array(np.full(b, v, dtype=np.int32))
+                        cols["data"] = _list(imgs.reshape(b, -1).astype(vdtype), vtype)
+                        if want_hist:
+                            cols["hist"] = _list(hist.reshape(b, -1).astype(np.int64), pa.int64())
+                        return pa.RecordBatch.from_arrays(list(cols.values()), list(cols.keys()))
+
+                    # one batch a variant: the worker never holds all of them
+                    yield emit(0, base)
                     for k in range(n_var):
                         ps = [params[int(i)][k] for i in part]
                         ang = np.array([np.nan if p["angle"] is None else p["angle"] for p in ps])
                         hf = np.array([bool(p["hflip"]) for p in ps])
                         vf = np.array([bool(p["vflip"]) for p in ps])
                         br = np.array([np.nan if p["brightness"] is None else p["brightness"] for p in ps])
-                        outs.append(variant(base, ang, hf, vf, br))
-                    stacked = np.concatenate(outs, axis=0)  # variant-major
-                    _, oh, ow, oc = stacked.shape
-                    take = pa.array(np.tile(part, 1 + n_var))
-                    cols = {
-                        "image_path": paths.take(take),
-                        "split": col("split").take(take),
-                        "label": col("label").take(take),
-                        "augmentation_index": pa.array(np.repeat(np.arange(1 + n_var, dtype=np.int32), b)),
-                        "height": pa.array(np.full(b * (1 + n_var), oh, dtype=np.int32)),
-                        "width": pa.array(np.full(b * (1 + n_var), ow, dtype=np.int32)),
-                        "channels": pa.array(np.full(b * (1 + n_var), oc, dtype=np.int32)),
-                        "data": _list(stacked.reshape(stacked.shape[0], -1).astype(vdtype), vtype),
-                    }
-                    if want_hist:
-                        hh = np.tile(hist.reshape(b, -1), (1 + n_var, 1)).astype(np.int64)
-                        cols["hist"] = _list(hh, pa.int64())
-                    yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols.keys()))
+                        yield emit(k + 1, variant(base, ang, hf, vf, br))
 
     return run
 

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship_package
@@ -89,8 +90,17 @@ def wants_histogram(cfg) -> bool:
     return cfg.features and "histogram" in cfg.feature_methods
 
 
-# Arrow slices handed to NumPy are capped so one 224x224x3 batch stays small.
-_MAX_CHUNK_BYTES = 64 << 20
+# Images worked on at once, by the larger of their input and output tensors.
+MAX_CHUNK_BYTES = 16 << 20
+
+
+def chunk_rows(steps: tuple[Step, ...] | list[Step], h: int, w: int, c: int) -> int:
+    """Images of h x w x c that a chunk takes through ``steps``."""
+    values = h * w * c
+    for s in steps:
+        if s.op == "resize":
+            values = max(values, s.a * s.b * c)
+    return max(1, MAX_CHUNK_BYTES // max(1, values * 8))
 
 
 def _apply(steps: tuple[Step, ...], imgs: np.ndarray, params: dict[str, np.ndarray]):
@@ -117,12 +127,9 @@ def _apply(steps: tuple[Step, ...], imgs: np.ndarray, params: dict[str, np.ndarr
 
 def _list_array(flat: np.ndarray, rows: int, typ) -> pa.Array:
     per = flat.size // rows if rows else 0
-    offsets = np.arange(rows + 1, dtype=np.int64) * per
-    otype = pa.int32() if flat.size < 2**31 else pa.int64()
-    values = pa.array(np.ascontiguousarray(flat.reshape(-1)))
-    if otype == pa.int32():
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-    return pa.LargeListArray.from_arrays(pa.array(offsets), values)
+    # a chunk is bounded, so its offsets fit
+    offsets = np.arange(rows + 1, dtype=np.int32) * np.int32(per)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(flat.reshape(-1))))
 
 
 def _emit(part: pa.RecordBatch, res: np.ndarray, hist, data_col: str, hist_col: str | None) -> pa.RecordBatch:
@@ -187,7 +194,7 @@ def _stage_fn(
                 groups.setdefault((int(hs[i]), int(ws[i]), int(in_c[i])), []).append(i)
             # one output batch per same-shape slice: bounded size, no reordering needed
             for (h, w, c), idx in groups.items():
-                per = max(1, _MAX_CHUNK_BYTES // max(1, h * w * c * 8))
+                per = chunk_rows(steps, h, w, c)
                 for start in range(0, len(idx), per):
                     part = np.asarray(idx[start : start + per], dtype=np.int64)
                     imgs = np.stack([get(int(i)) for i in part])
@@ -197,6 +204,17 @@ def _stage_fn(
     return run
 
 
+def malformed_rows(df: DataFrame, data_col: str = "data") -> DataFrame:
+    """The rows of ``df`` that :func:`run_kernels` and the fused stage leave
+    out, with a ``reason``: no pixels, or not as many as their shape says."""
+    n = F.col("height") * F.col("width") * F.col("channels")
+    size = F.octet_length(data_col) if isinstance(df.schema[data_col].dataType, T.BinaryType) else F.size(data_col)
+    reason = F.when(F.col(data_col).isNull(), "no_pixels").when(
+        F.coalesce((F.col("height") <= 0) | (size != n), F.lit(True)), "shape"
+    )
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def run_kernels(
     df: DataFrame,
     steps: list[Step] | tuple[Step, ...],
@@ -208,7 +226,8 @@ def run_kernels(
     """Run ``steps`` over the image columns of ``df`` in one Python stage.
 
     ``df`` must carry ``height``, ``width``, ``channels`` and ``data_col``.
-    A ``histogram`` step adds ``hist_col`` = flattened (C, 256) counts.
+    Rows whose pixels don't fit their shape are left out;
+    :func:`malformed_rows` gives them.  A ``histogram`` step adds ``hist_col`` = flattened (C, 256) counts.
     ``depth_check_path_col`` drops gray PNG rows whose header says more than
     8 bits per sample (the image source keeps only the low byte of those);
     the rejects table reports them.

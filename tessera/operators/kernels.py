@@ -4,10 +4,11 @@ Each kernel works on a stack of same-shape images ``(B, H, W, C)`` in
 float64, so one Arrow batch becomes a handful of vectorised NumPy calls.
 The formulas are fixed here (and mirrored by the SQL oracle):
 
-* area resize n -> m, s = n/m:
-  ``W[o, i] = max(0, min((o+1)s, i+1) - max(o s, i)) / s``; enlargement uses
-  bilinear weights with half-pixel centres.
-* Gaussian k: k=3 -> [1,2,1]/4, k=5 -> [1,4,6,4,1]/16, else sigma =
+* area resize n -> m, s = n/m, when both axes shrink (or stay):
+  ``W[o, i] = max(0, min((o+1)s, i+1) - max(o s, i)) / s``.  Otherwise both
+  axes take two taps, ``i0 = floor(o s)`` and the next one (the last at the
+  edge), with ``f = (o+1) - (i0+1)/s``, 0 if negative, else its fraction.
+* Gaussian k: fixed rows for k = 1, 3, 5, 7, else sigma =
   0.3((k-1)/2 - 1) + 0.8; border mirrored without repeating the edge pixel.
 * median k x k, border replicated.
 * rotation by ``a`` degrees about (w/2, h/2), inverse map
@@ -21,40 +22,39 @@ from functools import lru_cache
 
 import numpy as np
 
+_MEDIAN_BYTES = 16 << 20
 GRAY_WEIGHTS = np.array([0.299, 0.587, 0.114])
 
 
 @lru_cache(maxsize=64)
-def resize_weights(n: int, m: int) -> np.ndarray:
-    """(m, n) matrix mapping n input samples to m output samples."""
+def resize_weights(n: int, m: int, area: bool = True) -> np.ndarray:
+    """(m, n) matrix mapping n input samples to m output samples; ``area``:
+    both axes of the image shrink."""
     w = np.zeros((m, n), dtype=np.float64)
-    if m <= n:  # area average
-        s = n / m
+    s = n / m
+    if area:
         for o in range(m):
             lo, hi = o * s, (o + 1) * s
             for i in range(int(np.floor(lo)), min(n, int(np.ceil(hi)))):
                 ov = min(hi, i + 1) - max(lo, i)
                 if ov > 0:
                     w[o, i] = ov / s
-    else:  # bilinear, half-pixel centres, edge clamped
-        s = n / m
+    else:
         for o in range(m):
-            src = (o + 0.5) * s - 0.5
-            src = min(max(src, 0.0), n - 1.0)
-            i0 = int(np.floor(src))
-            i1 = min(i0 + 1, n - 1)
-            f = src - i0
+            i0 = int(np.floor(o * s))
+            f = (o + 1) - (i0 + 1) / s
+            f = 0.0 if f <= 0 else f - np.floor(f)
             w[o, i0] += 1.0 - f
-            w[o, i1] += f
+            w[o, min(i0 + 1, n - 1)] += f
     w.setflags(write=False)
     return w
 
 
 @lru_cache(maxsize=64)
-def resize_band(n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+def resize_band(n: int, m: int, area: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The non-zero band of :func:`resize_weights`: for each output sample
     the K source indices and weights (K = widest band; padding weights 0)."""
-    w = resize_weights(n, m)
+    w = resize_weights(n, m, area)
     nz = w != 0
     start = nz.argmax(axis=1)
     stop = n - nz[:, ::-1].argmax(axis=1)
@@ -70,16 +70,17 @@ def resize(imgs: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
     """Separable resize of (B, H, W, C) to (B, out_h, out_w, C).
 
     Each axis gathers only the few source samples an output covers (the
-    band of the area / bilinear weights), so the cost is taps x output size,
+    band of the weights), so the cost is taps x output size,
     not input x output size as a dense matrix product would be."""
     _, h, w, _ = imgs.shape
     if (h, w) == (out_h, out_w):
         return imgs
-    iy, wy = resize_band(h, out_h)
+    area = out_h <= h and out_w <= w
+    iy, wy = resize_band(h, out_h, area)
     tmp = wy[None, :, 0, None, None] * imgs[:, iy[:, 0], :, :]
     for k in range(1, iy.shape[1]):
         tmp += wy[None, :, k, None, None] * imgs[:, iy[:, k], :, :]
-    ix, wx = resize_band(w, out_w)
+    ix, wx = resize_band(w, out_w, area)
     out = wx[None, None, :, 0, None] * tmp[:, :, ix[:, 0], :]
     for k in range(1, ix.shape[1]):
         out += wx[None, None, :, k, None] * tmp[:, :, ix[:, k], :]
@@ -94,6 +95,8 @@ def gaussian_taps(k: int) -> np.ndarray:
         return np.array([1.0, 2.0, 1.0]) / 4.0
     if k == 5:
         return np.array([1.0, 4.0, 6.0, 4.0, 1.0]) / 16.0
+    if k == 7:  # fixed values
+        return np.array([0.03125, 0.109375, 0.21875, 0.28125, 0.21875, 0.109375, 0.03125])
     sigma = 0.3 * ((k - 1) / 2 - 1) + 0.8
     x = np.arange(k) - (k - 1) / 2
     g = np.exp(-(x * x) / (2 * sigma * sigma))
@@ -123,11 +126,21 @@ def gaussian_blur(imgs: np.ndarray, k: int) -> np.ndarray:
 
 
 def median_blur(imgs: np.ndarray, k: int) -> np.ndarray:
+    """k x k median; the k * k shifted copies exist for a few images, or rows of
+    one image, at a time (_MEDIAN_BYTES)."""
     r = k // 2
-    _, h, w, _ = imgs.shape
-    p = np.pad(imgs, ((0, 0), (r, r), (r, r), (0, 0)), mode="edge")
-    win = np.stack([p[:, dy : dy + h, dx : dx + w, :] for dy in range(k) for dx in range(k)], axis=0)
-    return np.median(win, axis=0)
+    b, h, w, c = imgs.shape
+    out = np.empty_like(imgs)
+    per_row = w * c * 8 * k * k
+    n = max(1, _MEDIAN_BYTES // (per_row * h))
+    rows = h if n > 1 else max(1, min(h, _MEDIAN_BYTES // per_row))
+    for i in range(0, b, n):
+        p = np.pad(imgs[i : i + n], ((0, 0), (r, r), (r, r), (0, 0)), mode="edge")
+        for y in range(0, h, rows):
+            m = min(rows, h - y)
+            win = np.stack([p[:, y + dy : y + dy + m, dx : dx + w, :] for dy in range(k) for dx in range(k)], axis=0)
+            out[i : i + n, y : y + m] = np.median(win, axis=0, overwrite_input=True)
+    return out
 
 
 def rotate(imgs: np.ndarray, angles_deg: np.ndarray) -> np.ndarray:

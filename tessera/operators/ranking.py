@@ -8,8 +8,7 @@ third of the data, that task is the job.  Instead:
    the key, so bucket order is key order);
 2. rows are counted per (g, b): a partial aggregate, tiny output;
 3. prefix offsets per (g, b) come from a window over that small table;
-4. offsets are joined back (broadcast: the table has at most
-   ``n_groups * B`` rows, and ``n_groups`` is a bound the caller proves);
+4. offsets are joined back (Spark chooses the join by the measured size);
 5. the rank inside one (g, b) cell is a window over about
    ``N / (n_groups * B)`` rows; add the offset.
 
@@ -22,8 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1024
-# Broadcasting the offsets table is only done below this many rows.
-MAX_BROADCAST_CELLS = 1_000_000
 
 
 def hex_bucket(hex_key: Column, buckets: int) -> Column:
@@ -43,8 +40,6 @@ def global_rank(
     order_cols: list[Column],
     bucket: Column,
     *,
-    n_groups_bound: int | None,
-    buckets: int = DEFAULT_BUCKETS,
     method: str = "row_number",
     out_col: str = "rn",
     with_group_size: bool = False,
@@ -57,10 +52,7 @@ def global_rank(
     cells = cells.withColumn("_off", F.sum("_cnt").over(wg) - F.col("_cnt"))
     if with_group_size:
         cells = cells.withColumn("group_n", F.sum("_cnt").over(Window.partitionBy(*group_cols)))
-    cells = cells.drop("_cnt")
-    if n_groups_bound is not None and n_groups_bound * buckets <= MAX_BROADCAST_CELLS:
-        cells = F.broadcast(cells)
-    joined = df.join(cells, on=[*group_cols, "_b"], how="inner")
+    joined = df.join(cells.drop("_cnt"), on=[*group_cols, "_b"], how="inner")
     wc = Window.partitionBy(*group_cols, "_b").orderBy(*order_cols)
     fn = F.row_number() if method == "row_number" else F.rank()
     return joined.withColumn(out_col, (F.col("_off") + fn.over(wc)).cast("bigint")).drop("_b", "_off")

@@ -23,7 +23,6 @@ def stratified_split(
     path_col: str,
     cfg: PipelineConfig,
     *,
-    n_strata_bound: int | None,
     out_col: str = "split_strat",
     buckets: int = 1024,
 ) -> DataFrame:
@@ -34,8 +33,6 @@ def stratified_split(
         [strata_col],
         [F.col("_u")],
         unit_bucket(F.col("_u"), buckets),
-        n_groups_bound=n_strata_bound,
-        buckets=buckets,
         method="rank",
         out_col="_rk",
         with_group_size=True,

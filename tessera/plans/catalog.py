@@ -93,8 +93,7 @@ def q_ratio_split(spark, sf):
 def q_ratio_split_stratified(spark, sf):
     cfg = TILE_CFG
     df = PL.known_labels(labelled(spark, sf))
-    n_labels = len(cfg.label_encoding)
-    out = stratified_split(df, "label", "path", cfg, n_strata_bound=n_labels)
+    out = stratified_split(df, "label", "path", cfg)
     return out.select("vec_id", "path", _i64("label"), "split_strat")
 
 
@@ -211,14 +210,41 @@ def q_resize_area_frac(spark, sf):
     return _kernel_long(spark, sf, [S.resize(5, 5)])
 
 
+def q_resize_up(spark, sf):
+    return _kernel_long(spark, sf, [S.resize(13, 12)])
+
+
+def q_resize_mixed(spark, sf):
+    """Fewer rows, more columns."""
+    return _kernel_long(spark, sf, [S.resize(5, 12)])
+
+
 def q_gaussian_blur(spark, sf):
     return _kernel_long(spark, sf, [S.gaussian(3)])
 
 
+def q_gaussian_blur_7(spark, sf):
+    return _kernel_long(spark, sf, [S.gaussian(7)])
+
+
 def q_median_blur(spark, sf):
     return _kernel_long(spark, sf, [S.median(3)])
 
 
+def q_median_blur_5(spark, sf):
+    return _kernel_long(spark, sf, [S.median(5)])
+
+
+def q_kernel_rejects(spark, sf):
+    """Every row of a stage with malformed inputs: processed, or rejected with
+    its reason."""
+    t = TL.tiles(spark, sf, with_path=False)
+    bad = F.when(F.col("vec_id") % 7 == 0, F.slice("data", 1, 60)).when(F.col("vec_id") % 11 != 0, F.col("data"))
+    t = t.withColumn("data", bad)
+    done = S.run_kernels(t, [S.resize(4, 4)]).select("vec_id", F.lit("processed").alias("outcome"), _i64("height"))
+    return done.unionByName(S.malformed_rows(t).select("vec_id", F.col("reason").alias("outcome"), _i64("height")))
+
+
 def q_histogram(spark, sf):
     t = TL.tiles_u8(spark, sf, with_path=False)
     h = S.run_kernels(t, [S.histogram()]).select("vec_id", "channels", F.posexplode("hist").alias("i", "cnt"))
@@ -378,7 +404,7 @@ def q_batch_assign_scaled(spark, sf):
 def q_batch_assign_ordered(spark, sf):
     """``shuffle: false``: path order, range-partitioned buckets."""
     df = BT.assign_batches(_record_keys(spark, sf), TILE_CFG.with_(shuffle=False), buckets=16)
-    return df.select("image_path", _i64("augmentation_index"), "split", "batch_id", "batch_pos")
+    return df.select("image_path", _i64("augmentation_index"), _i64("label"), "split", "batch_id", "batch_pos")
 
 
 def q_batch_collect(spark, sf):
@@ -435,8 +461,13 @@ QUERIES = {
     "grayscale": q_grayscale,
     "resize_area": q_resize_area,
     "resize_area_frac": q_resize_area_frac,
+    "resize_up": q_resize_up,
+    "resize_mixed": q_resize_mixed,
     "gaussian_blur": q_gaussian_blur,
+    "gaussian_blur_7": q_gaussian_blur_7,
+    "median_blur_5": q_median_blur_5,
     "median_blur": q_median_blur,
+    "kernel_rejects": q_kernel_rejects,
     "histogram": q_histogram,
     "histogram_dataset": q_histogram_dataset,
     "histogram_dataset_kernel": q_histogram_dataset_kernel,

@@ -5,7 +5,8 @@ exercised on tiles cut from the 64-long embedding vectors:
 
 * ``T``   8x8x1 continuous tile, pixel (y, x) at index y*8 + x
 * ``T8``  the same as 0..255 levels: ``floor((e + 1) * 127.5)``
-* ``T3``  4x4x3 RGB tile from the first 48 levels of ``T8``
+* ``T3``  8x8x3 RGB tile from all 64 levels of ``T8``: as they are, reversed,
+          and shifted by one
 * ``P``   a synthetic image path per vector (split folder, class folder,
           extension), so path-driven operators see every case.
 
@@ -71,15 +72,17 @@ def tiles_u8(spark: SparkSession, sf_dir: str, *, with_path: bool = True) -> Dat
 
 
 def tiles_rgb(spark: SparkSession, sf_dir: str, *, with_path: bool = True) -> DataFrame:
-    """T3: 4x4x3 RGB tile (first 48 levels of T8)."""
-    t = tiles_u8(spark, sf_dir, with_path=with_path)
-    return t.select(
-        *[c for c in t.columns if c not in ("height", "width", "channels", "data")],
-        F.lit(4).alias("height"),
-        F.lit(4).alias("width"),
-        F.lit(3).alias("channels"),
-        F.slice("data", 1, 48).alias("data"),
-    )
+    """T3: 8x8x3 RGB tile; the channels of pixel p are levels p, 63 - p and
+    (p + 1) mod 64 of T8."""
+    return rgb_channels(tiles_u8(spark, sf_dir, with_path=with_path))
+
+
+def rgb_channels(t: DataFrame) -> DataFrame:
+    """One-channel tiles as three channels: the values, reversed, shifted."""
+    shifted = F.concat(F.slice("data", F.lit(2), F.size("data") - 1), F.slice("data", 1, 1))
+    zipped = F.arrays_zip(F.col("data").alias("r"), F.reverse("data").alias("g"), shifted.alias("b"))
+    data = F.flatten(F.transform(zipped, lambda p: F.array(p["r"], p["g"], p["b"])))
+    return t.withColumns({"channels": F.lit(3), "data": data})
 
 
 def _write_png_batches(root: str):

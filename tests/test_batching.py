@@ -36,10 +36,21 @@ def test_scaled_equals_window_path_order(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_ordered_ids_with_more_columns_and_many_rows(spark):
+    """Every kept column, several input partitions: the ids stay those of the
+    single window."""
+    cfg = PipelineConfig(batch_size=64, shuffle=False)
+    df = skewed(spark, 300_000).withColumn("note", F.md5("image_path")).repartition(8)
+    cols = ["image_path", "augmentation_index", "label", "note", "batch_id", "batch_pos"]
+    a = assign_batches_window(df, cfg).select(*cols)
+    b = assign_batches(df, cfg, buckets=16).select(*cols)
+    assert b.count() == 300_000 and a.exceptAll(b).count() == 0
+
+
 def test_stratified_matches_percent_rank(spark):
     cfg = PipelineConfig()
     df = skewed(spark, 3000).select("image_path", "label")
-    got = stratified_split(df, "label", "image_path", cfg, n_strata_bound=2, buckets=8)
+    got = stratified_split(df, "label", "image_path", cfg, buckets=8)
     from tessera.functions.random import md5_uniform
 
     w = Window.partitionBy("label").orderBy("u")

@@ -41,8 +41,8 @@ def test_flips_are_involutions(spark):
     ).collect()
     for r in twice:
         assert r.hh == r.data and r.vv == r.data
-        a = np.array(r.data).reshape(4, 4, 3)
-        assert np.array_equal(np.array(r.h1).reshape(4, 4, 3), a[:, ::-1, :])
+        a = np.array(r.data).reshape(8, 8, 3)
+        assert np.array_equal(np.array(r.h1).reshape(8, 8, 3), a[:, ::-1, :])
 
 
 def test_nest_unnest_roundtrip_and_shape(spark):
@@ -53,7 +53,7 @@ def test_nest_unnest_roundtrip_and_shape(spark):
         TN.nest("data", "height", "width", "channels").alias("nested"),
     ).first()
     assert r.back == r.data
-    assert np.array_equal(np.array(r.nested), np.array(r.data).reshape(4, 4, 3))
+    assert np.array_equal(np.array(r.nested), np.array(r.data).reshape(8, 8, 3))
 
 
 def test_to_rgb_and_gray(spark):
