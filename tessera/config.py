@@ -77,6 +77,8 @@ class PipelineConfig:
     # W2, opt-in: also write assembled batches (one row per batch of up to
     # batch_size tensors); costs two shuffles of the tensors
     assemble_batches: bool = False
+    examples_parquet: bool = False  # serialized examples as Parquet, too
+    repartition_records: bool = False  # num_partitions shuffles the tensors
     # versioning
     version_tag: str = "v1.0"
     metadata_file: str = "metadata.json"
@@ -237,6 +239,8 @@ def from_dict(cfg: dict | None) -> PipelineConfig:
         label_match=str(own.get("label_match", "path")),
         keep_nested_array=bool(own.get("keep_nested_array", False)),
         assemble_batches=bool(own.get("assemble_batches", False)),
+        examples_parquet=bool(own.get("examples_parquet", False)),
+        repartition_records=bool(own.get("repartition_records", False)),
         round_u8=bool(own.get("round_u8", True)),
         extensions=tuple(str(e).lower() for e in own.get("extensions", DEFAULT_EXTENSIONS)),
         split_folders=tuple(str(x) for x in own.get("split_folders", DEFAULT_SPLIT_FOLDERS)),

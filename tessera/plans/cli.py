@@ -64,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("--stream needs --checkpoint")
         from ..streaming.ingest import ingest
 
-        ingest(spark, raw, f"{out.rstrip('/')}/parquet", a.checkpoint, cfg, max_files_per_trigger=a.max_files_per_trigger)
+        ingest(spark, raw, f"{out.rstrip('/')}/parquet", a.checkpoint, cfg, out_root=out,
+               max_files_per_trigger=a.max_files_per_trigger)
         doc = R.refresh_metadata(spark, raw, out, cfg, recursive=a.recursive)
         print(json.dumps({k: v for k, v in doc.items() if k != "config"}, default=str))
         return 0

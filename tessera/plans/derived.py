@@ -96,6 +96,27 @@ def q_stream_ingest(spark, sf):
     )
 
 
+def q_batch_then_ingest(spark, sf):
+    """A batch run over half of the files, then ingest of the others into the
+    same version: every record of both is read back."""
+    from .run import run_pipeline
+
+    root, out = scratch_path(spark, "grown-raw"), scratch_path(spark, "grown")
+    tiles = TL.tile_image_layout(spark, sf)
+    TL.write_tile_images(tiles.where("vec_id % 2 = 0"), root).count()
+    cfg = FILE_CFG.with_(tfrecord_enabled=False)
+    run_pipeline(spark, root, out, cfg)
+    TL.write_tile_images(tiles.where("vec_id % 2 = 1"), root).count()
+    ING.ingest(spark, root, f"{out}/parquet", scratch_path(spark, "grown-checkpoint"), cfg, out_root=out)
+    return spark.read.parquet(f"{out}/parquet").select(
+        _rel("image_path", root).alias("rel_path"),
+        C._i64("augmentation_index"),
+        "split",
+        C._i64("label"),
+        F.size("image_flattened").cast("bigint").alias("n_values"),
+    )
+
+
 def q_pipeline_files(spark, sf):
     """The whole file job (``run_pipeline``): PNG files -> JVM decode ->
     fused chain -> Parquet by split (+ TFRecord, rejects, metadata); the
@@ -123,10 +144,10 @@ def _float_long(df: DataFrame, keys: list[str], col: str) -> DataFrame:
 
 
 def q_parquet_roundtrip(spark, sf):
-    """K1 + S5: write partitioned by split, read one split back (pruned)."""
+    """K1 + S5: write partitioned by split, read every split back."""
     path = scratch_path(spark, "records")
     SK.write_records(_tile_records(spark, sf), path, C.TILE_CFG.with_(parquet_row_group_size_mb=1))
-    back = SK.read_records(spark, path, split="train")
+    back = SK.read_records(spark, path)
     back = back.withColumn("augmentation_index", C._i64("augmentation_index")).withColumn("label", C._i64("label"))
     return _float_long(back, ["image_path", "augmentation_index", "split", "label"], "image_flattened")
 
@@ -205,6 +226,7 @@ QUERIES = {
     "image_scan": q_image_scan,
     "scan_recursive": q_scan_recursive,
     "stream_ingest": q_stream_ingest,
+    "batch_then_ingest": q_batch_then_ingest,
     "parquet_roundtrip": q_parquet_roundtrip,
     "tfrecord_encode": q_tfrecord_encode,
     "tfrecord_roundtrip": q_tfrecord_roundtrip,

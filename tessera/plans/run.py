@@ -13,6 +13,7 @@ every output describes the same variants.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ..config import PipelineConfig
 from ..operators import quality as Q
 from ..operators import stats as ST
-from ..session import ship_package
+from ..session import scratch_path, ship_package
 from ..sources import files as FS
 from . import pipeline as PL
 from . import sinks as SK
@@ -45,7 +46,7 @@ def config_path(root: str) -> str:
 
 @dataclass
 class RunResult:
-    parquet: str
+    parquet: str | None
     tfrecords: str | None
     rejects: str
     metadata: str
@@ -66,7 +67,7 @@ def decoded_images(
         # first N of the listing by path; N is small by purpose (quick runs)
         keep = [r.image_path for r in listing.orderBy("image_path").limit(int(max_images)).collect()]
         listing = listing.where(F.col("image_path").isin(keep))
-        imgs = spark.read.format("image").option("dropInvalid", "false").load(keep)
+        imgs = spark.read.format("image").option("dropInvalid", "false").load([FS.escape_glob(p) for p in keep])
         imgs = imgs.select(
             FS.LB.normalise_path(F.col("image.origin"), percent_decode=True).alias("image_path"),
             F.col("image.height").alias("height"),
@@ -125,9 +126,17 @@ def run_pipeline(
     lap("list")
     processed = PL.process(imgs, cfg, key_col="seed_key")
     records = PL.to_records(processed, cfg)
-    if cfg.num_partitions:
+    if cfg.num_partitions and cfg.repartition_records:
         records = records.repartition(int(cfg.num_partitions))
-    pq_path = f"{out}/parquet"
+    elif cfg.num_partitions:
+        warnings.warn(
+            "processing.num_partitions is not used: it would shuffle every tensor; "
+            "tessera.repartition_records: true asks for that",
+            stacklevel=2,
+        )
+    # the other outputs read the records back; without the Parquet output they
+    # lie in the shared scratch folder
+    pq_path = f"{out}/parquet" if cfg.parquet_enabled else scratch_path(spark, "records")
     SK.write_records(records, pq_path, cfg)
     stored = SK.read_records(spark, pq_path)
     lap("decode_transform_write")
@@ -135,30 +144,43 @@ def run_pipeline(
     tf_path = None
     if cfg.tfrecord_enabled:
         tf_path = SK.write_tfrecords(stored, f"{out}/tfrecords", cfg)
+    if cfg.examples_parquet:
+        SK.write_examples_parquet(stored, f"{out}/examples")
     lap("tfrecords")
 
-    # training batches: keys only (path, variant, split) -> batch id and
-    # position, ranked without a per-split single task
-    from ..operators.batching import assign_batches
+    bt_path = write_batches(spark, stored, out, cfg)
+    lap("batches")
+
+    rj_path = f"{out}/rejects"
+    rejects(listing, stored).write.mode("overwrite").parquet(rj_path)
+    rj = spark.read.parquet(rj_path)
+    n_rejected = rj.where(F.col("stage") == "decode").count()
+    lap("rejects")
+
+    doc, meta = write_document(spark, listing, stored, out, cfg, n_rejected)
+    lap("metadata")
+    return RunResult(pq_path if cfg.parquet_enabled else None, tf_path, rj_path, meta, doc, bt_path, timings)
+
+
+def write_batches(spark: SparkSession, stored: DataFrame, out: str, cfg: PipelineConfig) -> str:
+    """Training batches: keys only (path, variant, split) -> batch id and
+    position, ranked without a per-split single task."""
+    from ..operators.batching import assign_batches, collect_batches
 
     bt_path = f"{out}/batches"
     keys = stored.select("image_path", "augmentation_index", "split")
     assign_batches(keys, cfg).write.mode("overwrite").partitionBy("split").parquet(bt_path)
     if cfg.assemble_batches:
-        from ..operators.batching import collect_batches
-
-        ids = spark.read.parquet(bt_path)
-        rows = stored.join(ids, ["image_path", "augmentation_index", "split"])
+        rows = stored.join(spark.read.parquet(bt_path), ["image_path", "augmentation_index", "split"])
         members = ["image_path", "augmentation_index", "label", "image_shape", "image_flattened"]
         collect_batches(rows, members).write.mode("overwrite").partitionBy("split").parquet(f"{out}/batch_tensors")
-    lap("batches")
+    return bt_path
 
-    rj_path = f"{out}/rejects"
-    rejects(listing, stored).write.mode("overwrite").parquet(rj_path)
-    rj = spark.read.parquet(rj_path)
-    n_rejected = rj.where(F.col("stage") == "decode").count()
-    lap("rejects")
 
+def write_document(
+    spark: SparkSession, listing: DataFrame, stored: DataFrame, out: str, cfg: PipelineConfig, rejected: int
+) -> tuple[dict, str]:
+    """The metadata document of the tables as they are, and its path."""
     summary = Q.summary_from_counts(listing, stored, cfg).first().asDict()
     stats = None
     if cfg.track_statistics:
@@ -170,23 +192,21 @@ def run_pipeline(
             engine=cfg.engine,
         )
         stats = [r.asDict() for r in st.collect()]  # one row per (split, label, channel)
-    doc = Q.metadata_document(summary, cfg, rejected=n_rejected, statistics=stats)
+    doc = Q.metadata_document(summary, cfg, rejected=rejected, statistics=stats)
     # files per (split folder, extension): the scan probe counts, one pass
     scan = ST.scan_counts(listing.select(F.col("image_path").alias("path")), "path")
     doc["scan_counts"] = {f"{r.split}/{r.extension}": r.n for r in scan.collect()}
-    meta = SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", doc)
-    lap("metadata")
-    return RunResult(pq_path, tf_path, rj_path, meta, doc, bt_path, timings)
+    return doc, SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", doc)
 
 
 def refresh_metadata(spark: SparkSession, raw_root: str, out_root: str, cfg: PipelineConfig, *, recursive: bool = False) -> dict:
-    """Recompute the metadata document from the records table as it is now
-    (after a streaming ingest run): never incremented, always recounted."""
+    """Recompute batch ids and the metadata document from the tables as they
+    are now (after a streaming ingest run): never incremented."""
     out = out_root.rstrip("/")
     root_q = FS.qualified_root(spark, raw_root)
     listing = FS.labelled_files(FS.list_files(spark, raw_root, cfg, recursive=recursive), cfg, root_qualified=root_q)
     stored = spark.read.parquet(f"{out}/parquet")
-    summary = Q.summary_from_counts(listing, stored, cfg).first().asDict()
-    doc = Q.metadata_document(summary, cfg)
-    SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", doc)
+    write_batches(spark, stored, out, cfg)
+    rejected = spark.read.schema("image_path string, stage string, reason string").parquet(f"{out}/rejects")
+    doc, _ = write_document(spark, listing, stored, out, cfg, rejected.where("stage = 'decode'").distinct().count())
     return doc

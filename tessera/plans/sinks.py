@@ -14,11 +14,11 @@ from ..session import ship_package
 from ..sources import tfrecord as TFR
 
 
-def write_records(records: DataFrame, path: str, cfg: PipelineConfig, *, dynamic_overwrite: bool = False) -> str:
-    """Parquet, ``partitionBy("split")``, overwrite.  Static overwrite
+def write_records(records: DataFrame, path: str, cfg: PipelineConfig, *, dynamic_overwrite: bool = False, append: bool = False) -> str:
+    """Parquet, ``partitionBy("split")``, overwrite (or append).  Static overwrite
     replaces every split (a full run); ``dynamic_overwrite`` replaces only
     the splits present in ``records`` (a single-split rerun)."""
-    w = records.write.mode("overwrite").partitionBy("split").option("compression", cfg.parquet_compression)
+    w = records.write.mode("append" if append else "overwrite").partitionBy("split").option("compression", cfg.parquet_compression)
     # tensors are unique floats and paths are unique strings: a dictionary
     # page never pays off, and trying one costs ~2.5x the write time
     w = w.option("parquet.enable.dictionary", "false")
@@ -43,7 +43,7 @@ def write_examples_parquet(records: DataFrame, path: str) -> str:
     return path
 
 
-def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig) -> str:
+def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig, *, append: bool = False) -> str:
     """TFRecord shards under ``{path}/{split}/`` via the tfrecord source."""
     spark = records.sparkSession
     ship_package(spark)
@@ -56,7 +56,7 @@ def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig) -> str:
         F.col("image_shape").cast("array<bigint>").alias("image_shape"),
         F.col("image_flattened").cast("array<float>").alias("image_flattened"),
     )
-    w = ex.write.format("tfrecord").mode("overwrite").option("path", path)
+    w = ex.write.format("tfrecord").mode("append" if append else "overwrite").option("path", path)
     w = w.option("shardSizeMb", str(cfg.tfrecord_shard_size_mb))
     if cfg.tfrecord_compression:
         w = w.option("compression", cfg.tfrecord_compression)

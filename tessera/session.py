@@ -4,6 +4,7 @@ scratch folder (``spark.checkpoint.dir``) for intermediate tables."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,10 +40,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private temp folder only
-    when the session names none (local tests)."""
+    when the session names none and runs in one process (tests).  On a
+    cluster every executor would write to its own disk, so that is an error."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

@@ -11,6 +11,9 @@
 
 from __future__ import annotations
 
+import re
+import time
+
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -47,13 +50,22 @@ def _reader(spark: SparkSession, fmt: str, cfg: PipelineConfig, recursive: bool)
     return r
 
 
+def _nothing(root: str) -> str:
+    return f"nothing to read: {root} has no file in the configured split folders with an accepted extension"
+
+
+def escape_glob(path: str) -> str:
+    """A literal path as a load path: the reader takes load paths as globs."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def _load(reader, root: str, cfg: PipelineConfig, recursive: bool) -> DataFrame:
     target = root if recursive else image_glob(root, cfg)
     try:
         return reader.load(target)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise ValueError(f"No images found in {root}. Check the path and file extensions.") from e
+            raise ValueError(_nothing(root)) from e
         raise
 
 
@@ -69,7 +81,7 @@ def list_files(spark: SparkSession, root: str, cfg: PipelineConfig, *, recursive
 def require_files(files: DataFrame, root: str) -> None:
     """The empty-input guard: one-row probe, not a count."""
     if files.limit(1).isEmpty():
-        raise ValueError(f"No images found in {root}. Check the path and file extensions.")
+        raise ValueError(_nothing(root))
 
 
 def read_images(spark: SparkSession, root: str, cfg: PipelineConfig, *, recursive: bool = False) -> DataFrame:
@@ -153,11 +165,15 @@ def probe_bit_depth(df: DataFrame, path_col: str = "image_path") -> DataFrame:
 
 def is_unsupported_depth(path: str, channels: int) -> bool:
     """Gray PNGs with 16-bit samples decode to their low byte in the image
-    source: silently wrong pixels, so such files are rejected."""
+    source: silently wrong pixels, so such files are rejected.  So is a file
+    whose header can't be read after three tries: its depth is unknown."""
     if channels != 1 or not path.lower().endswith(".png"):
         return False
-    try:
-        d = png_bit_depth(path)
-    except OSError:
-        return False
-    return d is not None and d > 8
+    for wait in (0.0, 0.5, 2.0):
+        time.sleep(wait)
+        try:
+            d = png_bit_depth(path)
+        except OSError:
+            continue
+        return d is not None and d > 8
+    return True

@@ -22,6 +22,7 @@ stores share one code path.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -140,6 +141,10 @@ class TFRecordReader(DataSourceReader):
         )
 
 
+# shards that the driver's commit moves at once
+_COMMIT_THREADS = 32
+
+
 class TFRecordWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.root = options.get("path").rstrip("/")
@@ -201,25 +206,26 @@ class TFRecordWriter(DataSourceArrowWriter):
         return ShardCommit(files=done)
 
     def commit(self, messages) -> None:
+        """The old shards go only after all new ones are in place (their names
+        are unique), so a commit that is killed loses nothing."""
         fs, base = fs_and_path(self.root)
+        old = []
         if self.overwrite:
             try:
-                for f in fs.get_file_info(pafs.FileSelector(base, recursive=False)):
-                    if f.base_name != "_temporary":
-                        if f.type == pafs.FileType.Directory:
-                            fs.delete_dir(f.path)
-                        else:
-                            fs.delete_file(f.path)
+                found = fs.get_file_info(pafs.FileSelector(base, recursive=True))
+                old = [f.path for f in found if f.type == pafs.FileType.File and "/_temporary/" not in f.path]
             except FileNotFoundError:
                 pass
-        for m in messages:
-            if m is None:
-                continue
-            for tmp, rel in m.files:
-                _, tp = fs_and_path(tmp)
-                dest = f"{base}/{rel}"
-                fs.create_dir(dest.rsplit("/", 1)[0], recursive=True)
-                fs.move(tp, dest)
+        moves = [(fs_and_path(tmp)[1], f"{base}/{rel}") for m in messages if m is not None for tmp, rel in m.files]
+        old = sorted(set(old) - {dest for _, dest in moves})
+        for folder in {dest.rsplit("/", 1)[0] for _, dest in moves}:
+            fs.create_dir(folder, recursive=True)
+        with ThreadPoolExecutor(_COMMIT_THREADS) as pool:
+            list(pool.map(lambda m: fs.move(*m), moves))
+            list(pool.map(fs.delete_file, old))
+        for f in {p.rsplit("/", 1)[0] for p in old} - {base}:
+            if not fs.get_file_info(pafs.FileSelector(f, recursive=True)):
+                fs.delete_dir(f)
         self._cleanup(fs, base)
 
     def abort(self, messages) -> None:

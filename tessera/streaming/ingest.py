@@ -3,13 +3,16 @@
 The weekly batch becomes a file stream: the checkpoint remembers which
 files were processed, so each run (``trigger(availableNow=True)``) picks up
 only new uploads, applies the same transforms, and appends to the records
-table through Spark's file sink, which commits each micro-batch exactly
-once (``_spark_metadata`` log).  Metadata is recomputed from the table
-after the run, never incremented.
+table as a batch write.  No streaming sink log hides what a batch run wrote,
+and images whose path the table already holds (from a batch run, or from a
+first try of the micro-batch) are left out, so each has its records once.
+Rejects and TFRecord shards follow the same way; batch ids and metadata are
+recomputed from the tables after the run, never incremented.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,6 +62,15 @@ def image_stream(spark: SparkSession, raw_root: str, cfg: PipelineConfig, *, max
     )
 
 
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
 def ingest(
     spark: SparkSession,
     raw_root: str,
@@ -66,25 +78,40 @@ def ingest(
     checkpoint: str,
     cfg: PipelineConfig,
     *,
+    out_root: str | None = None,
     max_files_per_trigger: int | None = None,
 ):
     """Process every image not seen before and append its records to
-    ``records_path``; returns the finished StreamingQuery."""
+    ``records_path``; with ``out_root`` also its rejects and, if configured,
+    TFRecord shards.  Returns the finished StreamingQuery."""
     ship_package(spark)
+    from ..plans import run as R
+    from ..plans import sinks as SK
     from ..sources.files import qualified_root, relative_key
 
     imgs = image_stream(spark, raw_root, cfg, max_files_per_trigger=max_files_per_trigger)
     imgs = imgs.withColumn("seed_key", relative_key("image_path", qualified_root(spark, raw_root)))
-    imgs = PL.known_labels(PL.with_label_split(imgs, cfg, key_col="seed_key")).where(F.col("height") > 0)
-    records = PL.to_records(PL.process(imgs, cfg, key_col="seed_key"), cfg)
-    q = (
-        records.writeStream.format("parquet")
-        .option("path", records_path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("split")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    imgs = PL.with_label_split(imgs, cfg, key_col="seed_key")
+
+    def write(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        before = _table(session, records_path)
+        if before is not None:  # from a batch run, or from a first try of this batch
+            batch = batch.join(before.select("image_path").distinct(), "image_path", "left_anti")
+        good = PL.known_labels(batch).where(F.col("height") > 0)
+        records = PL.to_records(PL.process(good, cfg, key_col="seed_key"), cfg)
+        SK.write_records(records, records_path, cfg, append=True)
+        if out_root is None:
+            return
+        listing = batch.select("image_path", "label", "split")
+        now = _table(session, records_path)
+        if now is None:
+            now = session.createDataFrame([], records.schema)
+        R.rejects(listing, now).write.mode("append").parquet(f"{out_root.rstrip('/')}/rejects")
+        if cfg.tfrecord_enabled:
+            new = now.join(listing.select("image_path"), "image_path", "left_semi")
+            SK.write_tfrecords(new, f"{out_root.rstrip('/')}/tfrecords", cfg, append=True)
+
+    q = imgs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q

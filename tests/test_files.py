@@ -66,7 +66,7 @@ def test_recursive_scan_finds_holdout(spark, tree):
 
 
 def test_empty_input_raises(spark, tmp_path):
-    with pytest.raises(ValueError, match="No images found"):
+    with pytest.raises(ValueError, match="nothing to read"):
         FS.list_files(spark, str(tmp_path / "nothing"), default_config())
 
 

@@ -24,3 +24,41 @@ def test_second_run_only_new_files(spark, workdir):
     assert df.groupBy("image_path").count().where("count <> 3").count() == 0
     ingest(spark, raw, out, ckpt, cfg)  # nothing new
     assert spark.read.parquet(out).count() == 6 * cfg.fanout
+
+
+def test_ingest_after_a_batch_run(spark, workdir):
+    """One version fed by a batch run and then by ingest: all records are read
+    back, rejects and shards follow, and a corrupt upload is reported."""
+    from tessera.plans import sinks as SK
+    from tessera.plans.run import refresh_metadata, run_pipeline
+
+    raw, out, ckpt = workdir + "/raw", workdir + "/out", workdir + "/ckpt"
+    rng = np.random.default_rng(4)
+    picture = lambda: png_bytes(rng.integers(0, 256, (6, 6, 3)).astype(np.uint8))
+    for i in range(3):
+        write(f"{raw}/train/NORMAL/a{i}.png", picture())
+    cfg = C.TILE_CFG.with_(round_u8=True, tfrecord_enabled=True)
+    run_pipeline(spark, raw, out, cfg)
+    write(f"{raw}/test/PNEUMONIA/b.png", picture())
+    write(f"{raw}/test/PNEUMONIA/bad.png", b"no picture")
+    write(f"{raw}/test/other/c.png", picture())
+    for _ in range(2):  # the second run finds nothing new
+        ingest(spark, raw, out + "/parquet", ckpt, cfg, out_root=out)
+        doc = refresh_metadata(spark, raw, out, cfg)
+        assert spark.read.parquet(out + "/parquet").count() == 4 * cfg.fanout
+        assert SK.read_tfrecords(spark, out + "/tfrecords").count() == 4 * cfg.fanout
+        assert spark.read.parquet(out + "/batches").count() == 4 * cfg.fanout
+        rejects = {(r.image_path.rsplit("/", 1)[1], r.reason) for r in spark.read.parquet(out + "/rejects").collect()}
+        assert rejects == {("bad.png", "decode_error"), ("c.png", "unknown_class")}
+        assert doc["processed_images"] == 4 * cfg.fanout and doc["rejected_images"] == 1
+
+
+def test_max_images_takes_paths_as_they_are(spark, workdir):
+    from tessera.plans.run import run_pipeline
+
+    raw = workdir + "/raw"
+    for name in ("x[1].png", "{a,b}.png", "a.png"):
+        write(f"{raw}/train/NORMAL/{name}", png_bytes(np.zeros((4, 4, 3), np.uint8)))
+    cfg = C.TILE_CFG.with_(round_u8=True, tfrecord_enabled=False, parquet_enabled=False)
+    res = run_pipeline(spark, raw, workdir + "/out", cfg, max_images=3)
+    assert res.document["processed_images"] == 3 * cfg.fanout and res.parquet is None

@@ -54,3 +54,28 @@ def test_examples_parquet(spark, workdir):
     sinks.write_examples_parquet(rec, workdir + "/ex")
     ex = spark.read.parquet(workdir + "/ex")
     assert ex.columns == ["tfrecord", "split"] and ex.count() == rec.count()
+
+
+def test_a_killed_commit_keeps_the_old_shards(tmp_path):
+    """Old shards go only after all new ones are in place."""
+
+    from tessera.sources import tfrecord as TFR
+
+    root = str(tmp_path / "tf")
+    (tmp_path / "tf" / "train").mkdir(parents=True)
+    (tmp_path / "tf" / "train" / "part-old.tfrecord").write_bytes(b"old")
+    w = TFR.TFRecordWriter({"path": root}, overwrite=True)
+    tmp = tmp_path / "tf" / "_temporary" / w.job / "train"
+    tmp.mkdir(parents=True)
+    (tmp / "part-new.tfrecord").write_bytes(b"new")
+    good = TFR.ShardCommit(files=[(str(tmp / "part-new.tfrecord"), "train/part-new.tfrecord")])
+    lost = TFR.ShardCommit(files=[(str(tmp / "missing.tfrecord"), "train/missing.tfrecord")])
+    try:
+        w.commit([good, lost])
+    except (OSError, FileNotFoundError):
+        pass
+    assert (tmp_path / "tf" / "train" / "part-old.tfrecord").read_bytes() == b"old"
+    tmp.mkdir(parents=True, exist_ok=True)
+    (tmp / "part-new.tfrecord").write_bytes(b"new")
+    w.commit([good])
+    assert sorted(p.name for p in (tmp_path / "tf" / "train").iterdir()) == ["part-new.tfrecord"]
