@@ -20,12 +20,12 @@ a result are replaced.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +38,7 @@ TRAIN_DOCS, TRAIN_BYTES = 300, 20_000
 #: languages at most, and bound of the resolved table (float32 cells)
 MAX_LANGUAGES, MAX_CELLS = 256, 16_000_000
 UND = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BLOCK = 1 << 20
 _PAD = b"\n" * ORDER  # what comes before a text
 
