@@ -1,11 +1,49 @@
-"""Connected components of an edge table, by alternating large and small stars."""
+"""Connected components of an edge table.
+
+Tasks of up to about ``LOCAL_EDGES`` edges first replace their edges by stars of
+the same components; alternating large and small stars then join the tasks'
+results until nothing changes.  A table that fits one task is done after the
+first step."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import drop_stored, stored
+from tessera.llm.common import drop_stored, ready, stored
+
+#: edges of a task in the first step
+LOCAL_EDGES = 200_000
+
+
+def smallest_reached(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, smallest node of each node's component) of the edges u - v."""
+    nodes, at = np.unique(np.r_[u, v], return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    low = np.arange(len(nodes))
+    while True:
+        new = low.copy()
+        np.minimum.at(new, low[a], low[b])
+        np.minimum.at(new, low[b], low[a])
+        while (new[new] != new).any():
+            new = new[new]
+        new = new[low]
+        if (new == low).all():
+            return nodes, nodes[low]
+        low = new
+
+
+def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if held:
+        nodes, low = smallest_reached(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+        some = nodes != low
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(low[some])], names=["u", "v"])
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,17 +71,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     change nothing.  Each round is written to the shared folder; the driver sees
     a count and a checksum."""
     known = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    now = stored(known.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    ends = F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")
+    now = stored(known.select(*ends).distinct(), "edges")
     loops = now.where(F.col("u") == F.col("v")).select("u", "v")
-    first = now
-    now, seen = now.where(F.col("u") > F.col("v")), None
-    while True:
+    proper = now.where(F.col("u") > F.col("v"))
+    tasks = max(1, math.ceil(proper.count() / LOCAL_EDGES))
+    ready(now.sparkSession)
+    now, seen = stored(proper.coalesce(tasks).mapInArrow(_local_stars, "u long, v long"), "edges"), None
+    while tasks > 1:
         step = stored(_star(_star(now, True), False).distinct(), "edges")
         mark = _print(step)
-        if now is not first and seen is not None:
-            drop_stored(now)
+        drop_stored(now)
         now = step
-        if mark == seen or not mark[0]:
+        if mark == seen:
             break
         seen = mark
     ends = now.select(F.col("u").alias("node"), F.col("v").alias("component"))

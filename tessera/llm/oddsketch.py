@@ -10,9 +10,9 @@ Documents with equal sets are one class and enter once.  A band's bucket is
 never expanded into all pairs: in buckets of up to ``SMALL`` members those near by
 sketch are confirmed at once; in larger ones first each member with the bucket's
 smallest, then, in rounds, only members that are still in different components are
-compared, by sketch inside tasks of bounded blocks, and each puts its best few
-untested candidates forward for confirmation, more in each round, until no
-untested candidate across components is left.  So a large group of near copies
+compared, by sketch inside tasks of bounded blocks, and each component puts its
+best few untested candidates forward for confirmation, more in each round, until
+no untested candidate across components is left.  So a large group of near copies
 costs a star, and a link that the star missed is still found.
 
 With 48 bands of 5 a pair at similarity 0.75 shares no band with probability
@@ -159,29 +159,36 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("both") >= THRESHOLD * (F.size("xa") + F.size("xb") - F.col("both"))).select("a", "b").distinct()
 
 
-def best_partners(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: list, sides: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each member its ``best`` nearest others by sketch that are near
-    enough, lie in another component and haven't been tested with it.  sides:
-    0 or 1, the block of a member; members of side 0 meet those of side 1, or
-    all each other if there is one side."""
+def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: list, sides: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each component its ``best`` nearest pairs of members with other
+    components, by sketch, that are near enough and untested.  sides: 0 or 1,
+    the block of a member; members of side 0 meet those of side 1, or all each
+    other if there is one side."""
     left = np.flatnonzero(sides == sides.min())
     right = np.flatnonzero(sides == sides.max())
-    place = {r: i for i, r in enumerate(rep.tolist())}
-    skip = {(i, place[p]) for i, t in enumerate(tested) for p in (t if t is not None else ()) if p in place}
     limit = most_bits(THRESHOLD / 100 - MARGIN)
     found = []
     for lo in range(0, len(left), 128):
         i = left[lo : lo + 128]
         apart = np.bitwise_count(sketch[i][:, None, :] ^ sketch[right][None, :, :]).sum(2, dtype=np.int32)
-        apart[part[i][:, None] == part[right][None, :]] = BITS
-        near = apart <= limit
-        for k in np.flatnonzero(near.any(1)):
-            js = right[near[k]]
-            ok = [x for x, j in enumerate(js) if (i[k], j) not in skip and (j, i[k]) not in skip]
-            d = apart[k][near[k]][ok]
-            for x in np.argsort(d, kind="stable")[:best]:
-                found.append((rep[i[k]], rep[js[ok[x]]]))
-    return np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
+        x, y = np.nonzero((apart <= limit) & (part[i][:, None] != part[right][None, :]))
+        found.append((i[x], right[y], apart[x, y]))
+    i, j, d = (np.concatenate([f[k] for f in found]) for k in range(3))
+    code = np.maximum(i, j) * len(rep) + np.minimum(i, j)
+    code, at = np.unique(code, return_index=True)
+    i, j, d = i[at], j[at], d[at]
+    place = {r: k for k, r in enumerate(rep.tolist())}
+    seen = [max(k, place[p]) * len(rep) + min(k, place[p]) for k, t in enumerate(tested) if t is not None for p in t if p in place]
+    new = ~np.isin(code, np.array(seen, np.int64))
+    i, j, d = i[new], j[new], d[new]
+    take = np.zeros(len(i), bool)
+    for end in (i, j):
+        own = part[end]
+        order = np.lexsort((d, own))
+        fresh = np.r_[True, own[order][1:] != own[order][:-1]] if len(order) else np.zeros(0, bool)
+        nth = np.arange(len(order)) - np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0)) if len(order) else np.zeros(0, int)
+        take[order[nth < best]] = True
+    return rep[i[take]], rep[j[take]]
 
 
 def _first_pairs(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -221,7 +228,7 @@ def _pairs_of_large(members: DataFrame, tested: DataFrame, nodes: DataFrame, bes
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         sketch = np.array(t.column("sketch").to_pylist(), np.int64).view(np.uint64)
         sides = (t.column("own").to_numpy() == key[2].as_py()).astype(int)
-        a, b = best_partners(t.column("rep").to_numpy(), part, sketch, t.column("tested").to_pylist(), sides, best)
+        a, b = best_pairs(t.column("rep").to_numpy(), part, sketch, t.column("tested").to_pylist(), sides, best)
         return pa.table({"a": a, "b": b})
 
     return rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
@@ -243,7 +250,7 @@ def near_documents(docs: DataFrame) -> DataFrame:
     wanted = union_all([first.select("a").toDF("doc_id"), first.select("b").toDF("doc_id"), large.select("rep").toDF("doc_id")]).distinct()
     sets = stored(_full_sets(docs.join(wanted, "doc_id", "left_semi")), "near-sets")
     release(spark)
-    tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 8
+    tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 16
     while True:
         parts = stored(components(union_all(links)), "near-parts")
         members = stored(_open_members(large, parts), "near-open")
@@ -252,7 +259,7 @@ def near_documents(docs: DataFrame) -> DataFrame:
             break
         tested.append(more)
         links.append(stored(_confirm(more, sets), "near-links"))
-        best *= 8
+        best *= 16
         drop_stored(parts, members)
     release(spark)
     found = parts.withColumnRenamed("node", "rep")

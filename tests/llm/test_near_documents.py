@@ -3,7 +3,9 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
+from tessera.llm import components as components_module
 from tessera.llm import oddsketch, shingles
 from tessera.llm.common import text_bytes
 from tessera.llm.components import components
@@ -96,7 +98,9 @@ def test_empty(empty):
     assert oddsketch.near_documents(empty).count() == 0
 
 
-def test_components_of_a_long_path(spark):
+@pytest.mark.parametrize("limit", [200_000, 8])
+def test_components_of_a_long_path(spark, monkeypatch, limit):
+    monkeypatch.setattr(components_module, "LOCAL_EDGES", limit)
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (101, 100), (7, 7), (200, 200), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100, 200: 200}
