@@ -166,9 +166,9 @@ def train(texts: list[str], toxic: list[int], penalty: float = PENALTY, rate: fl
         pairs.append((f"{terms[i % len(terms)]} {t}", f"{_SWAP[terms[i % len(terms)]]} {t}"))
     d = matrix([a for a, _ in pairs]) - matrix([b for _, b in pairs])
     d = d[np.abs(d).any(1)]
-    # the labels weigh between alike and as they occur (the root of the odds):
-    # rare labels are still found; accelerated gradient steps
-    odds = np.sqrt(max(n := rate or y.mean(), 1e-6) / max(1 - n, 1e-6))
+    # the labels weigh between alike and as they occur: rare labels are still
+    # found; accelerated gradient steps
+    odds = (max(n := rate or y.mean(), 1e-6) / max(1 - n, 1e-6)) ** 0.75
     rate = odds / (1 + odds)
     share = np.where(y, rate / y.sum(), (1 - rate) / (~y).sum()).astype(np.float32)
     w, b = np.zeros(len(names), np.float32), 0.0
