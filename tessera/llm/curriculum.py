@@ -178,10 +178,16 @@ def mixed(docs: DataFrame, **kw) -> DataFrame:
     ``position``.  Rows of equal id, source and text share their copies."""
     docs = docs.drop("position")
     own = ["__id", "__source", "__print"]
+
+    def key(doc_id: str, source: str, print_: Column) -> Column:
+        return F.xxhash64(F.col(doc_id), F.col(doc_id).isNull(), F.col(source), F.col(source).isNull(), print_)
+
     plan = assign(docs, **kw).where(F.col("copies") > 0)
     plan = plan.groupBy(F.col("doc_id").alias(own[0]), F.col("source").alias(own[1]), F.col("print").alias(own[2]))
-    plan = plan.agg(F.flatten(F.collect_list("positions")).alias("__at"))
+    plan = plan.agg(F.flatten(F.collect_list("positions")).alias("__at")).withColumn("__key", key(*own[:2], F.col(own[2])))
     same = F.col("doc_id").eqNullSafe(F.col(own[0])) & F.col("source").eqNullSafe(F.col(own[1])) & (F.xxhash64("text") == F.col(own[2]))
-    one = F.row_number().over(W.partitionBy(*own).orderBy(own[0]))
-    rows = docs.join(plan, same).withColumn("__nth", one).where(F.col("__nth") == 1).withColumn("position", F.explode("__at"))
-    return rows.drop(*own, "__at", "__nth").repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")
+    rows = docs.withColumn("__key", key("doc_id", "source", F.xxhash64("text"))).join(plan, "__key").where(same)
+    # dealt by the join's key already: the texts aren't shuffled again
+    one = F.row_number().over(W.partitionBy("__key", *own).orderBy(own[0]))
+    rows = rows.withColumn("__nth", one).where(F.col("__nth") == 1).withColumn("position", F.explode("__at"))
+    return rows.drop(*own, "__at", "__nth", "__key").repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")

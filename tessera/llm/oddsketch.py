@@ -261,6 +261,7 @@ def near_documents(docs: DataFrame) -> DataFrame:
         links.append(stored(_confirm(more, sets), "near-links"))
         best *= 16
         drop_stored(parts, members)
+    drop_stored(crowded, sets, members, more, *tested, *links)
     release(spark)
     found = parts.withColumnRenamed("node", "rep")
     named = nodes.select("d1", "d2", "rep").join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
