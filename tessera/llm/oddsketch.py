@@ -159,8 +159,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("both") >= THRESHOLD * (F.size("xa") + F.size("xb") - F.col("both"))).select("a", "b").distinct()
 
 
-def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: list, sides: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each component its ``best`` nearest pairs of members with other
+def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: list, sides: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(a, b, whether more are left): for each component its ``best`` nearest pairs of members with other
     components, by sketch, that are near enough and untested.  sides: 0 or 1,
     the block of a member; members of side 0 meet those of side 1, or all each
     other if there is one side."""
@@ -188,7 +188,7 @@ def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: li
         fresh = np.r_[True, own[order][1:] != own[order][:-1]] if len(order) else np.zeros(0, bool)
         nth = np.arange(len(order)) - np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0)) if len(order) else np.zeros(0, int)
         take[order[nth < best]] = True
-    return rep[i[take]], rep[j[take]]
+    return rep[i[take]], rep[j[take]], not take.all()
 
 
 def _first_pairs(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -214,7 +214,8 @@ def _open_members(crowded: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _pairs_of_large(members: DataFrame, tested: DataFrame, nodes: DataFrame, best: int) -> DataFrame:
-    """Untested candidates (a, b) across components in larger buckets."""
+    """Untested candidates (a, b) across components in larger buckets; more:
+    whether their bucket has others left."""
     rows = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     seen = tested.groupBy(F.col("a").alias("rep")).agg(F.collect_set("b").alias("tested"))
     rows = rows.join(nodes.select("rep", "sketch"), "rep").join(seen, "rep", "left")
@@ -225,13 +226,13 @@ def _pairs_of_large(members: DataFrame, tested: DataFrame, nodes: DataFrame, bes
     def compare(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         part = t.column("part").to_numpy()
         if (part == part[0]).all():
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "more": pa.array([], pa.bool_())})
         sketch = np.array(t.column("sketch").to_pylist(), np.int64).view(np.uint64)
         sides = (t.column("own").to_numpy() == key[2].as_py()).astype(int)
-        a, b = best_pairs(t.column("rep").to_numpy(), part, sketch, t.column("tested").to_pylist(), sides, best)
-        return pa.table({"a": a, "b": b})
+        a, b, more = best_pairs(t.column("rep").to_numpy(), part, sketch, t.column("tested").to_pylist(), sides, best)
+        return pa.table({"a": a, "b": b, "more": np.full(len(a), more)})
 
-    return rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+    return rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long, more boolean").distinct()
 
 
 def near_documents(docs: DataFrame) -> DataFrame:
@@ -251,17 +252,17 @@ def near_documents(docs: DataFrame) -> DataFrame:
     sets = stored(_full_sets(docs.join(wanted, "doc_id", "left_semi")), "near-sets")
     release(spark)
     tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 16
-    while True:
+    parts, left = stored(components(links[0]), "near-parts"), True
+    while left:
+        members = _open_members(large, parts)
+        found = stored(_pairs_of_large(members, union_all(tested), nodes, best), "near-pairs")
+        left = not found.where("more").isEmpty()
+        tested.append(found.select("a", "b"))
+        links.append(stored(_confirm(found.select("a", "b").distinct(), sets), "near-links"))
+        drop_stored(parts)
         parts = stored(components(union_all(links)), "near-parts")
-        members = stored(_open_members(large, parts), "near-open")
-        more = stored(_pairs_of_large(members, union_all(tested), nodes, best), "near-pairs")
-        if more.isEmpty():
-            break
-        tested.append(more)
-        links.append(stored(_confirm(more, sets), "near-links"))
         best *= 16
-        drop_stored(parts, members)
-    drop_stored(crowded, sets, members, more, *tested, *links)
+    drop_stored(crowded, sets, *tested, *links)
     release(spark)
     found = parts.withColumnRenamed("node", "rep")
     named = nodes.select("d1", "d2", "rep").join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
