@@ -1,15 +1,18 @@
 """Embedding near-duplicates by sorted projection passes.
 
 Each pass gives a vector the concatenated signs of ``BITS`` random projections,
-orders all vectors by them, and compares every vector with the ``WINDOW`` before
-it, by cosine in double precision.  Verified links of all passes are united.
+orders all vectors by them, equal signs by a hash of pass and vector, and compares
+every vector with the ``WINDOW`` before it, by cosine in double precision.
+Verified links of all passes are united.
 
 Vectors that are equal in every component are one class and are compared once.
 A pass deals the order out in blocks of ``BLOCK`` ranks, each with the WINDOW
 ranks before it, so no task holds more than BLOCK + WINDOW vectors.  A block
-returns link counts and a spanning forest, never its pairs: a pair counts in the
-first pass whose window holds it, which the ranks of both vectors in all passes
-tell.
+returns a spanning forest, never its pairs.  Links are then counted among all
+members of each component, however many windows it fills: a large component is
+dealt in parts of about ``PART`` vectors, part against part.  So a vector's count
+lacks only links to vectors that no chain of found links reaches; counting takes
+time with the square of a component's number of classes.
 
 Defined results: vectors that are null, empty, zero, or hold a null or
 non-finite component, and rows without an id, link with nothing; vectors of
@@ -21,6 +24,7 @@ not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +40,8 @@ from tessera.llm.components import components
 COSINE = 0.95
 PASSES, BITS = 16, 48
 WINDOW, BLOCK = 512, 2048
+#: vectors of a component compared in one task, on either side
+PART = 8192
 
 
 def unit_vectors(rows: DataFrame, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
@@ -100,7 +106,8 @@ def _hashes(classes: DataFrame, passes: int, bits: int) -> DataFrame:
 
 def _ranks(hashes: DataFrame, nodes: int) -> DataFrame:
     """(node, ranks): each node's place in the order of every pass."""
-    by = ["pass", "hash", "node"]
+    # equal hashes: another order in every pass, so that the passes differ
+    by = ["pass", "hash", F.xxhash64("pass", "node"), "node"]
     n = max(2, int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = stored(hashes.repartitionByRange(n, *by).withColumn("__range", F.spark_partition_id()), "vec-order")
     counts = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
@@ -112,14 +119,12 @@ def _ranks(hashes: DataFrame, nodes: int) -> DataFrame:
     return ranked.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("pass", "rank"))).alias("r")).select("node", F.col("r.rank").alias("ranks"))
 
 
-def compare_block(node: np.ndarray, copies: np.ndarray, unit: list[np.ndarray], ranks: np.ndarray, number: int, block: int, window: int, block_size: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links of one block of pass ``number``: for each node the copies that it
-    links with and that no earlier pass has counted, and a root node that it
-    reaches by links of this block."""
-    order = np.argsort(ranks[:, number])
-    at = ranks[order, number]
+def compare_block(unit: list[np.ndarray], rank: np.ndarray, block: int, window: int, block_size: int, cosine: float) -> np.ndarray:
+    """For each vector of a block a root that it reaches by links of this block."""
+    order = np.argsort(rank)
+    at = rank[order]
     size = np.array([len(u) for u in unit])
-    links, root = np.zeros(len(node), np.int64), np.arange(len(node))
+    root = np.arange(len(unit))
     edges = []
     for n in np.unique(size):
         own = order[size[order] == n]
@@ -131,13 +136,7 @@ def compare_block(node: np.ndarray, copies: np.ndarray, unit: list[np.ndarray],
             i, j = np.nonzero(x[from_:hi] @ x[lo:hi].T >= cosine)
             i, j = i + from_, j + lo
             ok = (i < j) & (place[j] - place[i] <= window) & (place[j] >= block * block_size)
-            i, j = own[i[ok]], own[j[ok]]
-            edges.append((i, j))
-            for k in range(0, len(i), 100_000):
-                a, b = i[k : k + 100_000], j[k : k + 100_000]
-                new = ~(np.abs(ranks[a, :number] - ranks[b, :number]) <= window).any(1)
-                links += np.bincount(a[new], copies[b[new]], len(node)).astype(np.int64)
-                links += np.bincount(b[new], copies[a[new]], len(node)).astype(np.int64)
+            edges.append((own[i[ok]], own[j[ok]]))
     i, j = (np.concatenate([e[k] for e in edges]) if edges else np.zeros(0, np.int64) for k in (0, 1))
     while len(i):  # the smallest position reached
         low = root.copy()
@@ -147,18 +146,76 @@ def compare_block(node: np.ndarray, copies: np.ndarray, unit: list[np.ndarray],
         if (low == root).all():
             break
         root = low
-    return links, root
+    return root
+
+
+def count_links(x: np.ndarray, copies: np.ndarray, cosine: float, y: np.ndarray | None = None, y_copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of x, and of y, the copies on the other side that it links
+    with; without y, among the rows of x."""
+    alone = y is None
+    if alone:
+        y, y_copies = x, copies
+    one, two = copies.astype(float), y_copies.astype(float)  # whole numbers
+    a, b = np.zeros(len(x)), np.zeros(len(y))
+    for lo in range(0, len(x), 512):
+        from_ = lo if alone else 0
+        hit = (x[lo : lo + 512] @ y[from_:].T >= cosine).astype(float)
+        if alone:  # a pair once
+            hit = np.triu(hit, 1)
+        a[lo : lo + 512] += hit @ two[from_:]
+        b[from_:] += hit.T @ one[lo : lo + 512]
+    return (a.astype(np.int64), b.astype(np.int64)) if not alone else ((a + b).astype(np.int64), np.zeros(0, np.int64))
+
+
+def _counted(members: DataFrame, classes: DataFrame, cosine: float, part: int) -> DataFrame:
+    """(node, links) among the members (node, component, copies, classes) of each
+    component.  Small components share tasks; the parts of a large one meet in
+    pairs."""
+    linked = members.where("classes > 1")
+    n = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(linked.count() / 2048))
+    parts = F.ceil(F.col("classes") / part).cast("int")
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.struct(F.least(k, own).alias("a"), F.greatest(k, own).alias("b")))
+    dealt = linked.join(classes.select("node", "unit"), "node").select(
+        "node", "component", "copies", "unit", own.alias("part"),
+        F.when(parts > 1, F.col("component")).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(n))).alias("group"),
+        F.explode(pairs).alias("pair"),
+    )
+
+    def count(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        unit = t.column("unit").chunk(0)
+        values, start = _values(unit), unit.offsets.to_numpy()
+        component, copies, of = (t.column(c).to_numpy() for c in ("component", "copies", "part"))
+        links = np.zeros(t.num_rows, np.int64)
+
+        def rows(i: np.ndarray) -> np.ndarray:  # linked vectors are of one length
+            return values[start[i][:, None] + np.arange(start[i[0] + 1] - start[i[0]])]
 
+        a, b = key[1].as_py(), key[2].as_py()
+        if a != b:
+            i, j = np.flatnonzero(of == a), np.flatnonzero(of == b)
+            if len(i) and len(j):
+                links[i], links[j] = count_links(rows(i), copies[i], cosine, rows(j), copies[j])
+        else:
+            order = np.argsort(component, kind="stable")
+            for i in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
+                links[i] = count_links(rows(i), copies[i], cosine)[0]
+        return pa.table({"node": t.column("node"), "links": links})
 
-def near_vectors(rows: DataFrame, cosine: float = COSINE, passes: int = PASSES, bits: int = BITS, window: int = WINDOW, block: int = BLOCK, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
+    dealt = dealt.select("*", F.col("pair.a").alias("a"), F.col("pair.b").alias("b")).drop("pair")
+    return dealt.groupBy("group", "a", "b").applyInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def near_vectors(rows: DataFrame, cosine: float = COSINE, passes: int = PASSES, bits: int = BITS, window: int = WINDOW, block: int = BLOCK, part: int = PART, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
     usable = stored(unit_vectors(rows, vec, key), "vec-units")
     classes = usable.groupBy("d1", "d2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vec-classes")
     ranks = _ranks(_hashes(classes, passes, bits), classes.count())
-    full = stored(classes.select("node", "copies", "unit").join(ranks, "node"), "vec-ranks")
+    full = stored(classes.select("node", "unit").join(ranks, "node"), "vec-ranks")
     number = F.posexplode("ranks").alias("pass", "rank")
-    dealt = full.select("node", "copies", "unit", "ranks", number)
+    dealt = full.select("node", "unit", number)
     own = F.floor(F.col("rank") / block).cast("long")
     dealt = dealt.withColumn("block", F.explode(F.when(F.col("rank") % block >= block - window, F.array(own, own + 1)).otherwise(F.array(own))))
 
@@ -166,22 +223,18 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, passes: int = PASSES,
         t = t.combine_chunks()
         unit = t.column("unit").chunk(0)
         values = _values(unit)
-        r = t.column("ranks").chunk(0)
-        all_ranks = _values(r)[r.offsets[0].as_py() : r.offsets[-1].as_py()].reshape(t.num_rows, -1)
         node = t.column("node").to_numpy()
-        links, root = compare_block(
-            node, t.column("copies").to_numpy(), [values[lo:hi] for lo, hi in _bounds(unit)], all_ranks, key[0].as_py(), key[1].as_py(), window, block, cosine
-        )
-        some = (links > 0) | (root != np.arange(len(node)))
-        return pa.table({"node": node[some], "root": node[root[some]], "links": links[some]})
-
-    found = stored(dealt.groupBy("pass", "block").applyInArrow(compare, "node long, root long, links long"), "vec-links")
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
-    joined = components(found.where(F.col("node") != F.col("root")), "node", "root")
-    named = classes.select("node", "d1", "d2", "rep", "copies").join(joined, "node", "left").join(linked, "node", "left")
+        root = compare_block([values[lo:hi] for lo, hi in _bounds(unit)], t.column("rank").to_numpy(), key[1].as_py(), window, block, cosine)
+        some = root != np.arange(len(node))
+        return pa.table({"node": node[some], "root": node[root[some]]})
+
+    found = dealt.groupBy("pass", "block").applyInArrow(compare, "node long, root long")
+    named = classes.select("node", "d1", "d2", "rep", "copies").join(components(found, "node", "root"), "node", "left")
     named = stored(named.withColumn("component", F.coalesce("component", "node")), "vec-named")
-    low = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(low, "component").select("d1", "d2", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    whole = named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("classes"))
+    members = stored(named.join(whole, "component"), "vec-members")
+    named = members.join(_counted(members, classes, cosine, part), "node", "left")
+    named = named.select("d1", "d2", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     of = usable.select("vec_id", "d1", "d2").join(named, ["d1", "d2"]).select("vec_id", "n_links", "component_id")
     alone = _unusable(rows, vec, key).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return of.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

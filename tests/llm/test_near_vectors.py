@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.llm import projection
 
@@ -49,6 +50,25 @@ def test_small_windows_and_blocks_reach_the_recall(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_group_of_many_windows_has_all_its_links(spark):
+    r = np.random.default_rng(3)
+    base = r.standard_normal(16)
+    tight = [(i, (base + 1e-6 * r.standard_normal(16)).tolist()) for i in range(400)]
+    rows = tight + [(i + 1000, v) for i, v in vectors(100, 16, 4, 3)]
+    want = brute(rows[400:])
+    for part in (8192, 64):  # in one task, and part against part
+        got = {r.vec_id: (r.n_links, r.component_id) for r in projection.near_vectors(table(spark, rows), window=32, block=64, part=part).collect()}
+        assert all(got[i] == (399, 0) for i, _ in tight)
+        assert all(got[i][0] <= n for i, (n, _) in want.items())
+
+
+def test_equal_hashes_are_ordered_anew_in_every_pass(spark):
+    hashes = spark.range(200).select(F.explode(F.sequence(F.lit(0), F.lit(1))).alias("pass"), F.lit(7).cast("long").alias("hash"), F.col("id").alias("node"))
+    ranks = [r.ranks for r in projection._ranks(hashes, 200).collect()]
+    assert sorted(a for a, _ in ranks) == sorted(b for _, b in ranks) == list(range(200))
+    assert sum(abs(a - b) > 20 for a, b in ranks) > 100
+
+
 def test_unusable_vectors_link_with_nothing(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, [None, 1.0]), (9, [1.0, 0.0, 0.0]), (10, [1.0, 0.0]), (10, [1.0, 0.0]), (None, [1.0, 0.0]), (11, [1e300, 1e290]), (12, [-1.0, 0.0])]
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in projection.near_vectors(table(spark, rows)).collect()), key=str)
