@@ -56,22 +56,25 @@ SYLLABLES = {
 }
 _ALPHABET = {"latin": string.ascii_lowercase, "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 _NAME_OF = {n: (k, i) for k, names in GIVEN.items() for i, n in enumerate(names)}
-_LEADS = frozenset(_NAME_OF) | frozenset(TITLES) | frozenset(f"{t}." for t in TITLES)
+#: every match of _PERSON starts with one of these
+_LEAD = re.compile(rf"(?:{'|'.join([*TITLES, *_NAME_OF])})[. ]")
 _CAP = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][^\W\d_]+(?:-[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][^\W\d_]+)?"
 _PERSON = re.compile(
     rf"\b(?:(?:{'|'.join(TITLES)})\.? (?:(?P<g1>{'|'.join(_NAME_OF)}) )?(?P<s1>{_CAP})|(?P<g2>{'|'.join(_NAME_OF)}) (?P<s2>{_CAP}))"
 )
-#: type, what a text must hold for a search to pay, pattern; the entity is group v or all
+#: type, strings of which every match holds one, pattern; the entity is group v or all
 _PATTERNS = (
-    ("email", "@", re.compile(r"(?<![\w.%+-])[\w.%+-]++@[\w-]++(?:\.[\w-]++)+")),
-    ("secret", "=:", re.compile(r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?(?P<v>[^\s\"']{6,})")),
-    ("awskey", "AKIA", re.compile(r"\bA[KS]IA[A-Z0-9]{16}\b")),
-    ("iban", None, re.compile(r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b")),
-    ("ssn", "-", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
-    ("ip", ".", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)")),
-    ("card", None, re.compile(r"(?<![\w+-])[3-6]\d{3}(?:[ -]?\d){9,15}(?![\w-])")),
-    ("phone", None, re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<!\w)\+\d(?:[ ().-]{0,2}\d){7,13}(?!\w)")),
+    ("email", ("@",), re.compile(r"(?<![\w.%+-])[\w.%+-]++@[\w-]++(?:\.[\w-]++)+")),
+    ("secret", ("=", ":"), re.compile(r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?(?P<v>[^\s\"']{6,})")),
+    ("awskey", ("KIA", "SIA"), re.compile(r"\bA[KS]IA[A-Z0-9]{16}\b")),
+    ("iban", (), re.compile(r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b")),
+    ("ssn", ("-",), re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
+    ("ip", (".",), re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)")),
+    ("card", (), re.compile(r"(?<![\w+-])[3-6]\d{3}(?:[ -]?\d){9,15}(?![\w-])")),
+    ("phone", (), re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<!\w)\+\d(?:[ ().-]{0,2}\d){7,13}(?!\w)")),
 )
+#: types whose matches may hold no digit
+_DIGITLESS = frozenset(("email", "secret", "awskey"))
 _HEX = re.compile(r"[0-9a-f]+")
 _DIGIT = re.compile(r"\d")
 
@@ -93,13 +96,13 @@ def find(text: str) -> list[Found]:
     """The entities of a text, in order, without overlaps."""
     out: list[Found] = []
     digits = _DIGIT.search(text)
-    for kind, sign, pattern in _PATTERNS:
-        if (kind != "email" and not digits and kind != "secret") or (sign and not any(c in text for c in ([sign] if kind == "awskey" else sign))):
+    for kind, signs, pattern in _PATTERNS:
+        if (not digits and kind not in _DIGITLESS) or (signs and not any(c in text for c in signs)):
             continue
         for m in pattern.finditer(text):
             lo, hi = m.span("v") if kind == "secret" else m.span()
             out.append(Found(lo, hi, kind, normal(kind, text[lo:hi])))
-    if not _LEADS.isdisjoint(text.split()):
+    if _LEAD.search(text):
         surnames = set()
         for m in _PERSON.finditer(text):
             for g in ("g1", "g2"):

@@ -36,6 +36,30 @@ def test_names_keep_gender_and_script():
     assert len({s.surrogate(KEY, "given", n) for n in given}) == len(given)
 
 
+@pytest.mark.parametrize("text", ["(John Smith)", '"Anna Miller', "Name:John Smith", "(Mr. Brown)", "by\u00abFrau Weber\u00bb", "(Иван Петров)"])
+def test_punctuated_names_are_found(text):
+    found = s.find(text)
+    assert found and found[-1].kind == "surname"
+    assert text[found[-1].start : found[-1].end] not in s.replaced(text, KEY, {})[0]
+
+
+@pytest.mark.parametrize("mention", ["ASIA" + "Q7" * 8, "ASIA" + "Q" * 16, "AKIA" + "Q" * 16])
+def test_access_keys_are_found(mention):
+    new, found = s.replaced(f"key {mention}.", KEY, {})
+    assert [(f.kind, f.normal) for f in found] == [("awskey", mention)]
+    assert mention not in new and new.startswith("key " + mention[:4])
+
+
+def test_gates_let_every_match_through():
+    """What the patterns match in a text of one mention, find() finds."""
+    mentions = ["a@b.example", "pwd:abcdefg", "token = abcdefg", "AKIA" + "A" * 16, "ASIA" + "Z" * 16, "DE89370400440532013000", "123-45-6789", "1.2.3.4", "4111111111111111", "555-123-4567", "+4930123456"]
+    for m in mentions:
+        assert {k for k, _, p in s._PATTERNS if p.search(m)} >= {f.kind for f in s.find(m)} != set()
+    for lead in [*s.TITLES, *(f"{t}." for t in s.TITLES), *s._NAME_OF]:
+        for text in (f"{lead} Wxyz", f"({lead} Wxyz", f"x:{lead} Wxyz"):
+            assert bool(s._PERSON.search(text)) == any(f.kind == "surname" for f in s.find(text)) == True  # noqa: E712
+
+
 def test_another_key_gives_other_surrogates():
     assert s.replaced("a@b.example.com", KEY, {})[0] != s.replaced("a@b.example.com", b"other", {})[0]
 
