@@ -82,7 +82,7 @@ def test_toxicity_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7) for r in got)
     held = [(labels[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in labels]
     toxic, clean = [p for y, p in held if y], [p for y, p in held if not y]
-    assert sum(toxic) >= 0.7 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+    assert sum(toxic) >= 0.75 * len(toxic) and sum(clean) <= 0.01 * len(clean)
 
 
 def biased():
@@ -116,6 +116,18 @@ def test_swap_keeps_the_kind():
     assert toxicity.swapped("nobody here") is None
 
 
+def test_swap_knows_the_languages():
+    for text in ("die Frauen und Muslime", "les femmes et les musulmans", "las mujeres y los musulmanes"):
+        new = toxicity.swapped(text)
+        assert new is not None and sum(a != b for a, b in zip(text.split(), new.split())) == 2
+
+
+def test_label_weight_is_chosen_on_the_training_folds():
+    texts, toxic = biased()
+    assert toxicity.choose_power(texts, toxic) in toxicity.POWERS
+    assert toxicity.choose_power(texts, toxic) == toxicity.choose_power(texts, toxic)
+
+
 def test_toxicity_edges(clashing, empty):
     texts, toxic = biased()
     model = toxicity.train(texts, toxic)
