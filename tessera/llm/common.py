@@ -111,3 +111,18 @@ def release(spark: SparkSession) -> None:
 
     gc.collect()
     spark._jvm.System.gc()
+
+
+#: keys that ``join_split`` broadcasts at most
+HOT_KEYS = 10_000
+
+
+def join_split(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has each key once and in
+    ``weight`` the number of rows that carry it; ``total`` is their sum.  Keys with
+    more than total / HOT_KEYS rows, so fewer than HOT_KEYS of them, are broadcast;
+    what the others bring to one task is as small."""
+    hot = F.col(weight) > total // HOT_KEYS
+    few, rest = F.broadcast(table.where(hot)), table.where(~hot)
+    cold = rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti").join(rest, key)
+    return rows.join(few, key).unionByName(cold)

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, projection, rulecascade, sql, substrings, surrogates, toxicity
+from tessera.llm import bpe, cuckoolines, curriculum, oddsketch, ppm, prefixtrie, projection, resampling, rulecascade, secretscan, sql
+from tessera.llm import substrings, surrogates, toxicity
 from tessera.llm.common import documents
 
 
@@ -64,6 +65,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return prefixtrie.prefix_trie(turns, prefixtrie.grafted, prefixtrie.STEP, prefixtrie.MOST).drop("key")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")
+    drawn = resampling.resample(documents(spark, sf_dir).select("doc_id", "text"), target)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    base, all_ = secretscan.base("found"), secretscan.reported("found")
+    counts = [secretscan.count_of("found", k).alias(f"n_{k}") for k in secretscan.BASE]
+    verdicts = [secretscan.with_verdict("found", v).alias(f"n_{v}") for v in secretscan.VERDICTS]
+    return found.select("doc_id", *counts, F.sha2(secretscan.listed(base), 256).alias("base_sha256"), secretscan.listed(all_).alias("spans"), *verdicts)
+
+
 QUERIES = {
     "op1_minhash_odd_sketch": op1_minhash_odd_sketch,
     "op2_curriculum_mix": op2_curriculum_mix,
@@ -75,6 +95,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 SQL = {
@@ -82,4 +105,7 @@ SQL = {
     "op5_quality_cascade": sql.OP5,
     "op6_line_dedup": sql.OP6,
     "op10_substring_dedup": sql.OP10,
+    "op11_prefix_trie": sql.OP11,
+    "op12_importance_resampling": sql.OP12,
+    "op13_secret_scan": sql.OP13,
 }
