@@ -43,8 +43,9 @@ def write_examples_parquet(records: DataFrame, path: str) -> str:
     return path
 
 
-def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig, *, append: bool = False) -> str:
-    """TFRecord shards under ``{path}/{split}/`` via the tfrecord source."""
+def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig, *, append: bool = False, epoch: str | None = None) -> str:
+    """TFRecord shards under ``{path}/{split}/`` via the tfrecord source; an
+    ``epoch`` written again replaces itself."""
     spark = records.sparkSession
     ship_package(spark)
     TFR.register(spark)
@@ -60,14 +61,19 @@ def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig, *, appen
     w = w.option("shardSizeMb", str(cfg.tfrecord_shard_size_mb))
     if cfg.tfrecord_compression:
         w = w.option("compression", cfg.tfrecord_compression)
+    if epoch:
+        w = w.option("epoch", epoch)
     w.save()
     return path
 
 
-def read_tfrecords(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
+def read_tfrecords(spark: SparkSession, path: str, raw: bool = False, epochs: list[str] | None = None) -> DataFrame:
     ship_package(spark)
     TFR.register(spark)
-    return spark.read.format("tfrecord").option("raw", "true" if raw else "false").load(path)
+    r = spark.read.format("tfrecord").option("raw", "true" if raw else "false")
+    if epochs is not None:
+        r = r.option("epochs", ",".join(epochs))
+    return r.load(path)
 
 
 def write_text_file(spark: SparkSession, path: str, text: str) -> None:
