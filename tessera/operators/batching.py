@@ -21,8 +21,11 @@ def _order(cfg: PipelineConfig, path_col: str, index_col: str):
     return [F.col(path_col), F.col(index_col)]
 
 
-def _finish(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def _finish(df: DataFrame, cfg: PipelineConfig, split_col: str = "split", before: dict[str, int] | None = None) -> DataFrame:
     bs = int(cfg.batch_size)
+    if before:
+        earlier = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col(split_col)]
+        df = df.withColumn("rn", F.col("rn") + F.coalesce(earlier, F.lit(0)))
     return df.withColumn("batch_id", F.floor((F.col("rn") - 1) / bs).cast("bigint")).withColumn(
         "batch_pos", ((F.col("rn") - 1) % bs).cast("bigint")
     ).drop("rn")
@@ -39,9 +42,10 @@ def assign_batches_window(
 
 def assign_batches(
     df: DataFrame, cfg: PipelineConfig, *, split_col: str = "split", path_col: str = "image_path",
-    index_col: str = "augmentation_index", buckets: int = 1024,
+    index_col: str = "augmentation_index", buckets: int = 1024, before: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Same ids as :func:`assign_batches_window`, without a per-split sort."""
+    """Same ids as :func:`assign_batches_window`, without a per-split sort;
+    ``before``: rows by split that are numbered already, whose numbers go on."""
     order = _order(cfg, path_col, index_col)
     if cfg.shuffle:
         bucket = hex_bucket(row_hash_key(cfg.seed, F.col(path_col), F.col(index_col)), buckets)
@@ -56,7 +60,7 @@ def assign_batches(
         df = df.sparkSession.read.parquet(path)
         bucket = F.col("_range_b")
     ranked = global_rank(df, [split_col], order, bucket)
-    return _finish(ranked.drop("_range_b"), cfg)
+    return _finish(ranked.drop("_range_b"), cfg, split_col, before)
 
 
 def collect_batches(df: DataFrame, members: list[str], *, split_col: str = "split") -> DataFrame:

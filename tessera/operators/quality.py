@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,17 +25,20 @@ def summary_from_counts(files: DataFrame, records: DataFrame, cfg: PipelineConfi
 
     ``files``: one row per scanned file with ``label`` (-1 unknown);
     ``records``: one row per output record with ``split`` and ``label``.
-    Both are reduced by one grouping-sets aggregate over their union, and
-    the few resulting rows are folded into JSON objects.
+    Both are counted by split and label, one grouping-sets aggregate sums the
+    union of the counts, and the few resulting rows are folded into JSON objects.
     """
-    f = files.select(F.lit("file").alias("kind"), F.lit(None).cast("string").alias("split"), F.col("label").cast("int"))
-    r = records.select(F.lit("record").alias("kind"), F.col("split"), F.col("label").cast("int"))
+    label = F.col("label").cast("int").alias("label")
+    f = files.groupBy(label).agg(F.count(F.lit(1)).alias("c"))
+    f = f.select(F.lit("file").alias("kind"), F.lit(None).cast("string").alias("split"), "label", "c")
+    r = records.groupBy("split", label).agg(F.count(F.lit(1)).alias("c"))
+    r = r.select(F.lit("record").alias("kind"), "split", "label", "c")
     counts = (
         f.unionByName(r)
         .groupingSets([["kind"], ["kind", "split"], ["kind", "label"]], "kind", "split", "label")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("label") >= 0).alias("n_known"),
+            F.sum("c").alias("n"),
+            F.coalesce(F.sum(F.when(F.col("label") >= 0, F.col("c"))), F.lit(0)).alias("n_known"),
             F.grouping("split").alias("gs"),
             F.grouping("label").alias("gl"),
         )
@@ -134,39 +138,79 @@ def validate_input(listing: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
+def _metadata_count(spark, path: str) -> DataFrame:
+    """meta_n: the metadata document's record count, null if there is no
+    readable document."""
+    from ..plans.sinks import read_metadata
+
+    try:
+        doc = read_metadata(spark, path)
+    except AnalysisException:
+        doc = None
+    if doc is None or "processed_images" not in doc.columns:
+        return spark.range(1).select(F.lit(None).cast("bigint").alias("meta_n"))
+    return doc.select(F.col("processed_images").cast("bigint").alias("meta_n"))
+
+
+def _stored_records(spark, path: str) -> DataFrame | None:
+    from ..plans.sinks import read_records
+
+    try:
+        return read_records(spark, path)
+    except (AnalysisException, ValueError):
+        return None
+
+
+def example_count(spark, path: str) -> DataFrame:
+    """ex_n: the examples of a TFRecord folder by its manifest, which the reader
+    holds each shard against; without a manifest by reading them.  No row if the
+    folder is missing."""
+    from ..plans.sinks import read_tfrecords
+    from ..sources import shardlog
+    from ..sources.tfrecord import fs_and_path, shards
+
+    fs, base = fs_and_path(path.rstrip("/"))
+    if fs.get_file_info(base).type.name == "NotFound":
+        return spark.createDataFrame([], "ex_n bigint")
+    if shardlog.current(fs, base) is not None:
+        return shards(spark, path).agg(F.coalesce(F.sum("records"), F.lit(0)).alias("ex_n"))
+    return read_tfrecords(spark, path, raw=True).agg(F.count(F.lit(1)).alias("ex_n"))
+
+
 def validate_output(spark, out_root: str, cfg: PipelineConfig, *, check_tensors: bool = True) -> DataFrame:
     """Checks on a written version: metadata readable, record count equals
     the metadata count, example count equals the record count, every image
     has 1 + n variants, every tensor's size equals the product of its
-    shape.  All counts are Spark aggregates over the written files."""
-    from ..plans.sinks import read_metadata, read_tfrecords
-
+    shape.  An output that is missing fails its checks.  Without the Parquet
+    output (``parquet.enabled``) the examples are held against the metadata.  All
+    counts are Spark aggregates over the written files."""
     out = out_root.rstrip("/")
-    meta = read_metadata(spark, f"{out}/{cfg.metadata_file}").select(
-        F.col("processed_images").cast("bigint").alias("meta_n")
-    )
-    stored = spark.read.parquet(f"{out}/parquet")
-    shape_prod = F.aggregate("image_shape", F.lit(1).cast("bigint"), lambda acc, x: acc * x)
-    bad_size = F.count_if(F.size("image_flattened") != shape_prod) if check_tensors else F.lit(0).cast("bigint")
-    rec = stored.agg(F.count(F.lit(1)).alias("rec_n"), bad_size.alias("bad_size"))
-    per_img = stored.groupBy("image_path").agg(F.count(F.lit(1)).alias("k"))
-    var = per_img.agg(F.count_if(F.col("k") != cfg.fanout).alias("bad_variants"))
-    parts = [meta, rec, var]
+    parts = [_metadata_count(spark, f"{out}/{cfg.metadata_file}")]
+    specs = [("metadata_present", "meta_n is not null", "coalesce(meta_n, 0)")]
+    if cfg.parquet_enabled:
+        specs += [
+            ("records_match_metadata", "coalesce(rec_n = meta_n, false)", "coalesce(rec_n, 0)"),
+            ("variants_per_image", "coalesce(bad_variants = 0, false)", "coalesce(bad_variants, 0)"),
+            ("tensor_size_matches_shape", "coalesce(bad_size = 0, false)", "coalesce(bad_size, 0)"),
+        ]
+        stored = _stored_records(spark, f"{out}/parquet")
+        if stored is not None:
+            shape_prod = F.aggregate("image_shape", F.lit(1).cast("bigint"), lambda acc, x: acc * x)
+            bad_size = F.count_if(F.size("image_flattened") != shape_prod) if check_tensors else F.lit(0).cast("bigint")
+            parts.append(stored.agg(F.count(F.lit(1)).alias("rec_n"), bad_size.alias("bad_size")))
+            per_img = stored.groupBy("image_path").agg(F.count(F.lit(1)).alias("k"))
+            parts.append(per_img.agg(F.count_if(F.col("k") != cfg.fanout).alias("bad_variants")))
     if cfg.tfrecord_enabled:
-        parts.append(read_tfrecords(spark, f"{out}/tfrecords", raw=True).agg(F.count(F.lit(1)).alias("ex_n")))
-    allrow = parts[0]
-    for p in parts[1:]:
+        parts.append(example_count(spark, f"{out}/tfrecords"))
+        held = "rec_n" if cfg.parquet_enabled else "meta_n"
+        name = "examples_match_records" if cfg.parquet_enabled else "examples_match_metadata"
+        specs.append((name, f"coalesce(ex_n = {held}, false)", "coalesce(ex_n, 0)"))
+    columns = ("meta_n", "rec_n", "bad_size", "bad_variants", "ex_n")
+    none = spark.createDataFrame([], ", ".join(f"{c} bigint" for c in columns))
+    allrow = none
+    for p in parts:
         allrow = allrow.unionByName(p, allowMissingColumns=True)
-    row = allrow.agg(*[F.max(c).alias(c) for c in allrow.columns])
-    specs = [
-        ("metadata_present", "meta_n is not null", "coalesce(meta_n, 0)"),
-        ("records_match_metadata", "rec_n = meta_n", "rec_n"),
-        ("variants_per_image", "bad_variants = 0", "bad_variants"),
-        ("tensor_size_matches_shape", "bad_size = 0", "bad_size"),
-    ]
-    if cfg.tfrecord_enabled:
-        specs.append(("examples_match_records", "ex_n = rec_n", "ex_n"))
-    return _checks(row, specs)
+    return _checks(allrow.agg(*[F.max(c).alias(c) for c in columns]), specs)
 
 
 def version_catalog(spark, processed_root: str, metadata_file: str = "metadata.json") -> DataFrame:

@@ -8,6 +8,7 @@ results never depend on a previous run.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from ..streaming import ingest as ING
 from . import catalog as C
 from . import pipeline as PL
 from . import sinks as SK
+from .ledger import Ledger
+from .run import REJECT_SCHEMA
 
 # tile file trees already written in this SparkContext: (sf, scratch root) -> path
 _TILE_FILES: dict[tuple[str, str], str] = {}
@@ -86,7 +89,7 @@ def q_stream_ingest(spark, sf):
     out = scratch_path(spark, "stream-records")
     ckpt = scratch_path(spark, "stream-checkpoint")
     ING.ingest(spark, root, out, ckpt, FILE_CFG)
-    rec = spark.read.parquet(out)
+    rec = SK.read_records(spark, out)
     return rec.select(
         _rel("image_path", root).alias("rel_path"),
         C._i64("augmentation_index"),
@@ -108,7 +111,7 @@ def q_batch_then_ingest(spark, sf):
     run_pipeline(spark, root, out, cfg)
     TL.write_tile_images(tiles.where("vec_id % 2 = 1"), root).count()
     ING.ingest(spark, root, f"{out}/parquet", scratch_path(spark, "grown-checkpoint"), cfg, out_root=out)
-    return spark.read.parquet(f"{out}/parquet").select(
+    return SK.read_records(spark, f"{out}/parquet").select(
         _rel("image_path", root).alias("rel_path"),
         C._i64("augmentation_index"),
         "split",
@@ -117,6 +120,109 @@ def q_batch_then_ingest(spark, sf):
     )
 
 
+class _Lost(Exception):
+    """The injected failure of ``ingest_after_failure``."""
+
+
+def q_ingest_after_failure(spark, sf):
+    """R1: a batch run over half of the files; the ingest of
+    the others fails after each of its outputs in turn and is started again.  The
+    records, examples, batch ids and rejects that a reader then finds, each row once."""
+    from .run import run_pipeline
+
+    root, out = scratch_path(spark, "failing-raw"), scratch_path(spark, "failing")
+    checkpoint = scratch_path(spark, "failing-checkpoint")
+    tiles = TL.tile_image_layout(spark, sf)
+    TL.write_tile_images(tiles.where("vec_id % 2 = 0"), root).count()
+    cfg = FILE_CFG.with_(tfrecord_enabled=True)
+    run_pipeline(spark, root, out, cfg)
+    TL.write_tile_images(tiles.where("vec_id % 2 = 1"), root).count()
+    for step in ("listing", "records", "tfrecords", "batches", "rejects", "published"):
+
+        def fail(name: str, step: str = step) -> None:
+            if name == step:
+                raise _Lost(name)
+
+        try:
+            ING.ingest(spark, root, f"{out}/parquet", checkpoint, cfg, out_root=out, on_output=fail)
+        except Exception as e:  # Spark wraps the callback's error
+            if "_Lost" not in str(e):
+                raise
+    ING.ingest(spark, root, f"{out}/parquet", checkpoint, cfg, out_root=out)
+    ledger = Ledger(spark, f"{out}/parquet")
+    records = SK.read_records(spark, f"{out}/parquet")
+    keys = [_rel("image_path", root).alias("rel_path"), "split"]
+    number = C._i64("augmentation_index").alias("n")
+    examples = SK.read_tfrecords(spark, f"{out}/tfrecords", epochs=ledger.published())
+    batches = ledger.read(f"{out}/batches")
+    rejects = ledger.read(f"{out}/rejects", REJECT_SCHEMA).withColumn("split", FS.LB.split_expr(F.col("image_path")))
+    parts = {
+        "record": records.select(*keys, number),
+        "example": examples.select(*keys, F.size("image").cast("bigint").alias("n")),
+        "batch": batches.groupBy("split", "batch_id").count().select(F.lit("").alias("rel_path"), "split", C._i64("count").alias("n")),
+        "reject": rejects.select(*keys, F.lit(-1).cast("bigint").alias("n")),
+    }
+    return reduce(DataFrame.unionByName, [d.select(F.lit(k).alias("kind"), "rel_path", "split", "n") for k, d in parts.items()])
+
+
+def _damage(spark, root: str, rel_paths: DataFrame) -> None:
+    """Overwrite image files with bytes that are no picture."""
+    import pyarrow as pa
+
+    from ..sources.tfrecord import fs_and_path
+
+    def run(batches):
+        for b in batches:
+            for rel in b.column(0).to_pylist():
+                fs, p = fs_and_path(f"{root}/{rel}")
+                with fs.open_output_stream(p) as f:
+                    f.write(b"no picture")
+            yield pa.RecordBatch.from_arrays([b.column(0)], ["file"])
+
+    rel_paths.mapInArrow(run, "file string").count()
+
+
+def q_reject_files(spark, sf):
+    """P6: the job over image files of which some are damaged and some lie in
+    folders of unknown classes; its rejects table."""
+    from .run import run_pipeline
+
+    root, out = scratch_path(spark, "damaged-raw"), scratch_path(spark, "damaged")
+    tiles = TL.tile_image_layout(spark, sf)
+    TL.write_tile_images(tiles, root).count()
+    _damage(spark, root, tiles.where("vec_id % 7 = 3").select("rel_path"))
+    res = run_pipeline(spark, root, out, FILE_CFG.with_(tfrecord_enabled=False))
+    rejects = Ledger(spark, res.parquet).read(res.rejects, REJECT_SCHEMA)
+    return rejects.select(_rel("image_path", root).alias("rel_path"), "stage", "reason")
+
+
+def _record_keys(spark, path: str, root: str) -> DataFrame:
+    return SK.read_records(spark, path).select(_rel("image_path", root).alias("rel_path"), "split", C._i64("label"), C._i64("augmentation_index"))
+
+
+def q_limited_run(spark, sf):
+    """L1: the job's quick mode on the first ten files by path."""
+    from .run import run_pipeline
+
+    root = tile_files(spark, sf)
+    res = run_pipeline(spark, root, scratch_path(spark, "limited"), FILE_CFG.with_(tfrecord_enabled=False), max_images=10)
+    return _record_keys(spark, res.parquet, root)
+
+
+def q_multi_root_run(spark, sf):
+    """U1: two raw roots as one dataset; files of equal relative path in both are
+    two images."""
+    from .run import run_pipeline
+
+    base = scratch_path(spark, "several-roots")
+    tiles = TL.tile_image_layout(spark, sf)
+    TL.write_tile_images(tiles, f"{base}/v1.0").count()
+    TL.write_tile_images(tiles.where("vec_id % 3 = 0"), f"{base}/v1.1").count()
+    res = run_pipeline(spark, [f"{base}/v1.0", f"{base}/v1.1"], scratch_path(spark, "merged"), FILE_CFG.with_(tfrecord_enabled=False))
+    keys = _record_keys(spark, res.parquet, base)
+    return keys.withColumns({"root": F.split_part("rel_path", F.lit("/"), F.lit(1)), "rel_path": F.regexp_replace("rel_path", "^[^/]*/", "")})
+
+
 def q_pipeline_files(spark, sf):
     """The whole file job (``run_pipeline``): PNG files -> JVM decode ->
     fused chain -> Parquet by split (+ TFRecord, rejects, metadata); the
@@ -125,7 +231,7 @@ def q_pipeline_files(spark, sf):
 
     root = tile_files(spark, sf)
     res = run_pipeline(spark, root, scratch_path(spark, "file-version"), FILE_CFG)
-    rec = spark.read.parquet(res.parquet).select(
+    rec = SK.read_records(spark, res.parquet).select(
         _rel("image_path", root).alias("rel_path"), C._i64("augmentation_index"), "split", C._i64("label"),
         "image_flattened",
     )
@@ -202,6 +308,23 @@ def q_validate_output(spark, sf):
     return Q.validate_output(spark, out, C.TILE_CFG)
 
 
+def q_validate_output_faults(spark, sf):
+    """V2: a version that lacks variants, has wrong shapes, lacks examples and
+    claims more records than it has; and a version that isn't there."""
+    out = scratch_path(spark, "damaged-version")
+    cfg = C.TILE_CFG
+    records = _tile_records(spark, sf)
+    number = F.regexp_extract("image_path", r"img(\d+)\.", 1).cast("bigint")
+    SK.write_metadata(spark, f"{out}/{cfg.metadata_file}", {"processed_images": records.count()})
+    wrong = F.transform("image_shape", lambda n: n + 1)
+    records = records.withColumn("image_shape", F.when(number % 4 == 0, wrong).otherwise(F.col("image_shape")))
+    records = records.where((number % 5 != 0) | (F.col("augmentation_index") < 2))
+    SK.write_records(records, f"{out}/parquet", cfg)
+    SK.write_tfrecords(SK.read_records(spark, f"{out}/parquet", "train"), f"{out}/tfrecords", cfg)
+    parts = {"damaged": out, "absent": scratch_path(spark, "no-version")}
+    return reduce(DataFrame.unionByName, [Q.validate_output(spark, p, cfg).select(F.lit(k).alias("version"), "check", "ok", "n") for k, p in parts.items()])
+
+
 def q_version_catalog(spark, sf):
     root = scratch_path(spark, "processed")
     for cfg in (C.TILE_CFG, V2_CFG):
@@ -227,11 +350,16 @@ QUERIES = {
     "scan_recursive": q_scan_recursive,
     "stream_ingest": q_stream_ingest,
     "batch_then_ingest": q_batch_then_ingest,
+    "ingest_after_failure": q_ingest_after_failure,
     "parquet_roundtrip": q_parquet_roundtrip,
     "tfrecord_encode": q_tfrecord_encode,
     "tfrecord_roundtrip": q_tfrecord_roundtrip,
     "validate_input": q_validate_input,
     "validate_output": q_validate_output,
+    "validate_output_faults": q_validate_output_faults,
+    "reject_files": q_reject_files,
+    "limited_run": q_limited_run,
+    "multi_root_run": q_multi_root_run,
     "version_catalog": q_version_catalog,
     "version_diff": q_version_diff,
 }

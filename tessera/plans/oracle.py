@@ -414,6 +414,24 @@ from KL where {SCANNED}"""
 
 SQL["batch_then_ingest"] = SQL["stream_ingest"]
 
+SQL["ingest_after_failure"] = with_(P, L, KL, f"""RF AS (select {REL} as rel_path, split, unnest(range(0, 3)) as aug from KL where {SCANNED})""") + f"""
+select 'record' as kind, rel_path, split, aug as n from RF
+union all select 'example', rel_path, split, 192 from RF
+union all select 'batch', '', split, least(32, total - 32 * i)
+  from (select split, total, unnest(range(0, (total + 31) // 32)) as i from (select split, count(*) as total from RF group by split))
+union all select 'reject', {REL}, split, -1 from L where label < 0 and {SCANNED}"""
+
+SQL["reject_files"] = with_(P, L) + f"""select {REL} as rel_path,
+  case when label < 0 then 'label' else 'decode' end as stage, case when label < 0 then 'unknown_class' else 'decode_error' end as reason
+from L where {SCANNED} and (label < 0 or vec_id % 7 = 3)"""
+
+SQL["limited_run"] = with_(P, L, f"""FF AS (select {REL} as rel_path, split, label from L where {SCANNED} order by rel_path limit 10)""") + """
+select rel_path, split, label::BIGINT as label, unnest(range(0, 3)) as augmentation_index from FF where label >= 0"""
+
+SQL["multi_root_run"] = with_(P, L, KL, f"""MR AS (select 'v1.0' as root, * from KL where {SCANNED}
+  union all select 'v1.1' as root, * from KL where {SCANNED} and vec_id % 3 = 0)""") + f"""
+select root, {REL} as rel_path, split, label::BIGINT as label, unnest(range(0, 3)) as augmentation_index from MR"""
+
 SQL["parquet_roundtrip"] = with_(*_records_long_ctes(TILE_CFG)) + f"""select image_path, aug as augmentation_index, split,
   label::BIGINT as label, pos, {R6('v::float')} as value from REC"""
 
@@ -433,6 +451,17 @@ union all select 'known_labels', known_labels > 0, known_labels from S
 union all select 'known_splits', known_splits > 0, known_splits from S
 union all select 'accepted_extensions', accepted_ext = files, accepted_ext from S"""
 
+SQL["validate_output_faults"] = with_(P, L, KL, f"""C AS (select (select count(*) from KL) as images,
+  (select count(*) from KL where vec_id % 5 = 0) as lacking, (select count(*) from KL where vec_id % 4 = 0) as bad,
+  (select count(*) from KL where vec_id % 4 = 0 and vec_id % 5 = 0) as both_, (select count(*) from KL where split = 'train') as train,
+  (select count(*) from KL where split = 'train' and vec_id % 5 = 0) as train_lacking)""") + """
+select 'damaged' as version, 'metadata_present' as "check", true as ok, images * 3 as n from C
+union all select 'damaged', 'records_match_metadata', lacking = 0, images * 3 - lacking from C
+union all select 'damaged', 'variants_per_image', lacking = 0, lacking from C
+union all select 'damaged', 'tensor_size_matches_shape', bad = 0, bad * 3 - both_ from C
+union all select 'damaged', 'examples_match_records', train * 3 - train_lacking = images * 3 - lacking, train * 3 - train_lacking from C
+union all select 'absent', unnest(['metadata_present', 'records_match_metadata', 'variants_per_image', 'tensor_size_matches_shape', 'examples_match_records']), false, 0"""
+
 SQL["validate_output"] = with_(P, L, KL, RK, """V AS (select count(*) filter (where k <> 3) as bad from
   (select image_path, count(*) as k from RK group by image_path))""",
   """Z AS (select count(*) filter (where len(e.embedding) <> 8 * 8 * 1) as bad from KL join embeddings e using (vec_id))""") + """

@@ -12,13 +12,14 @@ from ..config import PipelineConfig
 from ..operators.encode import encode_examples
 from ..session import ship_package
 from ..sources import tfrecord as TFR
+from .ledger import Ledger, has_ledger
 
 
-def write_records(records: DataFrame, path: str, cfg: PipelineConfig, *, dynamic_overwrite: bool = False, append: bool = False) -> str:
-    """Parquet, ``partitionBy("split")``, overwrite (or append).  Static overwrite
+def write_records(records: DataFrame, path: str, cfg: PipelineConfig, *, dynamic_overwrite: bool = False) -> str:
+    """Parquet, ``partitionBy("split")``, overwrite.  Static overwrite
     replaces every split (a full run); ``dynamic_overwrite`` replaces only
     the splits present in ``records`` (a single-split rerun)."""
-    w = records.write.mode("append" if append else "overwrite").partitionBy("split").option("compression", cfg.parquet_compression)
+    w = records.write.mode("overwrite").partitionBy("split").option("compression", cfg.parquet_compression)
     # tensors are unique floats and paths are unique strings: a dictionary
     # page never pays off, and trying one costs ~2.5x the write time
     w = w.option("parquet.enable.dictionary", "false")
@@ -31,8 +32,11 @@ def write_records(records: DataFrame, path: str, cfg: PipelineConfig, *, dynamic
 
 
 def read_records(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Read back; a split filter prunes to one partition directory."""
-    df = spark.read.parquet(path)
+    """Read back: the published epochs of a table with a ledger, else the table; a
+    split filter prunes to one partition directory of each."""
+    df = Ledger(spark, path).read(path) if has_ledger(spark, path) else spark.read.parquet(path)
+    if df is None:
+        raise ValueError(f"{path} has no published records")
     return df.where(F.col("split") == split) if split is not None else df
 
 

@@ -88,7 +88,25 @@ def read_images(spark: SparkSession, root: str, cfg: PipelineConfig, *, recursiv
     """Decoded images: (image_path, height, width, channels, mode, data
     binary).  Pixel bytes are B,G,R[,A] or gray as the image source stores
     them; invalid files have height -1 and empty data."""
-    df = _load(_reader(spark, "image", cfg, recursive).option("dropInvalid", "false"), root, cfg, recursive)
+    return _pixels(_load(_reader(spark, "image", cfg, recursive).option("dropInvalid", "false"), root, cfg, recursive))
+
+
+#: tasks that look up the files of ``read_paths``
+_LOOKUP_TASKS = 64
+
+
+def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Decoded images of the given files, a bounded list."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), _LOOKUP_TASKS)))  # not a task for each file
+    try:
+        return _pixels(spark.read.format("image").option("dropInvalid", "false").load([escape_glob(p) for p in paths]))
+    finally:
+        spark.conf.set(key, before)
+
+
+def _pixels(df: DataFrame) -> DataFrame:
     return df.select(
         LB.normalise_path(F.col("image.origin"), percent_decode=True).alias("image_path"),
         F.col("image.height").alias("height"),
@@ -108,18 +126,33 @@ def qualified_root(spark: SparkSession, root: str) -> str:
     return q.rstrip("/")
 
 
-def relative_key(path_col, root_qualified: str | None):
+def root_tags(roots: list[str]) -> list[str]:
+    """A name for each of several raw roots: the last folder of its path, with a
+    number where that isn't unique."""
+    names = [r.rstrip("/").rsplit("/", 1)[-1] for r in roots]
+    return [n if names.count(n) == 1 else f"{n}#{i}" for i, n in enumerate(names)]
+
+
+def relative_key(path_col, root_qualified: str | list[str] | None):
     """Path relative to the raw root: the key of every seeded draw and of
-    the ratio split, so copying a dataset elsewhere keeps its variants."""
+    the ratio split, so copying a dataset elsewhere keeps its variants.  With
+    several roots, the root's name goes first: files of equal relative path are
+    different images and get variants of their own."""
     p = F.col(path_col) if isinstance(path_col, str) else path_col
     if not root_qualified:
         return p
-    prefix = root_qualified + "/"
-    return F.when(p.startswith(prefix), F.substring(p, len(prefix) + 1, 1 << 30)).otherwise(p)
+    roots = [root_qualified] if isinstance(root_qualified, str) else list(root_qualified)
+    out = p
+    # a root inside another one is tried first
+    for tag, root in sorted(zip(root_tags(roots), roots), key=lambda x: len(x[1])):
+        prefix = root + "/"
+        rest = F.substring(p, len(prefix) + 1, 1 << 30)
+        out = F.when(p.startswith(prefix), rest if len(roots) == 1 else F.concat(F.lit(tag + "/"), rest)).otherwise(out)
+    return out
 
 
 def labelled_files(
-    files: DataFrame, cfg: PipelineConfig, path_col: str = "path", root_qualified: str | None = None
+    files: DataFrame, cfg: PipelineConfig, path_col: str = "path", root_qualified: str | list[str] | None = None
 ) -> DataFrame:
     key = relative_key(path_col, root_qualified)
     split = LB.split_expr(F.col(path_col))

@@ -2,73 +2,55 @@
 
 The weekly batch becomes a file stream: the checkpoint remembers which
 files were processed, so each run (``trigger(availableNow=True)``) picks up
-only new uploads, applies the same transforms, and appends to the records
-table as a batch write.  No streaming sink log hides what a batch run wrote,
-and images whose path the table already holds (from a batch run, or from a
-first try of the micro-batch) are left out, so each has its records once.
-Rejects and TFRecord shards follow the same way; batch ids and metadata are
-recomputed from the tables after the run, never incremented.
+only new uploads and applies the same transforms.
+
+The stream carries the file listing only, no content.  A micro-batch's paths
+are compared, keys against keys, with those of the published epochs (a batch run
+may have taken some), the new ones are decoded, and all outputs are written as one
+epoch of the record table's ledger: listing, records, shards, batch ids, rejects,
+and at last the publication.  The epoch is named after the stream and the
+micro-batch, so a micro-batch that failed between any two outputs is written again
+in place, and one that was published before Spark noted its end is left alone:
+every output holds each image once, whenever the run was interrupted.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import PipelineConfig
 from ..functions import labels as LB
 from ..plans import pipeline as PL
+from ..plans.ledger import LISTING, Ledger
 from ..session import ship_package
-from ..sources.files import extension_glob, image_glob
-
-IMAGE_SCHEMA = T.StructType(
-    [
-        T.StructField(
-            "image",
-            T.StructType(
-                [
-                    T.StructField("origin", T.StringType(), True),
-                    T.StructField("height", T.IntegerType(), True),
-                    T.StructField("width", T.IntegerType(), True),
-                    T.StructField("nChannels", T.IntegerType(), True),
-                    T.StructField("mode", T.IntegerType(), True),
-                    T.StructField("data", T.BinaryType(), True),
-                ]
-            ),
-            True,
-        )
-    ]
-)
-
-
-def image_stream(spark: SparkSession, raw_root: str, cfg: PipelineConfig, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (
-        spark.readStream.format("image")
-        .schema(IMAGE_SCHEMA)
-        .option("dropInvalid", "false")
-        .option("pathGlobFilter", extension_glob(cfg))
-    )
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    df = r.load(image_glob(raw_root, cfg))
-    return df.select(
-        LB.normalise_path(F.col("image.origin"), percent_decode=True).alias("image_path"),
-        F.col("image.height").alias("height"),
-        F.col("image.width").alias("width"),
-        F.col("image.nChannels").alias("channels"),
-        F.col("image.data").alias("data"),
-    )
-
-
-def _table(spark: SparkSession, path: str) -> DataFrame | None:
+from ..sources import files as FS
+
+#: files of a micro-batch unless told: their paths are on the driver, as they
+#: are in the file stream itself
+MAX_FILES = 50_000
+
+LISTED = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def listing_stream(spark: SparkSession, raw_root: str, cfg: PipelineConfig, *, max_files_per_trigger: int | None = None) -> DataFrame:
+    """(path, length) of new files; contents aren't read."""
+    r = spark.readStream.format("binaryFile").schema(LISTED).option("pathGlobFilter", FS.extension_glob(cfg))
+    r = r.option("maxFilesPerTrigger", int(max_files_per_trigger or MAX_FILES))
+    return r.load(FS.image_glob(raw_root, cfg)).select(LB.normalise_path(F.col("path"), percent_decode=False).alias("path"), "length")
+
+
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the stream's checkpoint keeps over restarts."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    f = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+        return json.loads(bytes(f.readAllBytes()).decode())["id"].replace("-", "")[:16]
+    finally:
+        f.close()
 
 
 def ingest(
@@ -80,38 +62,35 @@ def ingest(
     *,
     out_root: str | None = None,
     max_files_per_trigger: int | None = None,
+    on_output: Callable[[str], None] = lambda name: None,
 ):
-    """Process every image not seen before and append its records to
-    ``records_path``; with ``out_root`` also its rejects and, if configured,
-    TFRecord shards.  Returns the finished StreamingQuery."""
+    """Process every image not seen before into epochs of ``records_path``; with
+    ``out_root`` also its rejects, batch ids and, if configured, TFRecord shards.
+    ``on_output`` is called with each output's name when it is complete.  Returns
+    the finished StreamingQuery."""
     ship_package(spark)
     from ..plans import run as R
-    from ..plans import sinks as SK
-    from ..sources.files import qualified_root, relative_key
-
-    imgs = image_stream(spark, raw_root, cfg, max_files_per_trigger=max_files_per_trigger)
-    imgs = imgs.withColumn("seed_key", relative_key("image_path", qualified_root(spark, raw_root)))
-    imgs = PL.with_label_split(imgs, cfg, key_col="seed_key")
-
-    def write(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        before = _table(session, records_path)
-        if before is not None:  # from a batch run, or from a first try of this batch
-            batch = batch.join(before.select("image_path").distinct(), "image_path", "left_anti")
-        good = PL.known_labels(batch).where(F.col("height") > 0)
-        records = PL.to_records(PL.process(good, cfg, key_col="seed_key"), cfg)
-        SK.write_records(records, records_path, cfg, append=True)
-        if out_root is None:
+
+    root = FS.qualified_root(spark, raw_root)
+    ledger = Ledger(spark, records_path)
+
+    def write(batch: DataFrame, number: int) -> None:
+        epoch = f"s{stream_name(spark, checkpoint)}-{number:08d}"
+        if epoch in ledger.published():
             return
-        listing = batch.select("image_path", "label", "split")
-        now = _table(session, records_path)
-        if now is None:
-            now = session.createDataFrame([], records.schema)
-        R.rejects(listing, now).write.mode("append").parquet(f"{out_root.rstrip('/')}/rejects")
-        if cfg.tfrecord_enabled:
-            new = now.join(listing.select("image_path"), "image_path", "left_semi")
-            SK.write_tfrecords(new, f"{out_root.rstrip('/')}/tfrecords", cfg, append=True)
-
-    q = imgs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        # the stream lists a file twice if its name looks like a pattern
+        listing = FS.labelled_files(batch.dropDuplicates(["path"]), cfg, root_qualified=root)
+        before = ledger.read(f"{ledger.root}/{LISTING}", R.LISTING_SCHEMA)
+        if before is not None:
+            listing = listing.join(before.select("image_path"), "image_path", "left_anti")
+        paths = [r.image_path for r in PL.known_labels(listing).select("image_path").collect()]  # of one micro-batch
+        images = None
+        if paths:
+            images = FS.read_paths(spark, paths).withColumn("seed_key", FS.relative_key("image_path", root))
+            images = PL.with_label_split(images, cfg, key_col="seed_key").where(F.col("height") > 0).drop("mode")
+        R.write_epoch(ledger, epoch, out_root.rstrip("/") if out_root else None, cfg, listing, images, on_output=on_output)
+
+    new = listing_stream(spark, raw_root, cfg, max_files_per_trigger=max_files_per_trigger)
+    q = new.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
