@@ -161,9 +161,9 @@ def _stored_records(spark, path: str) -> DataFrame | None:
         return None
 
 
-def example_count(spark, path: str) -> DataFrame:
-    """ex_n: the examples of a TFRecord folder by its manifest, which the reader
-    holds each shard against; without a manifest by reading them.  No row if the
+def example_count(spark, path: str, epochs: list[str] | None = None) -> DataFrame:
+    """ex_n: the examples of a TFRecord folder, or of its published epochs, by its
+    manifest, which the reader holds each shard against; without a manifest by reading them.  No row if the
     folder is missing."""
     from ..plans.sinks import read_tfrecords
     from ..sources import shardlog
@@ -173,7 +173,7 @@ def example_count(spark, path: str) -> DataFrame:
     if fs.get_file_info(base).type.name == "NotFound":
         return spark.createDataFrame([], "ex_n bigint")
     if shardlog.current(fs, base) is not None:
-        return shards(spark, path).agg(F.coalesce(F.sum("records"), F.lit(0)).alias("ex_n"))
+        return shards(spark, path, epochs).agg(F.coalesce(F.sum("records"), F.lit(0)).alias("ex_n"))
     return read_tfrecords(spark, path, raw=True).agg(F.count(F.lit(1)).alias("ex_n"))
 
 
@@ -184,6 +184,8 @@ def validate_output(spark, out_root: str, cfg: PipelineConfig, *, check_tensors:
     shape.  An output that is missing fails its checks.  Without the Parquet
     output (``parquet.enabled``) the examples are held against the metadata.  All
     counts are Spark aggregates over the written files."""
+    from ..plans.ledger import Ledger, has_ledger
+
     out = out_root.rstrip("/")
     parts = [_metadata_count(spark, f"{out}/{cfg.metadata_file}")]
     specs = [("metadata_present", "meta_n is not null", "coalesce(meta_n, 0)")]
@@ -201,7 +203,8 @@ def validate_output(spark, out_root: str, cfg: PipelineConfig, *, check_tensors:
             per_img = stored.groupBy("image_path").agg(F.count(F.lit(1)).alias("k"))
             parts.append(per_img.agg(F.count_if(F.col("k") != cfg.fanout).alias("bad_variants")))
     if cfg.tfrecord_enabled:
-        parts.append(example_count(spark, f"{out}/tfrecords"))
+        epochs = Ledger(spark, f"{out}/parquet").published() if has_ledger(spark, f"{out}/parquet") else None
+        parts.append(example_count(spark, f"{out}/tfrecords", epochs))
         held = "rec_n" if cfg.parquet_enabled else "meta_n"
         name = "examples_match_records" if cfg.parquet_enabled else "examples_match_metadata"
         specs.append((name, f"coalesce(ex_n = {held}, false)", "coalesce(ex_n, 0)"))

@@ -142,7 +142,7 @@ def write_epoch(
 
     if out is not None:
         if cfg.tfrecord_enabled and (counts or replaces):
-            SK.write_tfrecords(stored, f"{out}/tfrecords", cfg, append=not replaces, epoch=epoch)
+            SK.write_tfrecords(stored, f"{out}/tfrecords", cfg, append=True, epoch=epoch)
         on_output("tfrecords")
         if cfg.examples_parquet and counts:
             SK.write_examples_parquet(stored, ledger.folder(f"{out}/examples", epoch))
@@ -155,6 +155,13 @@ def write_epoch(
         on_output("rejects")
     ledger.publish(epoch, counts, replaces=replaces)
     on_output("published")
+    show_epoch(out, cfg, epoch, replaces)
+
+
+def show_epoch(out: str | None, cfg: PipelineConfig, epoch: str, replaces: bool) -> None:
+    """What readers of a single output see follows the ledger; may be repeated."""
+    if out is not None and cfg.tfrecord_enabled:
+        SK.show_examples(f"{out}/tfrecords", epoch, replaces=replaces)
 
 
 def run_pipeline(

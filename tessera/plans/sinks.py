@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import PipelineConfig
 from ..operators.encode import encode_examples
 from ..session import ship_package
+from ..sources import shardlog
 from ..sources import tfrecord as TFR
 from .ledger import Ledger, has_ledger
 
@@ -48,8 +49,9 @@ def write_examples_parquet(records: DataFrame, path: str) -> str:
 
 
 def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig, *, append: bool = False, epoch: str | None = None) -> str:
-    """TFRecord shards under ``{path}/{split}/`` via the tfrecord source; an
-    ``epoch`` written again replaces itself."""
+    """TFRecord shards under ``{path}/{split}/`` via the tfrecord source.  An
+    ``epoch`` written again replaces itself, and stays pending until
+    ``show_examples``."""
     spark = records.sparkSession
     ship_package(spark)
     TFR.register(spark)
@@ -66,11 +68,16 @@ def write_tfrecords(records: DataFrame, path: str, cfg: PipelineConfig, *, appen
     if cfg.tfrecord_compression:
         w = w.option("compression", cfg.tfrecord_compression)
     if epoch:
-        w = w.option("epoch", epoch)
+        w = w.option("epoch", epoch).option("pending", "true")
     w.save()
     return path
 
 
+def show_examples(path: str, epoch: str, *, replaces: bool = False) -> None:
+    """A pending epoch of shards becomes part of the version, or all of it."""
+    shardlog.show(*TFR.fs_and_path(path), epoch, replaces)
+
+
 def read_tfrecords(spark: SparkSession, path: str, raw: bool = False, epochs: list[str] | None = None) -> DataFrame:
     ship_package(spark)
     TFR.register(spark)

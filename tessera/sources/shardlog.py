@@ -2,10 +2,12 @@
 
 ``{root}/_manifest/{job}/{task}.json`` lists the shards that one task wrote, a JSON
 line each: path, split, records, bytes, digest.  ``{root}/_manifest/{n}.json`` is
-one commit: the parts it publishes, the epoch they belong to, and whether it
-replaces what was there.  The version is what the commits say in order: a
-replacing commit drops all before it, a later commit of an epoch drops that
-epoch's earlier one.  A commit is one small file put in place by a rename, so a
+one commit: the parts it publishes, the epoch they belong to, whether it
+replaces what was there, and whether it is pending.  The version is what the
+commits say in order: a replacing commit drops all before it, a later commit of
+an epoch drops that epoch's earlier one.  Pending commits are no part of it, but
+can be read by their epoch, so that a ledger over several outputs decides; ``show``
+makes them part of it.  A commit is one small file put in place by a rename, so a
 writer that dies at any step leaves the previous version or the new one, never a
 mixture; shards that no commit names are not part of the version.  There is one
 writer at a time.
@@ -46,6 +48,7 @@ class Commit:
     number: int
     epoch: str
     replaces: bool
+    pending: bool
     parts: tuple[Part, ...]
 
 
@@ -89,31 +92,38 @@ def commits(fs: pafs.FileSystem, base: str) -> Iterator[Commit]:
             continue
         c = json.loads(_read(fs, path))
         parts = tuple(Part(p["name"], tuple(p["sizes"]), p["records"]) for p in c["parts"])
-        yield Commit(int(name.split(".")[0]), c["epoch"], c["replaces"], parts)
+        yield Commit(int(name.split(".")[0]), c["epoch"], c["replaces"], c["pending"], parts)
 
 
-def current(fs: pafs.FileSystem, base: str) -> dict[str, Commit] | None:
-    """The commit of each epoch of the version; None without a manifest."""
+def current(fs: pafs.FileSystem, base: str, epochs: list[str] | None = None) -> dict[str, Commit] | None:
+    """The commit of each epoch of the version, or of the given epochs, pending or
+    not; None without a manifest."""
     version: dict[str, Commit] | None = None
     for c in commits(fs, base):
-        version = {} if c.replaces or version is None else version
-        version.pop(c.epoch, None)
-        version[c.epoch] = c
+        version = {} if version is None else version
+        if epochs is None and not c.pending:
+            version = {} if c.replaces else version
+            version.pop(c.epoch, None)
+            version[c.epoch] = c
+        elif epochs is not None and c.epoch in epochs:
+            version[c.epoch] = c
     return version
 
 
-def add(fs: pafs.FileSystem, base: str, epoch: str, replaces: bool, parts: list[Part]) -> int:
+def add(fs: pafs.FileSystem, base: str, epoch: str, replaces: bool, parts: list[Part], pending: bool = False) -> int:
     """Publish ``parts`` as ``epoch``: the one step that changes the version."""
     number = max((c.number for c in commits(fs, base)), default=0) + 1
     path = f"{base}/{FOLDER}/{number:012d}.json"
     told = [{"name": p.name, "sizes": list(p.sizes), "records": p.records} for p in parts]
     if fs.get_file_info(path).type != pafs.FileType.NotFound:
         raise FileExistsError(f"another writer committed {path}")
-    _write(fs, path, json.dumps({"epoch": epoch, "replaces": replaces, "parts": told}))
+    _write(fs, path, json.dumps({"epoch": epoch, "replaces": replaces, "pending": pending, "parts": told}))
     return number
 
 
-def records(version: dict[str, Commit] | None, epochs: list[str] | None = None) -> int:
-    """Records of the version, of the given epochs only if told."""
-    some = [c for e, c in (version or {}).items() if epochs is None or e in epochs]
-    return sum(p.records for c in some for p in c.parts)
+def show(fs: pafs.FileSystem, base: str, epoch: str, replaces: bool) -> None:
+    """Make a pending epoch part of the version, or all of it; nothing if it is."""
+    if epoch in (current(fs, base) or {}):
+        return
+    for c in (current(fs, base, [epoch]) or {}).values():
+        add(fs, base, epoch, replaces, list(c.parts))

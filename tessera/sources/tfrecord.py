@@ -10,7 +10,8 @@ lists its shards in its own manifest part.  The job's commit publishes the
 parts of the tasks that count (``sources.shardlog``); no file is moved.  Shards
 of a task that died are named by no commit and so are never read; ``vacuum``
 deletes them, and those of replaced versions.  Option ``epoch`` names the
-commit: writing an epoch again replaces it.
+commit: writing an epoch again replaces it; ``pending`` leaves it out of the
+version until ``shardlog.show``.
 
 Read: the manifest's shards in partitions of about ``PARTITION_BYTES``, planned
 from the sizes in the commits; both CRCs and the number of records are checked,
@@ -119,10 +120,9 @@ class TFRecordReader(DataSourceReader):
         info = fs.get_file_info(base)
         if info.type == pafs.FileType.File:
             return [self._whole(info.path)]
-        version = shardlog.current(fs, base)
+        version = shardlog.current(fs, base, self.epochs)
         if version is not None:
-            some = [c for e, c in version.items() if self.epochs is None or e in self.epochs]
-            return planned([p for c in some for p in c.parts]) or [ShardPartition(None, 0, 0)]
+            return planned([p for c in version.values() for p in c.parts]) or [ShardPartition(None, 0, 0)]
         files = [
             f
             for f in fs.get_file_info(pafs.FileSelector(base, recursive=True))
@@ -216,6 +216,7 @@ class TFRecordWriter(DataSourceArrowWriter):
         self.shard_bytes = int(float(options.get("shardSizeMb", "100")) * (1 << 20))
         self.job = options.get("jobId") or uuid.uuid4().hex[:16]
         self.epoch = options.get("epoch") or self.job
+        self.pending = str(options.get("pending", "false")).lower() == "true"
 
     def write(self, iterator) -> ShardCommit:
         fs, base = fs_and_path(self.root)
@@ -265,7 +266,7 @@ class TFRecordWriter(DataSourceArrowWriter):
         """The parts of the tasks that count become the version, or part of it."""
         fs, base = fs_and_path(self.root)
         parts = [m.part for m in messages if m is not None and m.part is not None]
-        shardlog.add(fs, base, self.epoch, self.overwrite, parts)
+        shardlog.add(fs, base, self.epoch, self.overwrite, parts, self.pending)
 
     def abort(self, messages) -> None:
         """Nothing was published."""
@@ -278,8 +279,8 @@ def shards(spark, root: str, epochs: list[str] | None = None):
 
     ship_package(spark)
     fs, base = fs_and_path(root.rstrip("/"))
-    version = shardlog.current(fs, base) or {}
-    names = [(p.name,) for e, c in version.items() if epochs is None or e in epochs for p in c.parts]
+    version = shardlog.current(fs, base, epochs) or {}
+    names = [(p.name,) for c in version.values() for p in c.parts]
     schema = "path string, split string, records bigint, bytes bigint, digest string"
 
     def run(batches):

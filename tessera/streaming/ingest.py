@@ -72,11 +72,12 @@ def ingest(
     from ..plans import run as R
 
     root = FS.qualified_root(spark, raw_root)
-    ledger = Ledger(spark, records_path)
+    ledger, out = Ledger(spark, records_path), out_root.rstrip("/") if out_root else None
 
     def write(batch: DataFrame, number: int) -> None:
         epoch = f"s{stream_name(spark, checkpoint)}-{number:08d}"
         if epoch in ledger.published():
+            R.show_epoch(out, cfg, epoch, False)
             return
         # the stream lists a file twice if its name looks like a pattern
         listing = FS.labelled_files(batch.dropDuplicates(["path"]), cfg, root_qualified=root)
@@ -88,7 +89,7 @@ def ingest(
         if paths:
             images = FS.read_paths(spark, paths).withColumn("seed_key", FS.relative_key("image_path", root))
             images = PL.with_label_split(images, cfg, key_col="seed_key").where(F.col("height") > 0).drop("mode")
-        R.write_epoch(ledger, epoch, out_root.rstrip("/") if out_root else None, cfg, listing, images, on_output=on_output)
+        R.write_epoch(ledger, epoch, out, cfg, listing, images, on_output=on_output)
 
     new = listing_stream(spark, raw_root, cfg, max_files_per_trigger=max_files_per_trigger)
     q = new.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

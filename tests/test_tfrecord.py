@@ -72,16 +72,24 @@ def test_manifest_rows(spark, workdir):
 
 
 def test_an_epoch_written_again_replaces_itself(spark, workdir):
+    """Pending epochs are read by name only; shown, they are part of the version."""
     rec = records(spark)
     root = workdir + "/tf"
-    sinks.write_tfrecords(rec.where("split = 'train'"), root, C.TILE_CFG, epoch="a")
+
+    def splits(**kw):
+        return {r.split for r in sinks.read_tfrecords(spark, root, **kw).select("split").distinct().collect()}
+
+    sinks.write_tfrecords(rec.where("split = 'train'"), root, C.TILE_CFG)
     for part in ("split = 'test'", "split = 'validation'"):
         sinks.write_tfrecords(rec.where(part), root, C.TILE_CFG, append=True, epoch="b")
-    found = {r.split for r in sinks.read_tfrecords(spark, root).select("split").distinct().collect()}
-    want = {r.split for r in rec.where("split in ('train', 'validation')").select("split").distinct().collect()}
-    assert found == want
-    only = sinks.read_tfrecords(spark, root, epochs=["a"])
-    assert {r.split for r in only.select("split").distinct().collect()} == {"train"}
+    assert splits() == {"train"} and splits(epochs=["b"]) == {"validation"}
+    for _ in range(2):
+        sinks.show_examples(root, "b")
+    assert splits() == {"train", "validation"}
+    sinks.show_examples(root, "none")
+    sinks.write_tfrecords(rec.where("split = 'test'"), root, C.TILE_CFG, append=True, epoch="c")
+    sinks.show_examples(root, "c", replaces=True)
+    assert splits() == {"test"}
 
 
 def test_partitions_follow_the_sizes():
