@@ -43,7 +43,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", ppm.held_out(F.col("doc_id"), 3, 1))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    model = toxicity.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"))
+    model = toxicity.fit(docs.where(~F.col("held_out")), labels)
     return toxicity.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 

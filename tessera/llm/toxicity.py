@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import pieces, ready
+from tessera.llm.common import drop_stored, pieces, ready, stored
 
 #: bound of the training sample: rows a label, and bytes a text
 SAMPLE_ROWS, SAMPLE_BYTES = 1_200, 20_000
@@ -252,17 +252,25 @@ def _descend(names: list[str], x: np.ndarray, d: np.ndarray, y: np.ndarray, pena
     return Model({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-4}, b)
 
 
-def fit(labelled: DataFrame, label: str = "toxic", text: str = "text") -> Model:
-    """The model of about SAMPLE_ROWS rows of either label, spread over all
-    labelled rows by a hash of the text."""
-    usable = labelled.where(F.col(label).isin(0, 1) & (F.octet_length(text) <= SAMPLE_BYTES) & (F.octet_length(text) > 0))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id") -> Model:
+    """The model of about SAMPLE_ROWS rows of either label, spread over all rows
+    of ``docs`` that ``labels`` marks by a hash of the text.  The rows are drawn by
+    hash and length; only the drawn ones' texts are fetched."""
+    print_ = F.xxhash64(F.lit(7), F.col(text))
+    size = F.octet_length(text)
+    marked = docs.where((size <= SAMPLE_BYTES) & (size > 0)).select(key, print_.alias("__print"))
+    usable = marked.join(labels.where(F.col(label).isin(0, 1)).select(key, label), key)
+    usable = stored(usable, "toxic-labelled")
     counts = {r[0]: r[1] for r in usable.groupBy(label).count().collect()}
     if len(counts) < 2:
         return Model()
-    draw = F.pmod(F.xxhash64(F.lit(7), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.col("__print"), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col(label) == 1, min(1.0, SAMPLE_ROWS / counts[1])).otherwise(min(1.0, SAMPLE_ROWS / counts[0]))
     # bounded: equal texts share a draw and count once
-    some = usable.where(draw < share).select(text, label).dropDuplicates([text]).limit(4 * SAMPLE_ROWS).collect()
+    drawn = stored(usable.where(draw < share).dropDuplicates(["__print"]).limit(4 * SAMPLE_ROWS), "toxic-drawn")
+    texts = docs.select(key, text, print_.alias("__print")).join(F.broadcast(drawn), [key, "__print"])
+    some = texts.select(text, label).dropDuplicates([text]).collect()
+    drop_stored(usable, drawn)
     some.sort()
     return train([r[0] for r in some], [r[1] for r in some], rate=counts[1] / (counts[0] + counts[1]))
 
