@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from tessera.llm.common import SPACE_CHARS, pieces, ready, stored, text_bytes
+from tessera.llm.common import SPACE_CHARS, pieces, ready, release, stored, text_bytes
 
 #: knots (time, weight) of the schedules, dealt to the sources in turn; their
 #: integrals are the weights 3, 1 and 2
@@ -186,8 +186,12 @@ def mixed(docs: DataFrame, **kw) -> DataFrame:
     plan = plan.groupBy(F.col("doc_id").alias(own[0]), F.col("source").alias(own[1]), F.col("print").alias(own[2]))
     plan = plan.agg(F.flatten(F.collect_list("positions")).alias("__at")).withColumn("__key", key(*own[:2], F.col(own[2])))
     same = F.col("doc_id").eqNullSafe(F.col(own[0])) & F.col("source").eqNullSafe(F.col(own[1])) & (F.xxhash64("text") == F.col(own[2]))
+    plan = stored(plan, "mix-plan")
     rows = docs.withColumn("__key", key("doc_id", "source", F.xxhash64("text"))).join(plan, "__key").where(same)
     # dealt by the join's key already: the texts aren't shuffled again
     one = F.row_number().over(W.partitionBy("__key", *own).orderBy(own[0]))
-    rows = rows.withColumn("__nth", one).where(F.col("__nth") == 1).withColumn("position", F.explode("__at"))
-    return rows.drop(*own, "__at", "__nth", "__key").repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")
+    rows = rows.withColumn("__nth", one).where(F.col("__nth") == 1).drop(*own, "__nth", "__key")
+    # written once, so that the join's shuffle is gone before the sort's comes
+    rows = stored(rows, "mix-rows")
+    release(docs.sparkSession)
+    return rows.withColumn("position", F.explode("__at")).drop("__at").repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")
