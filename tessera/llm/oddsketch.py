@@ -8,19 +8,20 @@ within ``MARGIN`` of the threshold are confirmed on their full sets.
 
 Documents with equal sets are one class and enter once.  A band's bucket is
 never expanded into all pairs: in buckets of up to ``SMALL`` members those near by
-sketch are confirmed at once; in larger ones first each member with the bucket's
-smallest, then, in rounds, only members that are still in different components are
+sketch are confirmed at once; in larger ones first each member with the smallest
+of all its buckets' members, then, in rounds, only members that are still in different components are
 compared, by sketch inside tasks of bounded blocks, and each component puts its
 best few untested candidates forward for confirmation, more in each round, until
 no untested candidate across components is left.  So a large group of near copies
 costs a star, and a link that the star missed is still found.
 
 With 48 bands of 5 a pair at similarity 0.75 shares no band with probability
-2e-6; the sketch's margin is four standard deviations
+2e-6; the sketch's margin is six standard deviations
 (0.019 of the samples and 0.012 of the bits at that similarity).
 
 Defined results: a document without words, or without a doc_id, links with
-nothing; rows with the same doc_id are one document with several texts; ties
+nothing; rows with the same doc_id are one document with several texts, linked by
+each of them (but see ``dedup_rows``); ties
 can't occur (the smallest doc_id names a component); an empty table gives an
 empty result; other columns are not read.  Sets are compared by 64-bit shingle
 hashes, classes by a 128-bit digest of the set.
@@ -37,14 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import drop_stored, mix64, pieces, ready, release, stored, text_bytes, union_all
+from tessera.llm.common import drop_stored, join_split, mix64, pieces, ready, release, stored, text_bytes, union_all
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
 
 SAMPLES, BITS = 512, 2048
 BANDS, ROWS = 48, 5
 #: links have 100 * intersection >= THRESHOLD * union
-THRESHOLD, MARGIN = 75, 0.09
+THRESHOLD, MARGIN = 75, 0.13
 #: members up to which a bucket is compared by a join, all at once
 SMALL = 16
 #: members of a larger bucket that one task compares with as many others
@@ -109,16 +110,16 @@ def _lists(a: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, the class digest d1 and d2, bands and sketch (the
-    last four null for empty sets)."""
+    """doc_id, print, n_shingles, the class digest d1 and d2, bands and sketch
+    (the last four null for empty sets) of (doc_id, print, text)."""
     ready(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "print", "text")
     longs = T.ArrayType(T.LongType())
-    schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n_shingles", "d1", "d2")], T.StructField("bands", longs), T.StructField("sketch", longs)])
+    schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("print", "n_shingles", "d1", "d2")], T.StructField("bands", longs), T.StructField("sketch", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text", 1 << 20):
-            sets, off = shingle_sets(*text_bytes(b.column(1)))
+            sets, off = shingle_sets(*text_bytes(b.column(2)))
             size = np.diff(off)
             some = np.flatnonzero(size)
             spread = np.full(len(size), -1)
@@ -129,21 +130,21 @@ def signatures(docs: DataFrame) -> DataFrame:
                 o = np.r_[off[some], off[-1]]
                 m, d = minhashes(sets, o), _digests(sets, o)
                 cols = [pa.array(d[:, 0]), pa.array(d[:, 1]), _lists(band_hashes(m)), _lists(odd_sketches(m))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), *[c.take(at) for c in cols]], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size), *[c.take(at) for c in cols]], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def _full_sets(docs: DataFrame) -> DataFrame:
-    docs = docs.select("doc_id", "text")
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("set", T.ArrayType(T.LongType()))])
+def _full_sets(rows: DataFrame) -> DataFrame:
+    """(rep, set) of the rows (rep, text)."""
+    schema = T.StructType([T.StructField("rep", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for b in pieces(batches, "text", 1 << 20):
             sets, off = shingle_sets(*text_bytes(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(sets.view(np.int64)))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return rows.select("rep", "text").mapInArrow(run, schema)
 
 
 def _apart(a: Column, b: Column) -> Column:
@@ -154,7 +155,7 @@ def _apart(a: Column, b: Column) -> Column:
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links by their full sets."""
-    x = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("xa"))
+    x = sets.select(F.col("rep").alias("a"), F.col("set").alias("xa"))
     pairs = pairs.join(x, "a").join(x.toDF("b", "xb"), "b")
     both = pairs.withColumn("both", F.size(F.array_intersect("xa", "xb")))
     return both.where(100 * F.col("both") >= THRESHOLD * (F.size("xa") + F.size("xb") - F.col("both"))).select("a", "b").distinct()
@@ -194,14 +195,15 @@ def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: li
 
 def _first_pairs(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
     """Candidates (a, b), near by sketch: all of buckets of up to SMALL members,
-    and each member of a larger one with its smallest."""
+    and each member of larger ones with the smallest that leads one of them.  What
+    that one pair leaves apart, the rounds over open buckets compare."""
     near = _apart(F.col("sa"), F.col("sb")) <= most_bits(THRESHOLD / 100 - MARGIN)
     sketches = nodes.select("rep", "sketch")
     rows = crowded.where(F.col("n") <= SMALL).join(sketches, "rep")
     a = rows.select("band", F.col("rep").alias("a"), F.col("sketch").alias("sa"))
     b = rows.select("band", F.col("rep").alias("b"), F.col("sketch").alias("sb"))
     small = a.join(b, (a["band"] == b["band"]) & (F.col("a") > F.col("b")) & near).select("a", "b")
-    star = crowded.where((F.col("n") > SMALL) & (F.col("rep") != F.col("lead"))).select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
+    star = crowded.where(F.col("n") > SMALL).groupBy(F.col("rep").alias("a")).agg(F.min("lead").alias("b")).where("a != b")
     star = star.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b").where(near).select("a", "b")
     return small.unionByName(star).distinct()
 
@@ -236,24 +238,60 @@ def _pairs_of_large(members: DataFrame, tested: DataFrame, nodes: DataFrame, bes
     return rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long, more boolean").distinct()
 
 
-def near_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
-    marks = stored(signatures(docs), "near-marks")
+def _nodes(marks: DataFrame) -> DataFrame:
+    """One row a class of equal sets: d1, d2, bands, sketch, its smallest row
+    (doc_id ``first`` and ``print``), and rep, the number it goes by: ``first``, or a
+    digest's where several classes share that doc_id."""
     some = marks.where(F.col("d1").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    nodes = stored(nodes.withColumn("rep", F.col("rep").cast("long")), "near-nodes")
+    low = F.min(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "print")).alias("low")
+    classes = some.groupBy("d1", "d2").agg(low, F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = stored(classes.select("d1", "d2", F.col("low.doc_id").alias("first"), F.col("low.print").alias("print"), "bands", "sketch"), "near-classes")
+    shared = stored(classes.groupBy("first").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"), "near-shared")
+    other = F.lit(1 << 62) + F.pmod(F.xxhash64("d1", "d2"), F.lit(1 << 62))
+    both = classes.join(shared.withColumn("__shared", F.lit(True)), "first", "left")
+    nodes = both.withColumn("rep", F.when(F.col("__shared"), other).otherwise(F.col("first"))).drop("__shared")
+    nodes = stored(nodes, "near-nodes")
+    drop_stored(classes, shared)
+    return nodes
+
+
+def _same_id(marks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of documents that have several texts."""
+    some = marks.where(F.col("d1").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "d1", "d2")
+    digest = F.struct("d1", "d2")
+    per = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"), F.min(digest).alias("lo"), F.max(digest).alias("hi"))
+    several = stored(per.where("lo != hi").select("doc_id", "__n", F.col("lo.d1").alias("lo1"), F.col("lo.d2").alias("lo2")), "near-several")
+    total = several.agg(F.sum("__n")).first()[0] or 0
+    own = join_split(some, several, "doc_id", "__n", total).select("d1", "d2", "lo1", "lo2").distinct()
+    by = nodes.select("d1", "d2", F.col("rep").alias("a"))
+    lead = nodes.select(F.col("d1").alias("lo1"), F.col("d2").alias("lo2"), F.col("rep").alias("b"))
+    links = stored(own.join(by, ["d1", "d2"]).join(lead, ["lo1", "lo2"]).select("a", "b").where("a != b"), "near-links")
+    drop_stored(several)
+    return links
+
+
+def _components(docs: DataFrame, same_id: bool) -> DataFrame:
+    """doc_id, print, n_shingles of every row of ``docs``, and of the rows with a
+    set and a doc_id the smallest row of their component (low_id, low_print); a
+    written table."""
+    spark = docs.sparkSession
+    docs = docs.select("doc_id", F.xxhash64("text").alias("print"), "text")
+    marks = stored(signatures(docs), "near-marks")
+    nodes = _nodes(marks)
     members = nodes.select("rep", F.explode("bands").alias("band"))
     crowds = members.groupBy("band").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = stored(members.join(crowds, "band"), "near-crowded")
     release(spark)
     first = stored(_first_pairs(crowded, nodes), "near-pairs")
     large = crowded.where(F.col("n") > SMALL)
-    wanted = union_all([first.select("a").toDF("doc_id"), first.select("b").toDF("doc_id"), large.select("rep").toDF("doc_id")]).distinct()
-    sets = stored(_full_sets(docs.join(wanted, "doc_id", "left_semi")), "near-sets")
+    wanted = union_all([first.select("a").toDF("rep"), first.select("b").toDF("rep"), large.select("rep")]).distinct()
+    wanted = wanted.join(nodes.select("rep", F.col("first").alias("doc_id"), "print"), "rep")
+    sets = stored(_full_sets(docs.join(wanted, ["doc_id", "print"])), "near-sets")
     release(spark)
     tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 16
-    parts, left = stored(components(links[0]), "near-parts"), True
+    if same_id:
+        links.append(_same_id(marks, nodes))
+    parts, left = stored(components(union_all(links)), "near-parts"), True
     while left:
         members = _open_members(large, parts)
         found = stored(_pairs_of_large(members, union_all(tested), nodes, best), "near-pairs")
@@ -265,8 +303,31 @@ def near_documents(docs: DataFrame) -> DataFrame:
         best *= 16
     drop_stored(crowded, sets, *tested, *links)
     release(spark)
-    found = parts.withColumnRenamed("node", "rep")
-    named = nodes.select("d1", "d2", "rep").join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
-    out = marks.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = nodes.select("d1", "d2", "first", "print", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    found = found.withColumn("component", F.coalesce("component", "rep"))
+    low = found.groupBy("component").agg(F.min(F.struct("first", "print")).alias("low"))
+    named = found.select("d1", "d2", "component").join(low, "component")
+    named = named.select("d1", "d2", F.col("low.first").alias("low_id"), F.col("low.print").alias("low_print"))
+    rows = marks.select("doc_id", "print", "n_shingles", *[F.when(F.col("doc_id").isNotNull(), F.col(d)).alias(d) for d in ("d1", "d2")])
+    out = stored(rows.join(named, ["d1", "d2"], "left").drop("d1", "d2"), "near-rows")
+    drop_stored(marks, nodes, parts)
+    release(spark)
+    return out
+
+
+def near_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    rows = _components(docs, same_id=True)
+    component = F.coalesce("low_id", F.col("doc_id"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def dedup_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` of which none smaller (doc_id, then a hash of the text)
+    is reached by links between texts: here a repeated doc_id links nothing, so no
+    text goes without a near-duplicate that stays.  Rows without words or without a
+    doc_id stay, and so do rows that repeat a kept one in full."""
+    rows = _components(docs, same_id=False)
+    gone = rows.where((F.col("doc_id") != F.col("low_id")) | (F.col("print") != F.col("low_print")))
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print")).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left_anti")

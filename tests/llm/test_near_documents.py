@@ -112,3 +112,58 @@ def test_no_class_is_reported_twice(spark):
     for r in oddsketch.near_documents(d).collect():
         got[r.doc_id].append((r.component_id, r.n_shingles))
     assert got == {1: [(1, 2)], 2: [(1, 2), (1, 2)]}
+
+
+def test_repeated_ids(spark):
+    """Texts of one doc_id are one document for the operator, and rows of their own
+    for ``dedup_rows``, which leaves none without a near-duplicate that stays."""
+    a, b, c = prose(40, 1), prose(40, 2), prose(40, 3)
+    rows = [(5, a), (5, b), (3, b), (9, a), (9, a), (11, c), (11, b + " x y z"), (12, c), (13, ""), (13, b), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.component_id) for r in oddsketch.near_documents(df).collect()}
+    assert got == brute_ids(rows)
+    assert {(5, 3), (3, 3), (9, 3), (13, 13), (None, None)} < got
+    kept = sorted(((r.doc_id, r.text) for r in oddsketch.dedup_rows(df).collect()), key=repr)
+    assert kept == sorted(brute_rows(rows), key=repr)
+
+
+def brute_ids(rows):
+    """(doc_id, component) of every row: links between texts, and between the
+    texts of an id."""
+    sets = [word_sets(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (x, a) in enumerate(zip(rows, sets)):
+        for j in range(i):
+            if None not in (x[0], rows[j][0]) and a and sets[j]:
+                if x[0] == rows[j][0] or 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                    parent[find(i)] = find(j)
+    low = defaultdict(list)
+    for i, (x, _) in enumerate(rows):
+        low[find(i)].append(x)
+    return {(x, None if x is None else min(low[find(i)], key=lambda v: (v is None, v)) if sets[i] else x) for i, (x, _) in enumerate(rows)}
+
+
+def brute_rows(rows):
+    """The rows that stay: one text of each group, all its full repeats."""
+    texts = {}
+    for x, t in rows:
+        if x is not None and word_sets(t):
+            texts.setdefault((x, t), None)
+    names = list(texts)
+    parts = brute_components([(k, t) for k, (_, t) in enumerate(names)])
+    groups = defaultdict(list)
+    for k, (x, t) in enumerate(names):
+        groups[parts[k]].append((x, t))
+    stay = set()
+    for g in groups.values():
+        least = min(x for x, _ in g)
+        own = [n for n in g if n[0] == least]
+        assert len(own) == 1  # the fixture names no group's smallest id twice
+        stay.add(own[0])
+    return [(x, t) for x, t in rows if x is None or not word_sets(t) or (x, t) in stay]

@@ -66,3 +66,18 @@ def test_empty_table(spark, empty):
     for _, f in p.STAGES:
         docs = f(spark, docs, "")
     assert docs.count() == 0
+
+
+def test_repeated_ids_and_clashing_columns(spark, tmp_path):
+    """A text stays if none near it does; columns named like the stages' own are
+    left behind."""
+    a, b = prose(60, 1), prose(60, 2)
+    rows = [(5, a, "en", "s0", 1), (5, b, "en", "s0", 1), (3, b, "en", "s1", 1), (9, a + " end", "en", "s1", 1), (9, prose(60, 3), None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", "'clash' as kept", "1 as print", "2 as low_id", "3 as position", "4 as size", "5 as lang_pred")
+    for name, f in p.STAGES:
+        f(spark, docs, "").write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        if name == "near_dedup":
+            assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted([(5, a), (3, b), (9, rows[4][1])])
+    assert docs.columns[0] == "doc_id" and docs.count() >= 3
