@@ -4,8 +4,8 @@ mixing sources to target weights, BPE.
 Each stage takes all rows that its predecessor kept and returns the columns of
 documents (the last one its digests).  Rows without letters go in the first
 stage; lines go in the second, never a row; of each group of near-duplicates one
-row stays in the third (rows without a doc_id, and rows that repeat the kept
-doc_id, stay); the fourth takes and repeats rows by their sources' targets and
+row stays in the third (also rows without a doc_id, and rows that repeat the kept
+one in full); the fourth takes and repeats rows by their sources' targets and
 puts them in training order.  Null and empty texts are rejected by the first
 stage; an empty table passes through every stage."""
 
@@ -37,8 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = oddsketch.near_documents(docs).where(~F.col("kept")).select("doc_id")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    return oddsketch.dedup_rows(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
