@@ -16,7 +16,7 @@ from tessera.session import local_session  # noqa: E402
 SHOW = [
     ("label_filter", "labels and the filter are Catalyst expressions; only two columns are read"),
     ("pipeline_records_kernel", "the whole chain: scan -> one Arrow stage -> explode; no Exchange"),
-    ("batch_assign_scaled", "bucketed global rank: counts per (split, bucket), broadcast offsets"),
+    ("batch_assign_scaled", "bucketed global rank: counts per (split, bucket), offsets joined as Spark picks by size"),
     ("metadata_summary", "one grouping-sets aggregate with map-side partial aggregation"),
     ("dataset_statistics_kernel", "per-image partial sums in NumPy, then a tiny aggregate"),
 ]
