@@ -1,12 +1,19 @@
 """Every registered query against its DuckDB SQL on the smallest tables."""
 
 import math
+import os
+import sys
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from conftest import ROOT, SF_SMALL
+
+sys.path.insert(0, os.path.join(ROOT, "scripts"))
+
+from oracle_check import as_frame  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -15,7 +22,7 @@ def canon(df):
     cols = sorted(df.columns)
 
     def norm(v):
-        if v is None:
+        if v is None or v is pd.NA:
             return None
         if isinstance(v, float):
             return "nan" if math.isnan(v) else round(v, 6) + 0.0
@@ -36,7 +43,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    sp = E.queries()[name](spark, SF_SMALL).toPandas()
+    sp = as_frame(E.queries()[name](spark, SF_SMALL))
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(sp) >= 0
