@@ -10,8 +10,10 @@ Documents with equal sets are one class and enter once.  A band's bucket is
 never expanded into all pairs: in buckets of up to ``SMALL`` members those near by
 sketch are confirmed at once; in larger ones first each member with the smallest
 of all its buckets' members, then, in rounds, only members that are still in different components are
-compared, by sketch inside tasks of bounded blocks, and each component puts its
-best few untested candidates forward for confirmation, more in each round, until
+compared, by sketch inside tasks of bounded blocks.  A block's first round puts
+forward the least spanning forest of its candidates (by sketch distance, then by
+member, so that blocks that share members choose the same pairs); from then on each
+component puts its best few untested candidates forward, more in each round, until
 no untested candidate across components is left.  So a large group of near copies
 costs a star, and a link that the star missed is still found.
 
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import drop_stored, join_split, mix64, pieces, ready, release, stored, text_bytes, union_all
-from tessera.llm.components import components
+from tessera.llm.components import components, smallest_reached
 from tessera.llm.shingles import shingle_sets
 
 SAMPLES, BITS = 512, 2048
@@ -161,11 +163,32 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("both") >= THRESHOLD * (F.size("xa") + F.size("xb") - F.col("both"))).select("a", "b").distinct()
 
 
+def spanning_pairs(i: np.ndarray, j: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j), given in order of preference, make the first
+    spanning forest of the components ``part`` of the members: each component's
+    first pair to another one, as long as such pairs are left."""
+    at = np.unique(part, return_inverse=True)[1]
+    take, left = np.zeros(len(i), bool), np.arange(len(i))
+    while len(left := left[at[i[left]] != at[j[left]]]):
+        first = np.full(len(part), -1)
+        first[at[i[left]][::-1]] = left[::-1]  # the last one written is the first pair
+        other = np.full(len(part), -1)
+        other[at[j[left]][::-1]] = left[::-1]
+        chosen = np.where((first < 0) | ((other >= 0) & (other < first)), other, first)
+        chosen = np.unique(chosen[chosen >= 0])
+        take[chosen] = True
+        nodes, low = smallest_reached(at[i[chosen]], at[j[chosen]])
+        merged = np.arange(len(part))
+        merged[nodes] = low
+        at = merged[at]
+    return take
+
+
 def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: list, sides: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """(a, b, whether more are left): for each component its ``best`` nearest pairs of members with other
-    components, by sketch, that are near enough and untested.  sides: 0 or 1,
-    the block of a member; members of side 0 meet those of side 1, or all each
-    other if there is one side."""
+    """(a, b, whether more are left): for each component its ``best`` nearest pairs of
+    members with other components, by sketch, that are near enough and untested; with
+    ``best`` 1 the least spanning forest.  sides: 0 or 1, the block of a member;
+    members of side 0 meet those of side 1, or all each other if there is one side."""
     left = np.flatnonzero(sides == sides.min())
     right = np.flatnonzero(sides == sides.max())
     limit = most_bits(THRESHOLD / 100 - MARGIN)
@@ -184,6 +207,10 @@ def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: li
     new = ~np.isin(code, np.array(seen, np.int64))
     i, j, d = i[new], j[new], d[new]
     take = np.zeros(len(i), bool)
+    if best == 1:
+        order = np.lexsort((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), d))
+        take[order[spanning_pairs(i[order], j[order], part)]] = True
+        return rep[i[take]], rep[j[take]], not take.all()
     for end in (i, j):
         own = part[end]
         order = np.lexsort((d, own))
@@ -288,7 +315,7 @@ def _components(docs: DataFrame, same_id: bool) -> DataFrame:
     wanted = wanted.join(nodes.select("rep", F.col("first").alias("doc_id"), "print"), "rep")
     sets = stored(_full_sets(docs.join(wanted, ["doc_id", "print"])), "near-sets")
     release(spark)
-    tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 16
+    tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 1
     if same_id:
         links.append(_same_id(marks, nodes))
     parts, left = stored(components(union_all(links)), "near-parts"), True

@@ -94,6 +94,32 @@ def test_blocks_of_a_crowded_bucket(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_spanning_pairs():
+    """The forest that taking pairs in order gives, and no pair but of that forest
+    is taken when only some of the members are seen."""
+    rng = np.random.default_rng(3)
+    for n, pairs in [(2, 1), (30, 60), (200, 900), (50, 2000)]:
+        i, j = rng.integers(0, n, (2, pairs))
+        part = rng.integers(0, n, n) * 10
+        parent, want = {p: p for p in part.tolist()}, []
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in zip(part[i].tolist(), part[j].tolist()):
+            a, b = find(a), find(b)
+            want.append(a != b)
+            parent[a] = b
+        got = oddsketch.spanning_pairs(i, j, part)
+        assert got.tolist() == want
+        seen = np.flatnonzero((i < n / 2) & (j < n / 2))
+        own = oddsketch.spanning_pairs(i[seen], j[seen], part)
+        assert got[seen][~own].sum() == 0
+    assert oddsketch.spanning_pairs(np.zeros(0, int), np.zeros(0, int), np.array([4])).tolist() == []
+
+
 def test_empty(empty):
     assert oddsketch.near_documents(empty).count() == 0
 
