@@ -9,12 +9,13 @@ within ``MARGIN`` of the threshold are confirmed on their full sets.
 Documents with equal sets are one class and enter once.  A band's bucket is
 never expanded into all pairs: in buckets of up to ``SMALL`` members those near by
 sketch are confirmed at once; in larger ones first each member with the smallest
-of all its buckets' members, then, in rounds, only members that are still in different components are
-compared, by sketch inside tasks of bounded blocks.  A block's first round puts
-forward the least spanning forest of its candidates (by sketch distance, then by
-member, so that blocks that share members choose the same pairs); from then on each
-component puts its best few untested candidates forward, more in each round, until
-no untested candidate across components is left.  So a large group of near copies
+of all its buckets' members; then only members that are still in different components
+are compared, by sketch inside tasks of bounded blocks.  First a block puts forward
+the least spanning forest of its candidates (by sketch distance, then by member, so
+that blocks that share members choose the same pairs), then all candidates across
+the components that are left.  Both are confirmed a member against a component:
+their full sets meet in groups, and a member's first link to the component settles
+its other candidates there.  So a large group of near copies
 costs a star, and a link that the star missed is still found.
 
 With 48 bands of 5 a pair at similarity 0.75 shares no band with probability
@@ -52,6 +53,8 @@ THRESHOLD, MARGIN = 75, 0.13
 SMALL = 16
 #: members of a larger bucket that one task compares with as many others
 BLOCK = 1024
+#: shingle hashes on either side, or pairs, of a group of full sets to be confirmed
+GROUP_HASHES = 2_000_000
 _HALF = 1 << 16
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)
@@ -184,13 +187,9 @@ def spanning_pairs(i: np.ndarray, j: np.ndarray, part: np.ndarray) -> np.ndarray
     return take
 
 
-def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: list, sides: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """(a, b, whether more are left): for each component its ``best`` nearest pairs of
-    members with other components, by sketch, that are near enough and untested; with
-    ``best`` 1 the least spanning forest.  sides: 0 or 1, the block of a member;
-    members of side 0 meet those of side 1, or all each other if there is one side."""
-    left = np.flatnonzero(sides == sides.min())
-    right = np.flatnonzero(sides == sides.max())
+def near_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of all pairs of members of ``left`` and ``right`` in different
+    components that are near enough by sketch, each once, the nearest first."""
     limit = most_bits(THRESHOLD / 100 - MARGIN)
     found = []
     for lo in range(0, len(left), 32):
@@ -199,25 +198,10 @@ def best_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, tested: li
         x, y = np.nonzero((apart <= limit) & (part[i][:, None] != part[right][None, :]))
         found.append((i[x], right[y], apart[x, y]))
     i, j, d = (np.concatenate([f[k] for f in found]) for k in range(3))
-    code = np.maximum(i, j) * len(rep) + np.minimum(i, j)
-    code, at = np.unique(code, return_index=True)
-    i, j, d = i[at], j[at], d[at]
-    place = {r: k for k, r in enumerate(rep.tolist())}
-    seen = [max(k, place[p]) * len(rep) + min(k, place[p]) for k, t in enumerate(tested) if t is not None for p in t if p in place]
-    new = ~np.isin(code, np.array(seen, np.int64))
-    i, j, d = i[new], j[new], d[new]
-    take = np.zeros(len(i), bool)
-    if best == 1:
-        order = np.lexsort((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), d))
-        take[order[spanning_pairs(i[order], j[order], part)]] = True
-        return rep[i[take]], rep[j[take]], not take.all()
-    for end in (i, j):
-        own = part[end]
-        order = np.lexsort((d, own))
-        fresh = np.r_[True, own[order][1:] != own[order][:-1]] if len(order) else np.zeros(0, bool)
-        nth = np.arange(len(order)) - np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0)) if len(order) else np.zeros(0, int)
-        take[order[nth < best]] = True
-    return rep[i[take]], rep[j[take]], not take.all()
+    once = np.unique(np.maximum(i, j) * len(rep) + np.minimum(i, j), return_index=True)[1]
+    i, j, d = i[once], j[once], d[once]
+    order = np.lexsort((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), d))
+    return i[order], j[order]
 
 
 def _first_pairs(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -243,26 +227,79 @@ def _open_members(crowded: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(open_.select("band"), "band")
 
 
-def _pairs_of_large(members: DataFrame, tested: DataFrame, nodes: DataFrame, best: int) -> DataFrame:
-    """Untested candidates (a, b) across components in larger buckets; more:
-    whether their bucket has others left."""
+def _candidates(members: DataFrame, nodes: DataFrame, forest: bool) -> DataFrame:
+    """(a, part, bs): members a of larger buckets and those of the component ``part``
+    that are near them by sketch; of each block all, or its least spanning forest."""
     rows = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    seen = tested.groupBy(F.col("a").alias("rep")).agg(F.collect_set("b").alias("tested"))
-    rows = rows.join(nodes.select("rep", "sketch"), "rep").join(seen, "rep", "left")
+    rows = rows.join(nodes.select("rep", "sketch"), "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
 
     def compare(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        part = t.column("part").to_numpy()
-        if (part == part[0]).all():
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "more": pa.array([], pa.bool_())})
-        sketch = np.array(t.column("sketch").to_pylist(), np.int64).view(np.uint64)
-        sides = (t.column("own").to_numpy() == key[2].as_py()).astype(int)
-        a, b, more = best_pairs(t.column("rep").to_numpy(), part, sketch, t.column("tested").to_pylist(), sides, best)
-        return pa.table({"a": a, "b": b, "more": np.full(len(a), more)})
-
-    return rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long, more boolean").distinct()
+        rep, part, own = (t.column(c).to_numpy() for c in ("rep", "part", "own"))
+        i = j = np.zeros(0, int)
+        if (part != part[0]).any():
+            sketch = np.array(t.column("sketch").to_pylist(), np.int64).view(np.uint64)
+            i, j = near_pairs(rep, part, sketch, np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max()))
+            if forest:
+                kept = spanning_pairs(i, j, part)
+                i, j = i[kept], j[kept]
+            # a goes to the component of the smaller name
+            i, j = np.where(part[i] < part[j], j, i), np.where(part[i] < part[j], i, j)
+            order = np.lexsort((part[j], i))
+            i, j = i[order], j[order]
+        cut = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (part[j][1:] != part[j][:-1])]) if len(i) else i
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[cut, len(i)].astype(np.int32)), pa.array(rep[j]))
+        return pa.table({"a": rep[i[cut]], "part": part[j[cut]], "bs": lists})
+
+    found = rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a long, part long, bs array<long>")
+    return found.groupBy("a", "part").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs"))
+
+
+def _links_to_parts(cands: DataFrame, sets: DataFrame) -> DataFrame:
+    """A link (a, b) by full sets for every (a, part, bs) that has one; one is enough,
+    as the bs are in one component.  A component's members and candidates meet in
+    groups of about ``GROUP_HASHES`` hashes a side, so a set moves once a group, not
+    once a pair."""
+    size = sets.select("rep", "size")
+    ends = cands.select("part", F.explode("bs").alias("rep")).distinct().join(size, "rep")
+    of_b = ends.groupBy("part").agg(F.sum("size").alias("wb"))
+    of_a = cands.withColumnRenamed("a", "rep").join(size, "rep")
+    of_a = of_a.groupBy("part").agg(F.sum("size").alias("wa"), F.sum(F.size("bs")).alias("pairs"))
+    many = of_a.join(of_b, "part").select(
+        "part",
+        F.ceil(F.col("wa") / GROUP_HASHES).cast("int").alias("na"),
+        F.ceil(F.greatest(F.col("wb") / GROUP_HASHES, F.col("pairs") / GROUP_HASHES)).cast("int").alias("nb"),
+    )
+    rows = cands.join(many, "part").withColumn("ka", F.pmod(F.xxhash64("a"), "na"))
+    rows = rows.withColumn("kb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb").cast("long") - 1)))
+    rows = rows.withColumn("bs", F.filter("bs", lambda b: F.pmod(F.xxhash64(b), F.col("nb")) == F.col("kb"))).where(F.size("bs") > 0)
+    key = ["part", "ka", "kb"]
+    rows = stored(rows.select(*key, "a", "bs"), "near-groups")
+    need = union_all([rows.select(*key, F.col("a").alias("rep")), rows.select(*key, F.explode("bs").alias("rep"))]).distinct()
+
+    def confirm(left: pa.Table, right: pa.Table) -> pa.Table:
+        held = left.column("set").combine_chunks()
+        off, flat = held.offsets.to_numpy(), held.values.to_numpy()
+        at = {r: (off[k], off[k + 1]) for k, r in enumerate(left.column("rep").to_pylist())}
+        found = []
+        for a, bs in zip(right.column("a").to_pylist(), right.column("bs").to_pylist()):
+            x = np.sort(flat[slice(*at[a])])
+            for b in bs:
+                y = flat[slice(*at[b])]
+                place = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                both = int((x[place] == y).sum())
+                if 100 * both >= THRESHOLD * (len(x) + len(y) - both):
+                    found.append((a, b))
+                    break
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    sides = need.join(sets.select("rep", "set"), "rep").groupBy(*key)
+    other = rows.toDF(*[f"{k}2" for k in key], "a", "bs").groupBy(*[f"{k}2" for k in key])
+    links = stored(sides.cogroup(other).applyInArrow(confirm, "a long, b long"), "near-links")
+    drop_stored(rows)
+    return links
 
 
 def _nodes(marks: DataFrame) -> DataFrame:
@@ -313,22 +350,18 @@ def _components(docs: DataFrame, same_id: bool) -> DataFrame:
     large = crowded.where(F.col("n") > SMALL)
     wanted = union_all([first.select("a").toDF("rep"), first.select("b").toDF("rep"), large.select("rep")]).distinct()
     wanted = wanted.join(nodes.select("rep", F.col("first").alias("doc_id"), "print"), "rep")
-    sets = stored(_full_sets(docs.join(wanted, ["doc_id", "print"])), "near-sets")
+    sets = stored(_full_sets(docs.join(wanted, ["doc_id", "print"])).withColumn("size", F.size("set")), "near-sets")
     release(spark)
-    tested, links, best = [first], [stored(_confirm(first, sets), "near-links")], 1
+    links = [stored(_confirm(first, sets), "near-links")]
     if same_id:
         links.append(_same_id(marks, nodes))
-    parts, left = stored(components(union_all(links)), "near-parts"), True
-    while left:
-        members = _open_members(large, parts)
-        found = stored(_pairs_of_large(members, union_all(tested), nodes, best), "near-pairs")
-        left = not found.where("more").isEmpty()
-        tested.append(found.select("a", "b"))
-        links.append(stored(_confirm(found.select("a", "b").distinct(), sets), "near-links"))
-        drop_stored(parts)
+    parts = stored(components(union_all(links)), "near-parts")
+    for forest in (True, False):
+        cands = stored(_candidates(_open_members(large, parts), nodes, forest), "near-candidates")
+        links.append(_links_to_parts(cands, sets))
+        drop_stored(parts, cands)
         parts = stored(components(union_all(links)), "near-parts")
-        best *= 16
-    drop_stored(crowded, sets, *tested, *links)
+    drop_stored(crowded, first, sets, *links)
     release(spark)
     found = nodes.select("d1", "d2", "first", "print", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     found = found.withColumn("component", F.coalesce("component", "rep"))
