@@ -9,14 +9,13 @@ within ``MARGIN`` of the threshold are confirmed on their full sets.
 Documents with equal sets are one class and enter once.  A band's bucket is
 never expanded into all pairs: in buckets of up to ``SMALL`` members those near by
 sketch are confirmed at once; in larger ones first each member with the smallest
-of all its buckets' members; then only members that are still in different components
-are compared, by sketch inside tasks of bounded blocks.  First a block puts forward
-the least spanning forest of its candidates (by sketch distance, then by member, so
-that blocks that share members choose the same pairs), then all candidates across
-the components that are left.  Both are confirmed a member against a component:
-their full sets meet in groups, and a member's first link to the component settles
-its other candidates there.  So a large group of near copies
-costs a star, and a link that the star missed is still found.
+of all its buckets' members.  What that leaves apart meets in blocks: the members
+outside a bucket's largest component, each block of them with blocks of all its
+members.  A task compares the sketches of one meeting and names the members that have
+a candidate there; only those get their full sets, and a second task of the same
+meeting confirms them, nearest first, and skips whatever an earlier link has already
+joined.  Pairs stay inside tasks; the members that meet and the links are all that is
+shuffled.  A pair that shares several buckets is confirmed in the first of them.
 
 With 48 bands of 5 a pair at similarity 0.75 shares no band with probability
 2e-6; the sketch's margin is six standard deviations
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import drop_stored, join_split, mix64, pieces, ready, release, stored, text_bytes, union_all
-from tessera.llm.components import components, smallest_reached
+from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
 
 SAMPLES, BITS = 512, 2048
@@ -51,10 +50,8 @@ BANDS, ROWS = 48, 5
 THRESHOLD, MARGIN = 75, 0.13
 #: members up to which a bucket is compared by a join, all at once
 SMALL = 16
-#: members of a larger bucket that one task compares with as many others
-BLOCK = 1024
-#: shingle hashes on either side, or pairs, of a group of full sets to be confirmed
-GROUP_HASHES = 2_000_000
+#: members, and shingle hashes in their sets, on either side of a meeting on average
+BLOCK, GROUP_HASHES = 1024, 2_000_000
 _HALF = 1 << 16
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)
@@ -166,48 +163,68 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("both") >= THRESHOLD * (F.size("xa") + F.size("xb") - F.col("both"))).select("a", "b").distinct()
 
 
-def spanning_pairs(i: np.ndarray, j: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """Which of the pairs (i, j), given in order of preference, make the first
-    spanning forest of the components ``part`` of the members: each component's
-    first pair to another one, as long as such pairs are left."""
-    at = np.unique(part, return_inverse=True)[1]
-    take, left = np.zeros(len(i), bool), np.arange(len(i))
-    while len(left := left[at[i[left]] != at[j[left]]]):
-        first = np.full(len(part), -1)
-        first[at[i[left]][::-1]] = left[::-1]  # the last one written is the first pair
-        other = np.full(len(part), -1)
-        other[at[j[left]][::-1]] = left[::-1]
-        chosen = np.where((first < 0) | ((other >= 0) & (other < first)), other, first)
-        chosen = np.unique(chosen[chosen >= 0])
-        take[chosen] = True
-        nodes, low = smallest_reached(at[i[chosen]], at[j[chosen]])
-        merged = np.arange(len(part))
-        merged[nodes] = low
-        at = merged[at]
-    return take
-
-
-def near_pairs(rep: np.ndarray, part: np.ndarray, sketch: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of all pairs of members of ``left`` and ``right`` in different
-    components that are near enough by sketch, each once, the nearest first."""
+def near_pairs(t: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of a meeting's pairs that are in different components, near
+    enough by sketch and size, and whose first common bucket is ``band``; i is on the
+    left side, j on the right one, two minor members meet once; the nearest first."""
+    rep, part, size, minor, left = (t.column(c).to_numpy() for c in ("rep", "part", "size", "minor", "left"))
+    sketch, bands = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(rep), -1) for c in ("sketch", "bands"))
     limit = most_bits(THRESHOLD / 100 - MARGIN)
-    found = []
-    for lo in range(0, len(left), 32):
-        i = left[lo : lo + 32]
-        apart = np.bitwise_count(sketch[i][:, None, :] ^ sketch[right][None, :, :]).sum(2, dtype=np.int32)
-        x, y = np.nonzero((apart <= limit) & (part[i][:, None] != part[right][None, :]))
+    right, lefts = np.flatnonzero(~left), np.flatnonzero(left)
+    found = [(lefts[:0], lefts[:0], lefts[:0])]
+    for lo in range(0, len(lefts), 32):
+        i = lefts[lo : lo + 32]
+        one, other = size[i][:, None], size[right][None, :]
+        meets = (part[i][:, None] != part[right][None, :]) & (~minor[right] | (rep[i][:, None] > rep[right][None, :]))
+        meets &= 100 * np.minimum(one, other) >= THRESHOLD * np.maximum(one, other)
+        apart = np.bitwise_count((sketch[i][:, None, :] ^ sketch[right][None, :, :]).view(np.uint64)).sum(2, dtype=np.int64)
+        x, y = np.nonzero(meets & (apart <= limit))
+        first = (bands[i[x]] == bands[right[y]]).argmax(1)
+        own = bands[i[x], first] == band
+        x, y = x[own], y[own]
         found.append((i[x], right[y], apart[x, y]))
     i, j, d = (np.concatenate([f[k] for f in found]) for k in range(3))
-    once = np.unique(np.maximum(i, j) * len(rep) + np.minimum(i, j), return_index=True)[1]
-    i, j, d = i[once], j[once], d[once]
-    order = np.lexsort((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), d))
+    order = np.lexsort((rep[j], rep[i], d))
     return i[order], j[order]
 
 
+def linked_pairs(t: pa.Table, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Links by full sets that join all components which the pairs (i, j), tried in
+    order, can join; pairs of components that are joined already are passed over."""
+    held = t.column("set").combine_chunks()
+    off, flat = held.offsets.to_numpy(), held.values.to_numpy()
+    rep, part = t.column("rep").to_pylist(), t.column("part").to_pylist()
+    parent = {p: p for p in part}
+    sets: dict[int, np.ndarray] = {}
+
+    def find(p: int) -> int:
+        while parent[p] != p:
+            parent[p] = p = parent[parent[p]]
+        return p
+
+    def ordered(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = np.sort(flat[off[k] : off[k + 1]])
+        return sets[k]
+
+    links = []
+    for a, b in zip(i.tolist(), j.tolist()):
+        p, q = find(part[a]), find(part[b])
+        if p == q:
+            continue
+        x, y = ordered(a), ordered(b)
+        place = np.minimum(np.searchsorted(x, y), len(x) - 1)
+        both = int((x[place] == y).sum())
+        if 100 * both >= THRESHOLD * (len(x) + len(y) - both):
+            parent[q] = p
+            links.append((rep[a], rep[b]))
+    return links
+
+
 def _first_pairs(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
     """Candidates (a, b), near by sketch: all of buckets of up to SMALL members,
     and each member of larger ones with the smallest that leads one of them.  What
-    that one pair leaves apart, the rounds over open buckets compare."""
+    that one pair leaves apart meets in the open buckets."""
     near = _apart(F.col("sa"), F.col("sb")) <= most_bits(THRESHOLD / 100 - MARGIN)
     sketches = nodes.select("rep", "sketch")
     rows = crowded.where(F.col("n") <= SMALL).join(sketches, "rep")
@@ -219,97 +236,67 @@ def _first_pairs(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
     return small.unionByName(star).distinct()
 
 
-def _open_members(crowded: DataFrame, parts: DataFrame) -> DataFrame:
-    """(band, rep, part, n): members of buckets with several components."""
-    rows = crowded.select("band", "rep", "n").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    rows = rows.select("band", "rep", "n", F.coalesce("component", "rep").alias("part"))
-    open_ = rows.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi")
-    return rows.join(open_.select("band"), "band")
-
-
-def _candidates(members: DataFrame, nodes: DataFrame, forest: bool) -> DataFrame:
-    """(a, part, bs): members a of larger buckets and those of the component ``part``
-    that are near them by sketch; of each block all, or its least spanning forest."""
-    rows = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rows = rows.join(nodes.select("rep", "sketch"), "rep")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
-
-    def compare(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        rep, part, own = (t.column(c).to_numpy() for c in ("rep", "part", "own"))
-        i = j = np.zeros(0, int)
-        if (part != part[0]).any():
-            sketch = np.array(t.column("sketch").to_pylist(), np.int64).view(np.uint64)
-            i, j = near_pairs(rep, part, sketch, np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max()))
-            if forest:
-                kept = spanning_pairs(i, j, part)
-                i, j = i[kept], j[kept]
-            # a goes to the component of the smaller name
-            i, j = np.where(part[i] < part[j], j, i), np.where(part[i] < part[j], i, j)
-            order = np.lexsort((part[j], i))
-            i, j = i[order], j[order]
-        cut = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (part[j][1:] != part[j][:-1])]) if len(i) else i
-        lists = pa.ListArray.from_arrays(pa.array(np.r_[cut, len(i)].astype(np.int32)), pa.array(rep[j]))
-        return pa.table({"a": rep[i[cut]], "part": part[j[cut]], "bs": lists})
-
-    found = rows.groupBy("band", "lo", "hi").applyInArrow(compare, "a long, part long, bs array<long>")
-    return found.groupBy("a", "part").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs"))
-
-
-def _links_to_parts(cands: DataFrame, sets: DataFrame) -> DataFrame:
-    """A link (a, b) by full sets for every (a, part, bs) that has one; one is enough,
-    as the bs are in one component.  A component's members and candidates meet in
-    groups of about ``GROUP_HASHES`` hashes a side, so a set moves once a group, not
-    once a pair."""
-    size = sets.select("rep", "size")
-    ends = cands.select("part", F.explode("bs").alias("rep")).distinct().join(size, "rep")
-    of_b = ends.groupBy("part").agg(F.sum("size").alias("wb"))
-    of_a = cands.withColumnRenamed("a", "rep").join(size, "rep")
-    of_a = of_a.groupBy("part").agg(F.sum("size").alias("wa"), F.sum(F.size("bs")).alias("pairs"))
-    many = of_a.join(of_b, "part").select(
-        "part",
-        F.ceil(F.col("wa") / GROUP_HASHES).cast("int").alias("na"),
-        F.ceil(F.greatest(F.col("wb") / GROUP_HASHES, F.col("pairs") / GROUP_HASHES)).cast("int").alias("nb"),
-    )
-    rows = cands.join(many, "part").withColumn("ka", F.pmod(F.xxhash64("a"), "na"))
-    rows = rows.withColumn("kb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb").cast("long") - 1)))
-    rows = rows.withColumn("bs", F.filter("bs", lambda b: F.pmod(F.xxhash64(b), F.col("nb")) == F.col("kb"))).where(F.size("bs") > 0)
-    key = ["part", "ka", "kb"]
-    rows = stored(rows.select(*key, "a", "bs"), "near-groups")
-    need = union_all([rows.select(*key, F.col("a").alias("rep")), rows.select(*key, F.explode("bs").alias("rep"))]).distinct()
-
-    def confirm(left: pa.Table, right: pa.Table) -> pa.Table:
-        held = left.column("set").combine_chunks()
-        off, flat = held.offsets.to_numpy(), held.values.to_numpy()
-        at = {r: (off[k], off[k + 1]) for k, r in enumerate(left.column("rep").to_pylist())}
-        found = []
-        for a, bs in zip(right.column("a").to_pylist(), right.column("bs").to_pylist()):
-            x = np.sort(flat[slice(*at[a])])
-            for b in bs:
-                y = flat[slice(*at[b])]
-                place = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int((x[place] == y).sum())
-                if 100 * both >= THRESHOLD * (len(x) + len(y) - both):
-                    found.append((a, b))
-                    break
-        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
-
-    sides = need.join(sets.select("rep", "set"), "rep").groupBy(*key)
-    other = rows.toDF(*[f"{k}2" for k in key], "a", "bs").groupBy(*[f"{k}2" for k in key])
-    links = stored(sides.cogroup(other).applyInArrow(confirm, "a long, b long"), "near-links")
-    drop_stored(rows)
+def _open_members(crowded: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """(band, rep, part, major, na, nb): members of buckets with several components;
+    ``major`` is the component with most members there, na the number of blocks of
+    the others, nb that of all."""
+    rows = crowded.select("band", "rep").join(nodes.select("rep", "size"), "rep")
+    rows = rows.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    rows = rows.select("band", "rep", "size", F.coalesce("component", "rep").alias("part"))
+    per = rows.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("w"))
+    of = per.groupBy("band").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "w", "part")).alias("most"))
+    of = of.where(F.col("n") > F.col("most.n"))
+
+    def blocks(n: Column, w: Column) -> Column:
+        return F.ceil(F.greatest(n / F.lit(BLOCK), w / F.lit(GROUP_HASHES))).cast("int")
+
+    na = blocks(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w"))
+    of = of.select("band", F.col("most.part").alias("major"), na.alias("na"), blocks(F.col("n"), F.col("w")).alias("nb"))
+    return rows.drop("size").join(of, "band")
+
+
+def _meetings(members: DataFrame) -> DataFrame:
+    """(band, ka, kb, rep, part, minor, left): block ka of the members outside the
+    major component (left) with block kb of all members of the bucket."""
+    minor = F.col("part") != F.col("major")
+    every = F.sequence(F.lit(0), F.col("nb") - 1), F.sequence(F.lit(0), F.col("na") - 1)
+    held = F.xxhash64("rep")
+    left = members.where(minor).select("band", F.pmod(held, F.col("na")).cast("int").alias("ka"), F.explode(every[0]).alias("kb"), "rep", "part", F.lit(True).alias("minor"), F.lit(True).alias("left"))
+    right = members.select("band", F.explode(every[1]).alias("ka"), F.pmod(held, F.col("nb")).cast("int").alias("kb"), "rep", "part", minor.alias("minor"), F.lit(False).alias("left"))
+    return left.unionByName(right)
+
+
+def _open_links(members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) by full sets that join every two components of open buckets which
+    a link between near members joins."""
+    key = ["band", "ka", "kb"]
+    schema = "band long, ka int, kb int, rep long, part long, minor boolean, left boolean"
+    columns = [c.split()[0] for c in schema.split(", ")]
+    marks = nodes.select("rep", "size", "sketch", "bands")
+
+    def meet(group: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        i, j = near_pairs(t, group[0].as_py())
+        return t.select(columns).take(pa.array(np.unique(np.r_[i, j])))
+
+    def confirm(group: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        links = linked_pairs(t, *near_pairs(t, group[0].as_py()))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    near = stored(_meetings(members).join(marks, "rep").groupBy(*key).applyInArrow(meet, schema), "near-meetings")
+    held = near.join(marks, "rep").join(sets, "rep")
+    links = stored(held.groupBy(*key).applyInArrow(confirm, "a long, b long"), "near-links")
+    drop_stored(near)
     return links
 
 
 def _nodes(marks: DataFrame) -> DataFrame:
-    """One row a class of equal sets: d1, d2, bands, sketch, its smallest row
+    """One row a class of equal sets: d1, d2, size, bands, sketch, its smallest row
     (doc_id ``first`` and ``print``), and rep, the number it goes by: ``first``, or a
     digest's where several classes share that doc_id."""
     some = marks.where(F.col("d1").isNotNull() & F.col("doc_id").isNotNull())
     low = F.min(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "print")).alias("low")
-    classes = some.groupBy("d1", "d2").agg(low, F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    classes = stored(classes.select("d1", "d2", F.col("low.doc_id").alias("first"), F.col("low.print").alias("print"), "bands", "sketch"), "near-classes")
+    classes = some.groupBy("d1", "d2").agg(low, F.first("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = stored(classes.select("d1", "d2", F.col("low.doc_id").alias("first"), F.col("low.print").alias("print"), "size", "bands", "sketch"), "near-classes")
     shared = stored(classes.groupBy("first").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"), "near-shared")
     other = F.lit(1 << 62) + F.pmod(F.xxhash64("d1", "d2"), F.lit(1 << 62))
     both = classes.join(shared.withColumn("__shared", F.lit(True)), "first", "left")
@@ -350,17 +337,16 @@ def _components(docs: DataFrame, same_id: bool) -> DataFrame:
     large = crowded.where(F.col("n") > SMALL)
     wanted = union_all([first.select("a").toDF("rep"), first.select("b").toDF("rep"), large.select("rep")]).distinct()
     wanted = wanted.join(nodes.select("rep", F.col("first").alias("doc_id"), "print"), "rep")
-    sets = stored(_full_sets(docs.join(wanted, ["doc_id", "print"])).withColumn("size", F.size("set")), "near-sets")
+    sets = stored(_full_sets(docs.join(wanted, ["doc_id", "print"])), "near-sets")
     release(spark)
     links = [stored(_confirm(first, sets), "near-links")]
     if same_id:
         links.append(_same_id(marks, nodes))
     parts = stored(components(union_all(links)), "near-parts")
-    for forest in (True, False):
-        cands = stored(_candidates(_open_members(large, parts), nodes, forest), "near-candidates")
-        links.append(_links_to_parts(cands, sets))
-        drop_stored(parts, cands)
-        parts = stored(components(union_all(links)), "near-parts")
+    members = stored(_open_members(large, nodes, parts), "near-open")
+    links.append(_open_links(members, nodes, sets))
+    drop_stored(parts, members)
+    parts = stored(components(union_all(links)), "near-parts")
     drop_stored(crowded, first, sets, *links)
     release(spark)
     found = nodes.select("d1", "d2", "first", "print", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")

@@ -94,30 +94,36 @@ def test_blocks_of_a_crowded_bucket(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
-def test_spanning_pairs():
-    """The forest that taking pairs in order gives, and no pair but of that forest
-    is taken when only some of the members are seen."""
-    rng = np.random.default_rng(3)
-    for n, pairs in [(2, 1), (30, 60), (200, 900), (50, 2000)]:
-        i, j = rng.integers(0, n, (2, pairs))
-        part = rng.integers(0, n, n) * 10
-        parent, want = {p: p for p in part.tolist()}, []
-
-        def find(x):
-            while parent[x] != x:
-                x = parent[x]
-            return x
-
-        for a, b in zip(part[i].tolist(), part[j].tolist()):
-            a, b = find(a), find(b)
-            want.append(a != b)
-            parent[a] = b
-        got = oddsketch.spanning_pairs(i, j, part)
-        assert got.tolist() == want
-        seen = np.flatnonzero((i < n / 2) & (j < n / 2))
-        own = oddsketch.spanning_pairs(i[seen], j[seen], part)
-        assert got[seen][~own].sum() == 0
-    assert oddsketch.spanning_pairs(np.zeros(0, int), np.zeros(0, int), np.array([4])).tolist() == []
+@pytest.mark.parametrize(("block", "hashes"), [(3, 2_000_000), (1024, 400)])
+def test_every_pair_of_open_buckets_meets_once(spark, monkeypatch, block, hashes):
+    """Each pair of near members of different components that share a large bucket
+    is in one meeting, whatever the blocks; pairs of one component in none."""
+    monkeypatch.setattr(oddsketch, "BLOCK", block)
+    monkeypatch.setattr(oddsketch, "GROUP_HASHES", hashes)
+    base = prose(120, 9)
+    rows = [(i, edited(base, 40, i)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "0L as print", "text")
+    nodes = oddsketch._nodes(oddsketch.signatures(docs))
+    held = {r.rep: r for r in nodes.collect()}
+    crowded = nodes.selectExpr("rep", "explode(bands) as band")
+    part = {k: k % 3 if k < 20 else k for k in held}
+    parts = spark.createDataFrame([(k, p) for k, p in part.items() if k < 20], "node long, component long")
+    t = oddsketch._meetings(oddsketch._open_members(crowded, nodes, parts)).join(nodes.select("rep", "size", "sketch", "bands"), "rep").toArrow()
+    got = []
+    for key in {tuple(k.values()) for k in t.select(["band", "ka", "kb"]).to_pylist()}:
+        own = t.filter(pa.array([tuple(k.values()) == key for k in t.select(["band", "ka", "kb"]).to_pylist()]))
+        i, j = oddsketch.near_pairs(own, key[0])
+        rep = own.column("rep").to_numpy()
+        got += [tuple(sorted(p)) for p in zip(rep[i].tolist(), rep[j].tolist())]
+    limit = oddsketch.most_bits(0.75 - oddsketch.MARGIN)
+    want = set()
+    for a in held:
+        for b in held:
+            bits = sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(held[a].sketch, held[b].sketch))
+            sizes = sorted((held[a].size, held[b].size))
+            if a < b and part[a] != part[b] and set(held[a].bands) & set(held[b].bands) and bits <= limit and 100 * sizes[0] >= 75 * sizes[1]:
+                want.add((a, b))
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
 
 
 def test_empty(empty):
