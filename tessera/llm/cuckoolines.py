@@ -12,8 +12,10 @@ that cross ``min_docs`` into or out of their shard's filter, so a later apply()
 gives what a fresh build over the remaining documents gives.  Lines are first
 probed against the filter of their shard; what passes is checked against
 ``refs``, so a false positive never drops a line.  Shards are sized by the
-number of keys that they hold, and the probes of a shard are salted by document,
-so a line that a third of all documents hold meets no single task.
+number of keys that they hold, and the probes of a shard are salted by document
+into groups of about ``GROUP_PAIRS``, so a line that a third of all documents hold
+meets no single task and all shards' filters together are copied at most
+pairs / GROUP_PAIRS + shards times.
 
 Defined results: a null or empty text is one empty line; rows with the same
 doc_id are one document (a line of all of them counts once); rows without a
@@ -39,8 +41,8 @@ from pyspark.sql import types as T
 from tessera.llm.common import SPACE_CHARS, mix64, pieces, ready, stored
 
 MIN_CHARS, MIN_DOCS = 20, 3
-#: keys in a filter and probes in a group at most on average; salts at least
-SHARD_KEYS, GROUP_PAIRS, MIN_SALTS = 100_000, 200_000, 32
+#: keys in a filter and probes in a group at most on average
+SHARD_KEYS, GROUP_PAIRS = 100_000, 50_000
 SLOTS, MAX_ROUNDS = 4, 200
 _KEY = ["h1", "h2"]
 
@@ -122,12 +124,20 @@ class CuckooFilter:
     def remove(self, keys: np.ndarray) -> None:
         """Takes out one fingerprint for each key; every key must be in."""
         p, b = self._place(keys)
-        o = self._other(p, b)
-        for x, i, j in zip(p, b, o):
-            k = i if (self.table[i] == x).any() else j
-            hit = np.flatnonzero(self.table[k] == x)
-            if len(hit):
-                self.table[k, hit[0]] = 0
+        for _ in range(2):  # from a key's own bucket as far as that has them, else from the other one
+            if not len(p):
+                return
+            order = np.lexsort((p, b))
+            p, b = p[order], b[order]
+            at = np.arange(len(p))
+            again = np.r_[False, (b[1:] == b[:-1]) & (p[1:] == p[:-1])]
+            nth = at - np.maximum.accumulate(np.where(again, 0, at))
+            here = self.table[b] == p[:, None]
+            fits = nth < here.sum(1)
+            slot = np.argsort(~here, axis=1, kind="stable")[at, np.minimum(nth, SLOTS - 1)]
+            self.table[b[fits], slot[fits]] = 0
+            p, b = p[~fits], b[~fits]
+            b = self._other(p, b)
 
 
 # ------------------------------------------------------------------- the index
@@ -233,13 +243,21 @@ def _changed(index: LineIndex, pairs: DataFrame, delta: DataFrame, sign: int) ->
     return replace(index, pairs=pairs, refs=refs, filters=moved.where(F.col("filter").isNotNull()).unionByName(anew))
 
 
+def _salts(index: LineIndex, pairs: DataFrame) -> DataFrame:
+    """(shard, salts): the groups that a shard's probes are dealt into."""
+    per = pairs.groupBy(_shard(index.shards).alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    return per.select("shard", F.ceil(F.col("n") / F.lit(GROUP_PAIRS)).cast("int").alias("salts"))
+
+
 def drops(index: LineIndex, pairs: DataFrame | None = None) -> DataFrame:
     """(doc_id, keys binary): for each document, the digests of the keys whose
     lines it loses.  ``pairs``: other documents' pairs than the index's own."""
     own = index.pairs if pairs is None else pairs
-    salts = max(MIN_SALTS, math.ceil(own.count() / GROUP_PAIRS))
-    salted = own.withColumns({"shard": _shard(index.shards), "salt": F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")})
-    filters = index.filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # one small row a shard, of SHARD_KEYS hot keys each
+    salts = F.broadcast(stored(_salts(index, own), "line-salts"))
+    salted = own.withColumn("shard", _shard(index.shards)).join(salts, "shard")
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int")).drop("salts")
+    filters = index.filters.join(salts, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
 
     def probe(f: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(f) or not len(rows):

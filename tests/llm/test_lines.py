@@ -70,6 +70,31 @@ def test_filter_holds_what_was_added_and_not_removed():
     assert CuckooFilter.from_bytes(f.to_bytes()).holds(keys[5_000:22_000]).all()
 
 
+def test_equal_fingerprints_are_removed_one_a_key():
+    keys = np.random.default_rng(4).integers(-(1 << 62), 1 << 62, 60)
+    f = CuckooFilter(np.zeros((64, 4), np.uint16))
+    print_, bucket = np.full(60, 7, np.uint16), np.arange(60) % 8
+    bucket[30:] = f._other(print_[30:], bucket[:30])  # keys of one class from either side
+    f._place = lambda k: (print_[: len(k)], bucket[: len(k)])
+    spread = CuckooFilter(np.zeros((64, 4), np.uint16))
+    spread._place = f._place
+    assert spread.add(keys[:20])
+    held = (spread.table == 7).sum()
+    spread.remove(keys[:15])
+    assert held == 20 and (spread.table == 7).sum() == 5
+
+
+def test_filter_copies_follow_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(cuckoolines, "GROUP_PAIRS", 5)
+    rows = [(i, "a line that every document here holds\nanother line that all of them hold\n" + f"own line of document {i} and no other") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = cuckoolines.build(docs)
+    n = index.pairs.count()
+    salts = cuckoolines._salts(index, index.pairs).collect()
+    assert n == 120 and n / 5 <= sum(r.salts for r in salts) <= n / 5 + index.shards
+    assert rows_of(cuckoolines.apply(docs, cuckoolines.drops(index))) == brute(rows)
+
+
 def test_a_full_filter_says_so():
     f = CuckooFilter(np.zeros((4, 4), np.uint16))
     assert not f.add(np.arange(40))
