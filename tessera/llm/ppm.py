@@ -39,7 +39,9 @@ TRAIN_DOCS, TRAIN_BYTES = 300, 20_000
 MAX_LANGUAGES, MAX_CELLS = 256, 16_000_000
 UND = "und"
 _LETTER = regex.compile(r"\p{L}")
-_BLOCK = 1 << 20
+#: bytes scored at once with up to four languages, fewer with more: the working
+#: arrays hold about 24 bytes a byte and 12 a byte and language
+_BLOCK = 1 << 17
 _PAD = b"\n" * ORDER  # what comes before a text
 
 
@@ -55,12 +57,16 @@ class Model:
     cost: np.ndarray
     symbols: int
 
+    def block(self) -> int:
+        return max(1, _BLOCK * 4 // max(4, len(self.languages)))
+
     def bits(self, raw: bytes) -> np.ndarray:
         """Code length of one text in every language."""
         flat = np.frombuffer(_PAD + raw, np.uint8)
         total = np.zeros(len(self.languages))
-        for lo in range(ORDER, len(flat), _BLOCK):
-            hi = min(lo + _BLOCK, len(flat))
+        block = self.block()
+        for lo in range(ORDER, len(flat), block):
+            hi = min(lo + block, len(flat))
             total += self._costs(flat[lo - ORDER : hi]).sum(0, dtype=np.float64)
         return total
 
@@ -79,21 +85,31 @@ class Model:
 
     def bits_of_many(self, texts: list[bytes]) -> np.ndarray:
         """Code lengths, a row for each text."""
-        out = np.zeros((len(texts), len(self.languages)))
-        short = [i for i, t in enumerate(texts) if 0 < len(t) <= _BLOCK]
-        if short:
-            flat = np.frombuffer(_PAD + _PAD.join([texts[i] for i in short]), np.uint8)
-            size = np.array([len(texts[i]) for i in short])
-            start = np.r_[0, np.cumsum(size[:-1] + ORDER)]
-            cost = self._costs(flat)
-            cut = np.stack([start, start + size], 1).ravel()
-            # the last end lies one past the rows
-            out[short] = np.add.reduceat(np.vstack([cost, np.zeros_like(cost[:1])]), cut, axis=0, dtype=np.float64)[::2]
+        out, block = np.zeros((len(texts), len(self.languages))), self.block()
+        some: list[int] = []  # texts that are scored together
+        size = 0
         for i, t in enumerate(texts):
-            if len(t) > _BLOCK:
+            if len(t) > block:
                 out[i] = self.bits(t)
+            elif t:
+                if size + len(t) > block:
+                    out[some] = self._bits_together([texts[k] for k in some])
+                    some, size = [], 0
+                some.append(i)
+                size += len(t) + ORDER
+        if some:
+            out[some] = self._bits_together([texts[k] for k in some])
         return out
 
+    def _bits_together(self, texts: list[bytes]) -> np.ndarray:
+        flat = np.frombuffer(_PAD + _PAD.join(texts), np.uint8)
+        size = np.array([len(t) for t in texts])
+        start = np.r_[0, np.cumsum(size[:-1] + ORDER)]
+        cost = self._costs(flat)
+        cut = np.stack([start, start + size], 1).ravel()
+        # the last end lies one past the rows
+        return np.add.reduceat(np.vstack([cost, np.zeros_like(cost[:1])]), cut, axis=0, dtype=np.float64)[::2]
+
 
 def train(samples: dict[str, list[bytes]], max_cells: int = MAX_CELLS) -> Model:
     """The frozen model of sampled texts by language."""
@@ -176,14 +192,15 @@ def sample_texts(labelled: DataFrame, label: str, text: str, docs: int = TRAIN_D
     return {k: sorted(v) for k, v in out.items() if v}
 
 
-def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def identify(df: DataFrame, model: Model | None, text: str = "text", *, keep_text: bool = True) -> DataFrame:
     """Adds lang_pred and score (the share of the best language if all are
-    equally likely beforehand)."""
+    equally likely beforehand); without ``keep_text`` the texts don't come back."""
     spark = ready(df.sparkSession)
     df = df.drop("lang_pred", "score")
     shared = spark.sparkContext.broadcast(model)  # size: MAX_CELLS and symbols ** ORDER
     at = df.columns.index(text)
-    schema = T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    kept = [i for i in range(len(df.columns)) if keep_text or i != at]
+    schema = T.StructType([*(df.schema.fields[i] for i in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -198,7 +215,7 @@ def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFram
                 score[some] = 1 / np.exp2(-more).sum(1)
                 for i, k in zip(some, best.tolist()):
                     pred[i] = m.languages[k]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred), pa.array(score)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), pa.array(pred), pa.array(score)], names=schema.names)
 
     return df.mapInArrow(run, schema)
 

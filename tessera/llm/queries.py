@@ -51,7 +51,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", ppm.held_out(F.col("doc_id"), 4, 2))
     model = ppm.fit(docs.where(~F.col("held_out")))
-    return ppm.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return ppm.identify(docs.select("doc_id", "held_out", "text"), model, keep_text=False)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

@@ -46,6 +46,28 @@ def test_code_lengths_match_the_trees(monkeypatch):
     assert np.allclose(model.bits_of_many(texts), bits, atol=1e-3)
 
 
+def test_scoring_works_in_small_blocks():
+    import tracemalloc
+
+    model = ppm.train({k: [(k * 40 + " the cat sat on the mat").encode()] for k in ("en", "de", "fr", "es")})
+    texts = [b"the cat sat on the mat " * 40] * 1000 + [b"xyz " * 60_000]
+    tracemalloc.start()
+    try:
+        model.bits_of_many(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 30e6  # with 1 MB blocks 76 MB
+
+
+def test_texts_need_not_come_back(spark, edges):
+    model = ppm.train({"en": [b"alpha beta gamma"], "fr": ["é è ê".encode()]})
+    got = ppm.identify(edges.select("text", "doc_id"), model, keep_text=False)
+    whole = ppm.identify(edges.select("text", "doc_id"), model)
+    assert got.columns == ["doc_id", "lang_pred", "score"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.drop("text").collect()))
+
+
 def test_fewer_nodes_still_give_code_lengths():
     samples = {"a": [b"abcabcabcabd"], "b": [b"xyzxyzxyw"]}
     model = ppm.train(samples, max_cells=200)
