@@ -32,6 +32,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: deletes the shuffle files of a query as soon as it has ended
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored_alone(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, after which the shuffles that made the table are gone at once;
+    else they lie beside it until the driver happens to collect them.  Only for
+    frames that nothing else runs."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
 def drop_stored(*frames: DataFrame) -> None:
     """Delete scratch tables of ``stored`` that no later step reads."""
     for df in frames:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from tessera.llm.common import SPACE_CHARS, pieces, ready, release, stored, text_bytes
+from tessera.llm.common import SPACE_CHARS, pieces, ready, stored, stored_alone, text_bytes
 
 #: knots (time, weight) of the schedules, dealt to the sources in turn; their
 #: integrals are the weights 3, 1 and 2
@@ -192,6 +192,5 @@ def mixed(docs: DataFrame, **kw) -> DataFrame:
     one = F.row_number().over(W.partitionBy("__key", *own).orderBy(own[0]))
     rows = rows.withColumn("__nth", one).where(F.col("__nth") == 1).drop(*own, "__nth", "__key")
     # written once, so that the join's shuffle is gone before the sort's comes
-    rows = stored(rows, "mix-rows")
-    release(docs.sparkSession)
+    rows = stored_alone(rows, "mix-rows")
     return rows.withColumn("position", F.explode("__at")).drop("__at").repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")

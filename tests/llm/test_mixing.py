@@ -81,3 +81,28 @@ def test_empty(empty):
     assert curriculum.assign(empty).count() == 0 and curriculum.mixed(empty).count() == 0
     nothing = empty.sparkSession.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [(r.target, r.taken) for r in curriculum.assign(nothing).collect()] == [(0.0, 0), (0.0, 0)]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles())
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle")}
+
+
+def test_the_joins_shuffle_is_gone_before_the_sort(spark):
+    import random
+    import time
+
+    r = random.Random(5)
+    rows = [(i, " ".join(f"{r.getrandbits(64):x}" for _ in range(200)), "en", "abc"[i % 3], 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = shuffle_files(spark), spark.conf.get(key, None)
+    mix = curriculum.mixed(docs)
+    for _ in range(20):
+        left = sum(n for k, n in shuffle_files(spark).items() if k not in before)
+        if left < 500_000:
+            break
+        time.sleep(0.1)
+    assert left < 500_000  # the texts have 1.3 MB
+    assert spark.conf.get(key, None) == held
+    assert mix.count() > 400
