@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -91,19 +93,39 @@ def read_images(spark: SparkSession, root: str, cfg: PipelineConfig, *, recursiv
     return _pixels(_load(_reader(spark, "image", cfg, recursive).option("dropInvalid", "false"), root, cfg, recursive))
 
 
-#: tasks that look up the files of ``read_paths``
-_LOOKUP_TASKS = 64
-
-
 def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Decoded images of the given files, a bounded list."""
-    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), _LOOKUP_TASKS)))  # not a task for each file
-    try:
+    with many_small_files(spark):
         return _pixels(spark.read.format("image").option("dropInvalid", "false").load([escape_glob(p) for p in paths]))
+
+
+#: tasks that look up a list of files, and what opening a file counts beside its bytes
+_LOOKUP_TASKS, _OPEN_COST = 64, 128 << 10
+
+
+@contextmanager
+def many_small_files(spark: SparkSession) -> Iterator[None]:
+    """Within, lists of files are looked up by a bounded number of tasks, not by one
+    for each file, and scans pack files into tasks by about the work that an image
+    is: at Spark's 4 MB a file, a task gets a few images and, written by split, makes
+    a file for each or two of them."""
+    bounds = {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": _LOOKUP_TASKS,
+        "spark.sql.files.openCostInBytes": _OPEN_COST,
+    }
+    before = {k: spark.conf.get(k) for k in bounds}
+    for k, most in bounds.items():
+        spark.conf.set(k, str(min(_bytes(spark, before[k]), most)))
+    try:
+        yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _bytes(spark: SparkSession, text: str) -> int:
+    """A number as Spark's settings spell it: 4194304, 4m, 4MB."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
 def _pixels(df: DataFrame) -> DataFrame:

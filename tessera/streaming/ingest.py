@@ -91,7 +91,9 @@ def ingest(
             images = PL.with_label_split(images, cfg, key_col="seed_key").where(F.col("height") > 0).drop("mode")
         R.write_epoch(ledger, epoch, out, cfg, listing, images, on_output=on_output)
 
-    new = listing_stream(spark, raw_root, cfg, max_files_per_trigger=max_files_per_trigger)
-    q = new.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+    # the stream's session is a copy, made at its start, of this one
+    with FS.many_small_files(spark):
+        new = listing_stream(spark, raw_root, cfg, max_files_per_trigger=max_files_per_trigger)
+        q = new.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
     return q

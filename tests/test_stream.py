@@ -32,6 +32,29 @@ def test_second_run_only_new_files(spark, workdir):
     assert spark.read.parquet(out).count() == 6 * cfg.fanout
 
 
+def test_small_files_share_tasks(spark, workdir):
+    """Neither a task for each file in the listing of a micro-batch, nor a few images
+    a task in the scan: each task writes files of its own."""
+    raw, cfg = workdir + "/raw", C.TILE_CFG.with_(round_u8=True, tfrecord_enabled=False)
+    keys = ["spark.sql.files.openCostInBytes", "spark.sql.sources.parallelPartitionDiscovery.parallelism"]
+    before = [spark.conf.get(k) for k in keys]
+    picture = png_bytes(np.full((5, 5), 7, np.uint8))
+    for i in range(320):
+        write(f"{raw}/train/NORMAL/a{i}.png", picture)
+    status = spark.sparkContext._jsc.sc().statusStore()
+    jobs = {status.jobsList(None).apply(i).jobId() for i in range(status.jobsList(None).size())}
+    ingest(spark, raw, workdir + "/streamed", workdir + "/ckpt", cfg)
+    known = status.jobsList(None)
+    largest = max(j.numTasks() for j in (known.apply(i) for i in range(known.size())) if j.jobId() not in jobs)
+    assert largest <= 64  # a task for each of the 320 files before
+    run_pipeline(spark, raw, workdir + "/out", cfg)
+    for path in (workdir + "/streamed", workdir + "/out/parquet"):
+        records = SK.read_records(spark, path)
+        assert records.count() == 320 * cfg.fanout
+        assert len(records.inputFiles()) <= 6  # 10 and more with 32 files a task
+    assert [spark.conf.get(k) for k in keys] == before
+
+
 def test_ingest_after_a_batch_run(spark, workdir):
     """One version fed by a batch run and then by ingest: all records are read
     back, rejects and shards follow, and a corrupt upload is reported."""
