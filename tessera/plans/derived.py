@@ -179,7 +179,7 @@ def _damage(spark, root: str, rel_paths: DataFrame) -> None:
                     f.write(b"no picture")
             yield pa.RecordBatch.from_arrays([b.column(0)], ["file"])
 
-    rel_paths.mapInArrow(run, "file string").count()
+    TL.dealt(rel_paths, "rel_path").mapInArrow(run, "file string").count()
 
 
 def q_reject_files(spark, sf):

@@ -185,6 +185,11 @@ def run_pipeline(
         timings[name] = timings.get(name, 0) + round(time.time() - t0, 3)
         t0 = time.time()
 
+    with FS.many_small_files(spark):
+        return _run(spark, raw_root, out, cfg, lap, timings, recursive=recursive, max_images=max_images)
+
+
+def _run(spark, raw_root, out: str, cfg: PipelineConfig, lap: Callable[[str], None], timings: dict[str, float], *, recursive: bool, max_images: int | None) -> RunResult:
     listing, imgs = decoded_images(spark, raw_root, cfg, recursive=recursive, max_images=max_images)
     lap("list")
     repartition = None

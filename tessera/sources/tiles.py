@@ -20,6 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: tasks a core of steps that write a file for each row
+_TASKS_A_CORE = 4
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -115,16 +119,21 @@ def _write_png_batches(root: str):
     return run
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by a key for work that costs far more than its bytes say."""
+    return df.repartition(_TASKS_A_CORE * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def write_tile_images(df: DataFrame, root: str) -> DataFrame:
-    """Materialise u8 tiles as PNG files ``{root}/{rel_path}`` (one task per
-    input partition, each writing its own rows); returns the written paths
-    as a DataFrame (lazy: run an action to write)."""
+    """Materialise u8 tiles as PNG files ``{root}/{rel_path}``, dealt by path to a
+    few tasks a core: a table of a few MB is one partition, but many files.
+    Returns the written paths as a DataFrame (lazy: run an action to write)."""
     from pyspark.sql import types as T
 
     from ..session import ship_package
 
     ship_package(df.sparkSession)
-    cols = df.select("rel_path", "height", "width", "channels", "data")
+    cols = dealt(df.select("rel_path", "height", "width", "channels", "data"), "rel_path")
     return cols.mapInArrow(_write_png_batches(root.rstrip("/")), T.StructType([T.StructField("file", T.StringType())]))
 
 
